@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, piece_codec, quality_rules, secret_scan
+from framelake.llm import decontaminate, line_dedup, phrase_dedup, pii_crf, piece_codec, quality_rules, secret_scan, shingle_join, token_counts, transcripts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     found = [
+        line_dedup.op1_line_simhash,
+        token_counts.op2_trie_token_counts,
+        pii_crf.op3_pii_crf,
+        shingle_join.op4_signature_tree,
         decontaminate.op5_suffix_automaton,
+        transcripts.op6_transcript_hmm,
+        phrase_dedup.op7_phrase_automata,
         quality_rules.op8_rule_ledger,
         piece_codec.op9_piece_codec,
         secret_scan.op10_markov_secrets,
