@@ -35,7 +35,7 @@ from framelake.llm import spread
 from framelake.llm import textvec as V
 
 WINDOW, GRAM = 50, 10
-SHARD = 8 << 20
+SHARD = 1 << 20
 
 
 class Words:
@@ -157,6 +157,7 @@ def locate(docs: DataFrame, window: int, gram: int, shard: int = SHARD) -> DataF
 
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, `whole`, `at`: first words of the windows that a smaller doc_id also has. Each doc_id once."""
+    spread.small_batches(docs.sparkSession)
     known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     again = spread.stash(recurring(spread.stash(anchors(known, window, gram))))
     parts = again.where("NOT whole")

@@ -21,6 +21,11 @@ def shared_dir(spark: SparkSession) -> str:
     return got
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker is sent at a time, so that two workers and their executor fit in little memory. Kept for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
@@ -48,7 +53,7 @@ def row_filter(ids: DataFrame) -> np.ndarray:
     col = ids.columns[0]
     rows = ids.select(F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)).cast("int").alias("x"))
     held = np.zeros(FILTER_BITS, bool)
-    held[[r.x for r in rows.distinct().toLocalIterator()]] = True
+    held[rows.distinct().toArrow().column(0).to_numpy()] = True
     return held
 
 
@@ -67,6 +72,22 @@ def apply_filter(df: DataFrame, column: str, held: np.ndarray) -> DataFrame:
     return df.withColumn("_at", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")).mapInArrow(run, df.schema)
 
 
+def split_by(df: DataFrame, column: str, held: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Rows of df that a row filter passes, and the others; neither is shuffled."""
+    names = df.columns
+    marked = df.withColumn("_at", F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(FILTER_BITS)).cast("int"))
+
+    def part(want: bool):
+        def run(batches):
+            for batch in batches:
+                hit = held[batch.column(len(names)).to_numpy(zero_copy_only=False)]
+                yield batch.filter(pa.array(hit if want else ~hit)).select(names)
+
+        return run
+
+    return marked.mapInArrow(part(True), df.schema), marked.mapInArrow(part(False), df.schema)
+
+
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """node, component (its least node) for the ends of edges (a, b); longs.
 

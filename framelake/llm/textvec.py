@@ -38,12 +38,12 @@ _pow = {"n": 0}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _pow["n"] < n:
-        m = max(n, SLICE + 1)
+        m = max(n, 2 * SLICE + 1)
         with np.errstate(over="ignore"):
             up, down = np.full(m, _M), np.full(m, _MI)
             up[0] = down[0] = 1
             up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-        if m > SLICE + 1:  # of one very long text: not kept
+        if m > 2 * SLICE + 1:  # of one very long text: not kept
             return up, down
         _pow.update(n=m, up=up, down=down)
     return _pow["up"], _pow["down"]
