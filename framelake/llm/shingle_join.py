@@ -14,7 +14,8 @@ Steps, each one's rows in proportion to the corpus:
    merges the large groups without all their pairs.
 5. Every shared prefix shingle whose documents aren't in one group yet: a signature tree over their bitmaps; its nodes
    hold OR-combined bitmaps, size ranges and group ranges. A dual traversal prunes node pairs of one group, and pairs
-   whose greatest possible overlap is too small. What remains is verified on exact sets. Each round offers at most
+   whose greatest possible overlap is too small. Bitmaps of large sets hold a sample
+   by hash, whose bound fails for a linked pair with a probability under 1e-15. What remains is verified on exact sets. Each round offers at most
    PAIRS pairs between two groups in a bucket; rounds go on until none is left out, so nothing is lost.
 
 Cases: null or wordless texts have the empty set and link with nothing; null doc_ids are groups of their own (null
@@ -33,8 +34,12 @@ from pyspark.sql import functions as F
 from framelake.llm import spread
 from framelake.llm import textvec as V
 
-EPSILON = 100_000
+EPSILON = 1_000_000
 BITS = 2048
+#: A bitmap holds at most this many shingles: all of a smaller set's, else those with a hash in the first 2**-level of the
+#: range, the same for all sets of a level. Overlaps of samples are held to SIGMAS standard deviations under their mean.
+SAMPLE, SIGMAS = 700, 9
+GROUP = 2_000_000  # occurrences counted at a time
 PAIRS = 4
 BLOCK = 4096  # members of a bucket in one tree; larger buckets are joined block by block
 
@@ -69,37 +74,53 @@ def _least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _bitmap(a: np.ndarray) -> np.ndarray:
+def _level(n: int) -> int:
+    return max(0, (-(-n // SAMPLE) - 1).bit_length())
+
+
+def _bitmap(a: np.ndarray, level: int) -> tuple[bytes, int]:
+    """Bitmap and size of a set's sample at a level. The sorted hashes' first part is the sample."""
+    part = a[: np.searchsorted(a, np.uint64(1) << np.uint64(64 - level))] if level else a
     bits = np.zeros(BITS, bool)
-    bits[(a >> np.uint64(7)) % np.uint64(BITS)] = True
-    return np.packbits(bits)
+    bits[(part >> np.uint64(7)) % np.uint64(BITS)] = True
+    return np.packbits(bits).tobytes(), len(part)
 
 
 def frequent(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles with a share of 1 / EPSILON of the occurrences, by lossy counting: each batch offers those with that share in it."""
+    """Shingles with a share of 1 / EPSILON of the occurrences, by lossy counting: each GROUP offers those with that share in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [np.concatenate(sets(t, k) or [np.zeros(0, np.uint64)]) for t in V.texts(batch.column(0))]
-            all_ = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            all_ = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            held.clear()
             g, n = np.unique(all_, return_counts=True)
             keep = (n * EPSILON >= len(all_)) & (n > 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(V.signed(g[keep]), 0)), pa.array(np.append(n[keep], 0)), pa.array(np.append(np.zeros(keep.sum(), np.int64), len(all_)))], ["g", "n", "total"])
+            return pa.RecordBatch.from_arrays([pa.array(np.append(V.signed(g[keep]), 0)), pa.array(np.append(n[keep], 0)), pa.array(np.append(np.zeros(keep.sum(), np.int64), len(all_)))], ["g", "n", "total"])
 
-    found = docs.select("text").mapInArrow(run, "g long, n long, total long").groupBy("g").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    found = spread.stash(found)
+        for batch in batches:
+            for t in V.texts(batch.column(0)):
+                held += sets(t, k)
+                if sum(map(len, held)) >= GROUP:
+                    yield flush()
+        yield flush()
+
+    found = spread.stash(docs.select("text").mapInArrow(run, "g long, n long, total long").groupBy("g").agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
     total = found.agg(F.sum("total")).first()[0] or 0
-    hot = found.where((F.col("n") * EPSILON >= total) & (F.col("n") > 1)).select("g").toLocalIterator()
-    return np.sort(np.array([r.g for r in hot], np.int64).view(np.uint64))
+    hot = found.where((F.col("n") * EPSILON >= total) & (F.col("n") > 1)).select("g").toArrow()
+    return np.sort(hot.column(0).to_numpy().view(np.uint64))
 
 
 def signatures(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """doc_id, n, set fingerprint f1 and f2, prefix shingles, bitmap."""
+    """doc_id, n, set fingerprint f1 and f2, prefix shingles, level, and bitmaps and sample sizes at it and at the next."""
+    held = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = held.value
         for batch in batches:
             for t in V.texts(batch.column(1)):
-                n, f1, f2, prefix, bitmap = [], [], [], [], []
+                n, f1, f2, prefix, maps = [], [], [], [], []
                 for a in sets(t, k):
                     n.append(len(a))
                     f1.append(int(a.sum(dtype=np.uint64)))
@@ -111,13 +132,15 @@ def signatures(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFr
                     else:
                         order = a[:length]
                     prefix.append(V.signed(order))
-                    bitmap.append(_bitmap(a).tobytes())
+                    level = _level(len(a))
+                    maps.append((level, *_bitmap(a, level), *_bitmap(a, level + 1)))
+                level, b0, s0, b1, s1 = zip(*maps, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(t.first, t.n), pa.array(n, pa.int64()), pa.array(V.signed(np.array(f1, np.uint64))), pa.array(V.signed(np.array(f2, np.uint64))), pa.array(prefix, pa.list_(pa.int64())), pa.array(bitmap, pa.binary())],
-                    ["doc_id", "n", "f1", "f2", "prefix", "bitmap"],
+                    [batch.column(0).slice(t.first, t.n), pa.array(n, pa.int64()), pa.array(V.signed(np.array(f1, np.uint64))), pa.array(V.signed(np.array(f2, np.uint64))), pa.array(prefix, pa.list_(pa.int64())), pa.array(level, pa.int64()), pa.array(b0, pa.binary()), pa.array(s0, pa.int64()), pa.array(b1, pa.binary()), pa.array(s1, pa.int64())],
+                    ["doc_id", "n", "f1", "f2", "prefix", "level", "b0", "s0", "b1", "s1"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, bitmap binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, level long, b0 binary, s0 long, b1 binary, s1 long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -170,42 +193,49 @@ def _close(docs: DataFrame, keys: DataFrame, k: int, percent: int, reps: int = 2
     return rows.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(run, "a long, b long")
 
 
+def _fits(most: np.ndarray, total: np.ndarray, least: np.ndarray, sampled: bool | np.ndarray, percent: int) -> np.ndarray:
+    """Whether an overlap of at most `most` is enough for sizes that sum to `total`, the lesser being `least`."""
+    need = percent * total / (100 + percent)
+    return most >= np.where(sampled, need - SIGMAS * np.sqrt(least * 0.25 * (1 - percent / 100) * 2 + 1) - 1, need - 1e-6)
+
+
 class Tree:
-    """A signature tree over members sorted by group and size: arrays by level, the leaves first."""
+    """A signature tree over members sorted by group and size: arrays by level, the leaves first.
+
+    Each holds bitmaps, sizes of the sets (least, most), slack (shingles beyond one a bit), groups (least, most), sizes of the samples (least, most).
+    """
 
     FAN = 8
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, group: np.ndarray):
-        slack = n - np.bitwise_count(bits).sum(1, dtype=np.int64)
-        level = (bits, n, n, slack, group, group)
+    def __init__(self, bits: np.ndarray, n: np.ndarray, size: np.ndarray, group: np.ndarray):
+        level = (bits, n, n, size - np.bitwise_count(bits).sum(1, dtype=np.int64), group, group, size, size)
         self.levels = [level]
         while len(level[1]) > 1:
             cut = np.arange(0, len(level[1]), self.FAN)
-            bits, low, high, slack, g0, g1 = level
-            level = (np.bitwise_or.reduceat(bits, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(slack, cut), np.minimum.reduceat(g0, cut), np.maximum.reduceat(g1, cut))
+            by = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum, np.minimum, np.maximum)
+            level = tuple(f.reduceat(x, cut) for f, x in zip(by, level, strict=True))
             self.levels.append(level)
 
 
-def _may(u: tuple, i: np.ndarray, v: tuple, j: np.ndarray, percent: int) -> np.ndarray:
+def _may(u: tuple, i: np.ndarray, v: tuple, j: np.ndarray, sampled: bool, percent: int) -> np.ndarray:
     """Whether some pair under nodes i of level u and j of level v may link: by groups, sizes and greatest overlap."""
     one = (u[4][i] == u[5][i]) & (v[4][j] == v[5][j]) & (u[4][i] == v[4][j])
     sizes = (percent * u[1][i] <= 100 * v[2][j]) & (percent * v[1][j] <= 100 * u[2][i])
     ok = np.flatnonzero(~one & sizes)
     i2, j2 = i[ok], j[ok]
     most = np.bitwise_count(u[0][i2] & v[0][j2]).sum(1, dtype=np.int64) + np.minimum(u[3][i2], v[3][j2])
-    most = np.minimum(most, np.minimum(u[2][i2], v[2][j2]))
-    fits = (100 + percent) * most >= percent * (u[1][i2] + v[1][j2])
+    most = np.minimum(most, np.minimum(u[7][i2], v[7][j2]))
     out = np.zeros(len(i), bool)
-    out[ok[fits]] = True
+    out[ok[_fits(most, u[6][i2] + v[6][j2], np.minimum(u[7][i2], v[7][j2]), sampled, percent)]] = True
     return out
 
 
-def traverse(a: Tree, b: Tree, percent: int, same: bool, step: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def traverse(a: Tree, b: Tree, sampled: bool, percent: int, same: bool, step: int = 1 << 10) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Leaf pairs that may link, by dual traversal from the roots; at most `step` node pairs are expanded at a time."""
     stack = [(len(a.levels) - 1, len(b.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
         x, y, i, j = stack.pop()
-        ok = _may(a.levels[x], i, b.levels[y], j, percent)
+        ok = _may(a.levels[x], i, b.levels[y], j, sampled, percent)
         i, j = i[ok], j[ok]
         if not len(i):
             continue
@@ -227,70 +257,127 @@ def traverse(a: Tree, b: Tree, percent: int, same: bool, step: int = 1 << 14) ->
             stack.append((nx, ny, ci[real], cj[real]))
 
 
+class Members:
+    """Rows of buckets as arrays; `bits` has each row's two bitmaps."""
+
+    def __init__(self, table: pa.Table):
+        self.n, self.component, self.side, self.doc, self.level = (table.column(c).to_numpy() for c in ("n", "component", "side", "doc_id", "level"))
+        self.size = np.stack([table.column(c).to_numpy() for c in ("s0", "s1")])
+        self.bits = [np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("b0", "b1")]
+
+    def leaf(self, i: np.ndarray, j: np.ndarray, percent: int, step: int = 1 << 15) -> np.ndarray:
+        """Which pairs may link; the test of two leaves, at the greater level of the two."""
+        ok = (self.component[i] != self.component[j]) & (percent * np.maximum(self.n[i], self.n[j]) <= 100 * np.minimum(self.n[i], self.n[j]))
+        at = np.flatnonzero(ok)
+        for s in range(0, len(at), step):
+            part = at[s : s + step]
+            p, q = i[part], j[part]
+            level = np.maximum(self.level[p], self.level[q])
+            kp, kq = level - self.level[p], level - self.level[q]
+            a, b = (np.where((k == 0)[:, None], self.bits[0][x], self.bits[1][x]) for k, x in ((kp, p), (kq, q)))
+            sp, sq = self.size[kp, p], self.size[kq, q]
+            slack = np.minimum(sp - np.bitwise_count(a).sum(1, dtype=np.int64), sq - np.bitwise_count(b).sum(1, dtype=np.int64))
+            most = np.minimum(np.bitwise_count(a & b).sum(1, dtype=np.int64) + slack, np.minimum(sp, sq))
+            ok[part] = _fits(most, sp + sq, np.minimum(sp, sq), level > 0, percent)
+        return ok
+
+    def tree_pairs(self, start: int, stop: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a large bucket, level by level: rows of a level, and those of the level below that may be as large."""
+        rows = np.arange(start, stop)
+        for level in np.unique(self.level[start:stop]).tolist() + [int(self.level[start:stop].max()) + 1]:
+            sides = []
+            for side in (0, 1):
+                own = rows[(self.level[rows] == level) & (self.side[rows] == side)]
+                below = rows[(self.level[rows] == level - 1) & (self.side[rows] == side)]
+                at, k = np.concatenate([own, below]), np.concatenate([np.zeros(len(own), int), np.ones(len(below), int)])
+                if side and not len(at):
+                    break
+                order = np.lexsort((self.n[at], self.component[at]))
+                at, k = at[order], k[order]
+                bits = np.where((k == 0)[:, None], self.bits[0][at], self.bits[1][at])
+                sides.append((at, k, Tree(bits, self.n[at], self.size[k, at], self.component[at]) if len(at) else None))
+            (a, ka, ta), (b, kb, tb) = sides[0], sides[-1]
+            if ta is None or tb is None or (ka.all() and kb.all()):
+                continue
+            for i, j in traverse(ta, tb, level > 0, percent, len(sides) == 1):
+                new = (ka[i] == 0) | (kb[j] == 0)
+                if new.any():
+                    yield a[i[new]], b[j[new]]
+
+
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, ga, gb) that may link, of rows (g, block, doc_id, n, bitmap, component) dealt by (g, block pair).
+    """Pairs (a, b, left) that may link, of rows (g, tile, side, doc_id, n, component, ...) dealt by (g, tile).
 
-    left says whether pairs were left for a later round.
+    Buckets of one leaf are tested together; larger ones by their trees. At most `most` pairs of two groups come from a
+    bucket; `left` says that there are more, for a later round.
     """
 
-    def pairs(member: dict[str, np.ndarray]) -> list[tuple]:
-        side = member["side"]
-        trees, index = [], []
-        for s in (0, 1):
-            at = np.flatnonzero(side == s)
-            if s and not len(at):
-                break
-            at = at[np.lexsort((member["n"][at], member["component"][at]))]
-            bits = np.stack([np.frombuffer(x, np.uint64) for x in member["bitmap"][at]])
-            trees.append(Tree(bits, member["n"][at], member["component"][at]))
-            index.append(at)
-        same = len(trees) == 1
-        out, seen = [], {}
-        for i, j in traverse(trees[0], trees[-1], percent, same):
-            for p, q in zip(index[0][i].tolist(), index[-1][j].tolist(), strict=True):
-                ga, gb = int(member["component"][p]), int(member["component"][q])
-                if ga == gb:
-                    continue
-                key = (min(ga, gb), max(ga, gb))
-                seen[key] = seen.get(key, 0) + 1
-                if seen[key] <= member["most"]:
-                    x, y = int(member["doc_id"][p]), int(member["doc_id"][q])
-                    out.append((min(x, y), max(x, y)))
-        return [(a, b, any(v > member["most"] for v in seen.values())) for a, b in out]
+    def offer(m: Members, i: np.ndarray, j: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+        lo, hi = np.minimum(m.component[i], m.component[j]), np.maximum(m.component[i], m.component[j])
+        order = np.lexsort((hi, lo, bucket))
+        i, j, lo, hi, bucket = i[order], j[order], lo[order], hi[order], bucket[order]
+        new = np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (bucket[1:] != bucket[:-1]))[: len(i)]
+        first = np.flatnonzero(new)
+        place = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
+        more = np.repeat(np.diff(np.append(first, len(i))) > most, np.diff(np.append(first, len(i))))
+        keep = place < most
+        a, b = m.doc[i[keep]], m.doc[j[keep]]
+        return np.minimum(a, b), np.maximum(a, b), more[keep]
+
+    def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        m, most = Members(table), int(table.column("most")[0].as_py())
+        g, t = table.column("g").to_numpy(), table.column("tile").to_numpy()
+        cut = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])))
+        size = np.diff(np.append(cut, len(g)))
+        # large buckets, one by one; pairs are offered in parts, so a part's limit only shortens what a round offers
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in np.flatnonzero(size > Tree.FAN).tolist():
+            held, n = [], 0
+            for i, j in m.tree_pairs(int(cut[k]), int(cut[k] + size[k]), percent):
+                held.append((i, j))
+                n += len(i)
+                if n > 1 << 18:
+                    i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+                    yield batch(*offer(m, i, j, np.zeros(len(i), np.int64), most))
+                    held, n = [], 0
+            if held:
+                i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+                parts.append((i, j, np.full(len(i), k)))
+        for s in range(2, Tree.FAN + 1):
+            at = np.flatnonzero(size == s)
+            p, q = np.triu_indices(s, 1)
+            for c in range(0, len(at), max(1, (1 << 17) // len(p))):
+                some = at[c : c + max(1, (1 << 17) // len(p))]
+                i, j = (cut[some][:, None] + p[None]).reshape(-1), (cut[some][:, None] + q[None]).reshape(-1)
+                ok = m.leaf(i, j, percent)
+                parts.append((i[ok], j[ok], np.repeat(some, len(p))[ok]))
+        if parts:
+            i, j, bucket = (np.concatenate(x) for x in zip(*parts, strict=True))
+            yield batch(*offer(m, i, j, bucket, most))
+
+    def batch(a: np.ndarray, b: np.ndarray, left: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(left)], ["a", "b", "left"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            g, t = table.column("g").to_numpy(), table.column("tile").to_numpy()
-            cols = {c: table.column(c).to_numpy() for c in ("doc_id", "n", "component", "side")}
-            maps = np.array(table.column("bitmap").to_pylist() + [None], object)[:-1]
-            most = int(table.column("most")[0].as_py())
-            cut = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])))
-            out = []
-            for i, j in zip(cut.tolist(), np.append(cut[1:], len(g)).tolist(), strict=True):
-                if j - i > 1:
-                    out += pairs({**{c: v[i:j] for c, v in cols.items()}, "bitmap": maps[i:j], "most": most})
-            a, b, left = zip(*out, strict=True) if out else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(left, pa.bool_())], ["a", "b", "left"])
-
-        for batch in batches:
-            if not len(batch):
+        for b in batches:
+            if not len(b):
                 continue
-            held.append(batch)
-            # all but the last bucket's tile of what is held is complete
+            held.append(b)
+            g, t = b.column(0).to_numpy(), b.column(1).to_numpy()
+            if held[0] is not b and (held[0].column(0)[0].as_py(), held[0].column(1)[0].as_py()) == (g[-1], t[-1]):
+                continue  # one bucket's tile goes on; it has at most two blocks of rows
             table = pa.Table.from_batches(held)
-            g, t = table.column("g").to_numpy(), table.column("tile").to_numpy()
-            other = np.flatnonzero((g != g[-1]) | (t != t[-1]))
-            if len(other):
-                n = int(other[-1]) + 1
-                yield flush(table.slice(0, n))
-                held = table.slice(n).combine_chunks().to_batches()
+            other = len(table) - len(b) + np.flatnonzero((g != g[-1]) | (t != t[-1]))
+            n = int(other[-1]) + 1 if len(other) else len(table) - len(b)
+            if n:
+                yield from flush(table.slice(0, n))
+            held = table.slice(n).combine_chunks().to_batches()
         if held:
-            yield flush(pa.Table.from_batches(held))
+            yield from flush(pa.Table.from_batches(held))
 
     rows = rows.repartition("g", "tile").sortWithinPartitions("g", "tile")
-    return rows.select("g", "tile", "side", "doc_id", "n", "component", "bitmap", "most").mapInArrow(run, "a long, b long, left boolean")
+    return rows.select("g", "tile", "side", "doc_id", "n", "component", "level", "b0", "s0", "b1", "s1", "most").mapInArrow(run, "a long, b long, left boolean")
 
 
 def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -324,6 +411,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFram
 
 def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs."""
+    spread.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     known = docs.where("doc_id IS NOT NULL")
     sig = spread.stash(signatures(docs, k, percent, frequent(docs, k)))
@@ -332,7 +420,7 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     # equal sets are linked to their least doc_id; with rows that share a doc_id, that is an edge as any other
     copies = spread.stash(some.join(same, ["n", "f1", "f2"]).select("doc_id", "rep"))
     edges = copies.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = some.join(copies.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("rep")).alias("own")).where("own"), "doc_id").select("doc_id", "n", "bitmap", "prefix")
+    reps = some.join(copies.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("rep")).alias("own")).where("own"), "doc_id").select("doc_id", "n", "level", "b0", "s0", "b1", "s1", "prefix")
     rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "doc_id")))
     keys = rows.groupBy("doc_id").agg(F.min("g").alias("key"))
     found = spread.stash(_close(known, keys, k, percent))
@@ -344,7 +432,7 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         comp = spread.components(all_)
         labelled = rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         mixed = labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members")
-        tiles = _tiles(labelled, mixed).join(reps.select("doc_id", "n", "bitmap"), "doc_id").withColumn("most", F.lit(most))
+        tiles = _tiles(labelled, mixed).join(reps.drop("prefix"), "doc_id").withColumn("most", F.lit(most))
         offers = spread.stash(_candidates(tiles, percent))
         pairs = offers.groupBy("a", "b").agg(F.max("left").alias("left"))
         more = spread.stash(_verify(known, pairs, k, percent))
@@ -367,5 +455,6 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without words, or with a null doc_id, stay.
     """
-    gone = groups(docs, k=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = spread.stash(groups(docs, k=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct())
+    maybe, clear = spread.split_by(docs, "doc_id", spread.row_filter(gone))
+    return maybe.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns).union(clear)
