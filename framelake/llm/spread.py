@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -95,26 +95,25 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     aggregation and join, so a node with many neighbours is never gathered in one row. Rounds are logarithmic in the
     length of the longest path; each is written to the shared folder.
     """
-    e = stash(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-
-    def mark(df: DataFrame):
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    last = mark(e)
-    if not last[0]:
-        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    for _ in range(most):
+    def put(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """df written, with a count and a hash sum of its rows that are taken as they are written."""
+        seen = Observation()
+        out = stash(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        got = seen.get
+        return out, (got["n"], got["h"])
+
+    e, last = put(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    for _ in range(most if last[0] else 0):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        e = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         # small star: all of a node's lesser neighbours, and itself, go to the least of them
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        near = e.join(least, "u")
-        e = stash(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct())
-        now = mark(e)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        e, now = put(large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct())
         if now == last:
             break
         last = now
     else:
-        raise RuntimeError("components did not settle")
+        if last[0]:
+            raise RuntimeError("components did not settle")
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
