@@ -89,8 +89,9 @@ def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 def recurring(found: DataFrame) -> DataFrame:
     """doc_id, `whole` (a smaller doc_id has the text), `at` (first words of recurring anchors)."""
-    phrases = found.where("at >= 0").groupBy("key").agg(F.min("text").alias("t0"), F.max("text").alias("t1")).where("t0 <> t1").select("key")
-    texts = found.where("at < 0").groupBy("text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("text", "least")
+    # written first, so that the joins have shuffles of their own on both sides, of which Spark can split the hot keys
+    phrases = spread.stash(found.where("at >= 0").groupBy("key").agg(F.min("text").alias("t0"), F.max("text").alias("t1")).where("t0 <> t1").select("key"))
+    texts = spread.stash(found.where("at < 0").groupBy("text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("text", "least"))
     copies = found.where("at < 0").join(texts, "text").where("doc_id > least").select("doc_id", F.lit(-1).alias("at"))
     rows = found.where("at >= 0").join(phrases, "key").select("doc_id", "at").union(copies)
     return rows.groupBy("doc_id").agg((F.min("at") < 0).alias("whole"), F.array_distinct(F.collect_list("at")).alias("at"))
@@ -165,7 +166,7 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     rows = spread.apply_filter(known, "doc_id", spread.row_filter(parts.select("doc_id"))).join(parts.hint("shuffle_hash"), "doc_id")
     found = spread.stash(locate(rows, window, gram))
     open_ = found.where("NOT gone")
-    least = open_.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("w1", "w2", "least")
+    least = spread.stash(open_.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("w1", "w2", "least"))
     later = open_.join(least, ["w1", "w2"]).where("doc_id > least").select("doc_id", "at")
     at = later.union(found.where("gone").select("doc_id", "at")).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
     whole = again.where("whole").select("doc_id", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("at"))

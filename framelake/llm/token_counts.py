@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from framelake.llm import textvec as V
 
-NODES, LONG = 400_000, 64
+NODES, LONG = 600_000, 64
 BYTE_SCORE = -14_000
 SPACE = "▁"
 
@@ -38,50 +39,63 @@ def unigram_scores(model: str) -> dict[str, int]:
 
 
 class Trie:
+    """Nodes by (parent, code point); each holds the forward score and the tokens of its path.
+
+    Pieces that end at a new node come from an Aho-Corasick automaton over the vocabulary, started where the shared
+    prefix can still matter.
+    """
+
     def __init__(self, scores: dict[str, int]):
-        self.scores, self.longest = scores, max(map(len, scores))
+        self.longest = max(map(len, scores))
+        self.auto = ahocorasick.Automaton()
+        for piece, score in scores.items():
+            self.auto.add_word(piece, (len(piece), score))
+        self.auto.make_automaton()
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
         self.best, self.count = [0], [0]
 
-    def _new(self, path: str, bests: list[int], counts: list[int]) -> tuple[int, int]:
-        """Forward score and tokens of a path, from those of its prefixes."""
-        n = len(path)
-        raw = len(path[-1].encode())
-        best, count = bests[n - 1] + BYTE_SCORE * raw, counts[n - 1] + raw
-        for i in range(max(0, n - self.longest), n):
-            s = self.scores.get(path[i:])
-            if s is not None and (bests[i] + s, -counts[i] - 1) > (best, -count):
-                best, count = bests[i] + s, counts[i] + 1
-        return best, count
-
     def tokens(self, word: str) -> tuple[int, int]:
         """Tokens and score of a pre-token."""
         if len(self.best) > NODES:
             self.clear()
-        keep = len(word) <= LONG
-        node, bests, counts, child = 0, [0], [0], self.child
-        for n in range(1, len(word) + 1):
-            if node is not None:
-                key = node << 21 | ord(word[n - 1])
-                to = child.get(key)
-                if to is not None:
-                    bests.append(self.best[to])
-                    counts.append(self.count[to])
-                    node = to
+        child, node, bests, counts, n = self.child, 0, [0], [0], 0
+        for c in word:
+            to = child.get(node << 21 | ord(c))
+            if to is None:
+                break
+            node = to
+            n += 1
+            bests.append(self.best[to])
+            counts.append(self.count[to])
+        shared = n
+        if n < len(word):
+            for end, (length, score) in self.auto.iter(word, max(0, n - self.longest + 1)):
+                end += 1
+                if end <= shared:
                     continue
-            b, c = self._new(word[max(0, n - self.longest) : n], bests[max(0, n - self.longest) :], counts[max(0, n - self.longest) :])
-            bests.append(b)
-            counts.append(c)
-            if keep:
-                to = child[key] = len(self.best)
-                self.best.append(b)
-                self.count.append(c)
-                node = to
-            else:
-                node = None
+                while n < end:
+                    raw = len(word[n].encode())
+                    bests.append(bests[n] + BYTE_SCORE * raw)
+                    counts.append(counts[n] + raw)
+                    n += 1
+                at = end - length
+                new, tokens = bests[at] + score, counts[at] + 1
+                if new > bests[end] or (new == bests[end] and tokens < counts[end]):
+                    bests[end], counts[end] = new, tokens
+            while n < len(word):
+                raw = len(word[n].encode())
+                bests.append(bests[n] + BYTE_SCORE * raw)
+                counts.append(counts[n] + raw)
+                n += 1
+            if n <= LONG:
+                for k in range(shared, n):
+                    to = child[node << 21 | ord(word[k])] = len(self.best)
+                    self.best.append(bests[k + 1])
+                    self.count.append(counts[k + 1])
+                    node = to
         return counts[-1], bests[-1]
 
 
