@@ -58,14 +58,31 @@ class Lines:
             sums = np.append(np.uint64(0), np.cumsum(h * up[: len(h)]))
             self.key = V.mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
             pair = V.mix(h + np.append(h[1:], np.uint64(0)) * V._K[9])
-        ones, count = np.zeros((n, 64), np.int32), (last - first).astype(np.int32)
-        for values, end in ((h, last), (pair, last - 1)):
-            bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1)
-            flat = np.stack([first, np.maximum(end, first)], 1).reshape(-1)
-            got = np.add.reduceat(np.vstack([bits, np.zeros((1, 64), np.uint8)]), flat, axis=0, dtype=np.int32)[::2]
-            got[end <= first] = 0
-            ones += got
-        self.sim = np.packbits(2 * ones > (count + np.maximum(count - 1, 0))[:, None], axis=1).view(np.uint64).reshape(-1)
+        count = 2 * (last - first) - 1  # words and pairs
+        ones = _bit_counts(h, first, last)
+        two = last - first > 1
+        if two.any():
+            ones[two] += _bit_counts(pair, first[two], last[two] - 1)
+        self.sim = np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).reshape(-1)
+
+
+#: A byte's bits, the highest first, as eight one-byte counters in a 64-bit number.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).reshape(-1).view(np.uint64)
+
+
+def _bit_counts(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each range (not empty, in order), how many values have each of the 64 bits; summed in parts of up to 255 values."""
+    parts = -(-(last - first) // 255)
+    head = np.cumsum(parts) - parts
+    start = np.repeat(first, parts) + 255 * (np.arange(parts.sum()) - np.repeat(head, parts))
+    stop = np.minimum(start + 255, np.repeat(last, parts))
+    edges = np.stack([start, stop], 1).reshape(-1)
+    one = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    out = np.empty((len(start), 8, 8), np.uint8)
+    for k in range(8):
+        lanes = np.append(_SPREAD[one[k]], np.uint64(0))
+        out[:, k] = np.ascontiguousarray(np.add.reduceat(lanes, edges)[::2]).view(np.uint8).reshape(-1, 8)
+    return np.add.reduceat(out.reshape(-1, 64), head, axis=0, dtype=np.int32)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -224,6 +241,7 @@ def _verify(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def ledger(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, gone array<int>): the lines each document loses; and (key, component) of the linked normal forms."""
+    spread.small_batches(docs.sparkSession)
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     found = spread.stash(occurrences(docs))
     lines = spread.stash(found.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("sim").alias("sim")).select("key", "sim", "at.doc_id", "at.line"))
