@@ -40,7 +40,7 @@ BITS = 2048
 #: range, the same for all sets of a level. Overlaps of samples are held to SIGMAS standard deviations under their mean.
 SAMPLE, SIGMAS = 700, 9
 GROUP = 2_000_000  # occurrences counted at a time
-PAIRS = 4
+PAIRS = 64
 BLOCK = 4096  # members of a bucket in one tree; larger buckets are joined block by block
 
 _LOWERED = V.BYTE.copy()
@@ -424,7 +424,7 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "doc_id")))
     keys = rows.groupBy("doc_id").agg(F.min("g").alias("key"))
     found = spread.stash(_close(known, keys, k, percent))
-    done, most = [], PAIRS
+    done, tried, most = [], None, PAIRS
     while True:
         all_ = found
         for x in done:
@@ -434,9 +434,12 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         mixed = labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members")
         tiles = _tiles(labelled, mixed).join(reps.drop("prefix"), "doc_id").withColumn("most", F.lit(most))
         offers = spread.stash(_candidates(tiles, percent))
-        pairs = offers.groupBy("a", "b").agg(F.max("left").alias("left"))
-        more = spread.stash(_verify(known, pairs, k, percent))
-        done.append(more)
+        pairs = offers.select("a", "b").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = spread.stash(pairs)
+        tried = pairs if tried is None else tried.union(pairs)
+        done.append(spread.stash(_verify(known, pairs, k, percent)))
         if not offers.where("left").limit(1).count():
             break
         most *= 8
