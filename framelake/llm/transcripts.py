@@ -181,8 +181,8 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
 
 def raw_lines(conversations: DataFrame) -> DataFrame:
     """Lines (conv_id, ord1, ord2, line, role, first) of a turn table as a raw transcript: markers in one of four styles a
-    conversation, left out in every fourth turn; a blank line between turns in most."""
-    style = F.pmod(F.col("conv_id"), F.lit(4))
+    conversation (the first for a null key), left out in every fourth turn; a blank line between turns in most."""
+    style = F.coalesce(F.pmod(F.col("conv_id"), F.lit(4)), F.lit(0))
     name = {r: F.element_at(F.array(*(F.lit(n) for n in ns)), (style + 1).cast("int")) for r, ns in {"system": ("System: ", "### System: ", "[SYS] - ", "context: "), "user": ("User: ", "### Instruction: ", "[Q] - ", "Human: "), "assistant": ("Assistant: ", "### Response: ", "[A] - ", "AI: ")}.items()}
     bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0
     mark = F.when(bare, "").when(F.col("role") == "system", name["system"]).when(F.col("role") == "user", name["user"]).when(F.col("role") == "assistant", name["assistant"]).otherwise("")

@@ -352,6 +352,34 @@ def test_transcripts(spark, sf_dir):
     assert [(r.role, r.text) for r in transcripts.parse(odd, model).collect()] == [("user", "hi"), ("assistant", "yo " * 60)]
 
 
+def test_transcripts_of_null_keys_lose_no_line(spark, sf_dir, tmp_path):
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = [(None, i, ("system", "user", "assistant", None)[i % 4], f"first {i} words\nsecond {i} words") for i in range(40)]
+    said += [(None, None, "user", "a turn without a number"), (5, None, "assistant", "another of these"), (None, 50, "user", None), (None, 51, None, None)]
+    odd = spark.createDataFrame(said, conv.schema)
+    want = Counter((c, y) for c, _, _, x in said for y in (x or "").split("\n") if y)
+    marks = [m for ms in (("System: ", "User: ", "Assistant: "), ("### System: ", "### Instruction: ", "### Response: "), ("[SYS] - ", "[Q] - ", "[A] - "), ("context: ", "Human: ", "AI: ")) for m in ms]
+    seen = []
+    for mode in ("FALLBACK", "NO_CODEGEN"):  # generated and interpreted expressions treat a null index of element_at differently
+        spark.conf.set("spark.sql.codegen.factoryMode", mode)
+        spark.conf.set("spark.sql.codegen.wholeStage", str(mode == "FALLBACK").lower())
+        try:
+            seen.append(Counter((r.conv_id, r.line) for r in transcripts.raw_lines(odd).collect()))
+        finally:
+            spark.conf.unset("spark.sql.codegen.factoryMode")
+            spark.conf.unset("spark.sql.codegen.wholeStage")
+        lines = Counter()
+        for (c, y), n in seen[-1].items():
+            lines[c, next((y[len(m) :] for m in marks if y.startswith(m)), y)] += n
+        assert {k: n for k, n in lines.items() if k[1]} == want
+    assert seen[0] == seen[1]
+    conv.union(odd).write.parquet(f"{tmp_path}/conversations.parquet")
+    turns = transcripts.op6_transcript_hmm(spark, str(tmp_path)).collect()
+    got = Counter((r.conv_id, y) for r in turns for y in r.text.split("\n"))
+    assert all(got[k] >= n for k, n in want.items())
+    assert {r.role for r in turns if r.conv_id is None} >= {"user", "assistant"}
+
+
 def test_online_decoding_equals_whole():
     r = random.Random(1)
     seqs = [[(r.randrange(6), (r.randrange(4), r.randrange(4), r.randrange(6))) for _ in range(50)] for _ in range(5)]
