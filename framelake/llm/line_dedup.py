@@ -6,6 +6,11 @@ forms link if their 64-bit SimHashes (of words and pairs of neighbouring words)
 1 - distance / length of the longer, is SIMILARITY or more. Of each connected group the occurrence with the least
 (doc_id, line) stays; the others go.
 
+Few pairs of that edit similarity are so close in SimHash (one changed word moves about ten bits of a line of twelve),
+so the query and the stage also try pairs that share a wide key (`Lines.wide`): lines of up to 3 words with one letter
+left out, of up to 8 words with one or two words left out, and of longer lines 8 minima of their 2- or 3-word hashes.
+These link by edit similarity alone; between longer lines, SimHashes may differ in at most WIDE bits.
+
 With 5 blocks and 3 bits, two blocks agree, so lines are dealt by the 10 pairs of blocks. In a bucket, lines are first
 offered to leaders only, which joins large groups without all their pairs; then all pairs within DISTANCE of lines not
 yet in one group are offered, at most PAIRS between two groups in a bucket and round, until none is left out. No bucket
@@ -32,6 +37,10 @@ from framelake.llm import textvec as V
 
 DISTANCE, SIMILARITY = 3, 0.8
 PAIRS = 4
+#: Minima of a long line, and the bits in which SimHashes of lines that share one may differ. Unrelated lines differ in 32.
+MINIMA, WIDE = 8, 24
+#: By the kind in a bucket's low two bits (blocks, minima, words or letters left out): bits in which SimHashes may differ.
+REACH = (DISTANCE, WIDE, 64)
 #: Bit ranges of the 5 blocks.
 BLOCKS = ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
 
@@ -50,14 +59,17 @@ class Lines:
         self.line = np.searchsorted(feeds, self.starts) - np.searchsorted(feeds, t.offs[self.doc])
         n = len(self.starts)
         if not n:
-            self.key, self.sim = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            self.key, self.sim, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
             return
-        h = t.hashes(ws, we, V.LOWER)
+        self._at = t, ws, we, first, last
+        h = self._words = t.hashes(ws, we, V.LOWER)
         up, down = V._powers(len(h) + 1)
         with np.errstate(over="ignore"):
             sums = np.append(np.uint64(0), np.cumsum(h * up[: len(h)]))
             self.key = V.mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
             pair = V.mix(h + np.append(h[1:], np.uint64(0)) * V._K[9])
+        chars = np.append(0, np.cumsum(V.ALNUM[t.buf] & ((t.buf & 0xC0) != 0x80)))
+        self.size = chars[we[last - 1]] - chars[ws[first]] + last - first - 1  # characters of the normal form
         count = 2 * (last - first) - 1  # words and pairs
         ones = _bit_counts(h, first, last)
         two = last - first > 1
@@ -65,6 +77,55 @@ class Lines:
             ones[two] += _bit_counts(pair, first[two], last[two] - 1)
         self.sim = np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).reshape(-1)
 
+    def wide(self) -> tuple[np.ndarray, pa.ListArray]:
+        """Each line's kind and wide keys; a long line's key k is its least word hash by the k-th order."""
+        n = len(self.starts)
+        if not n:
+            return np.zeros(0, np.int8), pa.array([], pa.list_(pa.int32()))
+        t, ws, we, first, last = self._at
+        h, size = self._words, last - first
+        rows, keys = [], []
+        with np.errstate(over="ignore"):
+            for some, k in ((np.flatnonzero((size > 8) & (size < 12)), 2), (np.flatnonzero(size >= 12), 3)):
+                if len(some):
+                    g = V.grams(h, k)
+                    edges = np.stack([first[some], last[some] - k + 1], 1).reshape(-1)
+                    for b in range(MINIMA):
+                        least = np.minimum.reduceat(np.append(g * V._K[16 + b], np.uint64(0)), edges)[::2]
+                        rows.append(some)
+                        keys.append(V.mix(least + V._K[b]))
+            for m in range(1, 9):  # whole lines, with the places of their words weighed
+                some = np.flatnonzero(size == m)
+                if not len(some):
+                    continue
+                words = h[first[some][:, None] + np.arange(m)]
+                ways = [()] + ([(i,) for i in range(m)] if m > 3 else []) + (list(combinations(range(m), 2)) if m > 4 else [])
+                for out in ways:
+                    rows.append(some)
+                    keys.append(_in_order(words[:, [i for i in range(m) if i not in out]]))
+                for w in range(m if m <= 3 else 0):
+                    i, j = ws[first[some] + w], we[first[some] + w]
+                    line = np.repeat(np.arange(len(some)), j - i)
+                    at = np.arange(len(line)) - np.repeat(np.cumsum(j - i) - (j - i), j - i) + i[line]
+                    less = words[line]
+                    less[:, w] = t.hashes_without(i[line], j[line], at, V.LOWER)
+                    rows.append(some[line])
+                    keys.append(_in_order(less))
+        row, key = np.concatenate(rows), np.concatenate(keys)
+        order = np.argsort(row, kind="stable")
+        offsets = np.append(0, np.cumsum(np.bincount(row, minlength=n)))
+        values = pa.array((key[order] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        return np.where(size > 8, 1, 2).astype(np.int8), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
+def _in_order(words: np.ndarray) -> np.ndarray:
+    """A hash of each row of word hashes."""
+    with np.errstate(over="ignore"):
+        out = np.full(len(words), words.shape[1], np.uint64)
+        for i in range(words.shape[1]):
+            out = V.mix(out * V._M + words[:, i])
+    return out
+
 
 #: A byte's bits, the highest first, as eight one-byte counters in a 64-bit number.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).reshape(-1).view(np.uint64)
@@ -85,34 +146,39 @@ def _bit_counts(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.n
     return np.add.reduceat(out.reshape(-1, 64), head, axis=0, dtype=np.int32)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """Rows (key, sim, doc_id, line) of every line with a word."""
+def occurrences(docs: DataFrame, wide: bool = False) -> DataFrame:
+    """Rows (key, sim, size, doc_id, line), and (kind, wide) if asked for, of every line with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for t in V.texts(batch.column(1)):
                 x = Lines(t)
-                yield pa.RecordBatch.from_arrays([pa.array(V.signed(x.key)), pa.array(V.signed(x.sim)), pa.array(ids[t.first + x.doc]), pa.array(x.line.astype(np.int32))], ["key", "sim", "doc_id", "line"])
+                cols = [pa.array(V.signed(x.key)), pa.array(V.signed(x.sim)), pa.array(x.size), pa.array(ids[t.first + x.doc]), pa.array(x.line.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*cols, *map(pa.array, x.wide())] if wide else cols, names)
+
+    names = ["key", "sim", "size", "doc_id", "line", *(["kind", "wide"] if wide else [])]
+    return docs.mapInArrow(run, "key long, sim long, size long, doc_id long, line int" + (", kind byte, wide array<int>" if wide else ""))
+
 
-    return docs.mapInArrow(run, "key long, sim long, doc_id long, line int")
+def _alike(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, reach: int) -> np.ndarray:
+    """Whether SimHashes x and y are within `reach` bits, and lengths m and n allow for the edit similarity."""
+    return (np.bitwise_count(x ^ y) <= reach) & (np.abs(m - n) <= (1 - SIMILARITY) * np.maximum(m, n) + 1e-9)
 
 
-def _near(sim: np.ndarray, i: int, j: int) -> np.ndarray:
-    """Pairs (p, q), i <= p < q < j, within DISTANCE; in blocks."""
+def _near(sim: np.ndarray, size: np.ndarray, reach: int) -> np.ndarray:
+    """Pairs (p, q), p < q, that are _alike; in blocks."""
     out = []
-    for a in range(i, j, 1024):
-        x = sim[a : min(a + 1024, j)]
-        for b in range(a, j, 1024):
-            y = sim[b : min(b + 1024, j)]
-            p, q = np.nonzero(np.bitwise_count(x[:, None] ^ y[None]) <= DISTANCE)
+    for a in range(0, len(sim), 1024):
+        for b in range(a, len(sim), 1024):
+            p, q = np.nonzero(_alike(sim[a : a + 1024, None], sim[None, b : b + 1024], size[a : a + 1024, None], size[None, b : b + 1024], reach))
             keep = p + a < q + b
             out.append(np.stack([p[keep] + a, q[keep] + b], 1))
     return np.concatenate(out)
 
 
 def _stream(rows: DataFrame, columns: list[str], handle, schema: str) -> DataFrame:
-    """handle(bucket's columns) over rows dealt and sorted by `bucket`; only one batch and one bucket are held."""
+    """handle(bucket's REACH, its columns) over rows dealt and sorted by `bucket`; only one batch and one bucket are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -124,7 +190,7 @@ def _stream(rows: DataFrame, columns: list[str], handle, schema: str) -> DataFra
             size = np.diff(np.append(cut, len(b)))
             out = []
             for i, n in zip(cut[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-                out += handle(*(c[i : i + n] for c in cols[1:]))
+                out += handle(REACH[int(b[i]) & 3], *(c[i : i + n] for c in cols[1:]))
             names = [c.split()[0] for c in schema.split(",")]
             arrays = list(zip(*out, strict=True)) or [()] * len(names)
             kinds = [pa.bool_() if c.split()[1] == "boolean" else pa.int64() for c in schema.split(",")]
@@ -147,15 +213,15 @@ def _stream(rows: DataFrame, columns: list[str], handle, schema: str) -> DataFra
     return rows.select(*columns).repartition("bucket").sortWithinPartitions("bucket", *columns[1:]).mapInArrow(run, schema)
 
 
-def _leaders(key: np.ndarray, sim: np.ndarray) -> list[tuple[int, int, int]]:
-    """(bucket member, leader): every line within DISTANCE of an earlier leader follows it; others lead. Leaders follow none."""
+def _leaders(reach: int, sim: np.ndarray, key: np.ndarray, size: np.ndarray) -> list[tuple[int, int, int]]:
+    """(bucket member, leader): every line that is _alike an earlier leader follows it; others lead. Leaders follow none."""
     sim = sim.view(np.uint64)
     if len(key) == 2:
-        return [(int(key[0]), int(key[1]))] if np.bitwise_count(sim[0] ^ sim[1]) <= DISTANCE else []
+        return [(int(key[0]), int(key[1]))] if _alike(sim[0], sim[1], size[0], size[1], reach) else []
     lead, out = np.zeros(len(key), np.int64), []
     n = 0
     for i in range(len(key)):
-        near = np.flatnonzero(np.bitwise_count(sim[lead[:n]] ^ sim[i]) <= DISTANCE)
+        near = np.flatnonzero(_alike(sim[lead[:n]], sim[i], size[lead[:n]], size[i], reach))
         if len(near):
             out.append((int(key[lead[near[0]]]), int(key[i])))
         else:
@@ -239,19 +305,25 @@ def _verify(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def ledger(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, gone array<int>): the lines each document loses; and (key, component) of the linked normal forms."""
+def ledger(docs: DataFrame, wide: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, gone array<int>): the lines each document loses; and (key, component) of the linked normal forms. `wide`
+    tries the pairs that share a wide key, too; without it, those within DISTANCE only."""
     spread.small_batches(docs.sparkSession)
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    found = spread.stash(occurrences(docs))
-    lines = spread.stash(found.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("sim").alias("sim")).select("key", "sim", "at.doc_id", "at.line"))
+    found = spread.stash(occurrences(docs, wide))
+    more = ["kind", "wide"] if wide else []
+    lines = spread.stash(found.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("sim").alias("sim"), F.min("size").alias("size"), *(F.first(c).alias(c) for c in more)).select("key", "sim", "size", "at.doc_id", "at.line", *more))
     part = lambda k: F.shiftrightunsigned("sim", BLOCKS[k][0]).bitwiseAND(F.lit((1 << (BLOCKS[k][1] - BLOCKS[k][0])) - 1))
-    keys = [F.shiftleft(part(i), 13).bitwiseOR(part(j)).bitwiseOR(F.lit(k << 26)) for k, (i, j) in enumerate(combinations(range(5), 2))]
-    buckets = lines.select("key", "sim", F.explode(F.array(*keys)).alias("bucket"))
-    near = _stream(buckets, ["bucket", "sim", "key"], lambda sim, key: _with_bucket(sim, key), "key long,sim long,part long")
+    keys = [F.shiftleft(F.shiftleft(part(i), 13).bitwiseOR(part(j)).bitwiseOR(F.lit(k << 26)), 2) for k, (i, j) in enumerate(combinations(range(5), 2))]
+    at = F.array(*keys)
+    if wide:  # never a block's: with bit 60; minima of different orders don't meet
+        low = lambda x, i: F.when(F.col("kind") == 1, i.cast("long") * (1 << 32)).otherwise(F.lit(0)) + x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+        at = F.concat(at, F.transform("wide", lambda x, i: low(x, i) * 4 + F.col("kind").cast("long") + F.lit(1 << 60)))
+    buckets = lines.select("key", "sim", "size", F.explode(at).alias("bucket"))
+    near = _stream(buckets, ["bucket", "sim", "key", "size"], _with_bucket, "key long,sim long,size long,part long")
     near = spread.stash(near.distinct())
-    rows = near.select(F.col("part").alias("bucket"), "sim", "key")
-    offers = _stream(rows, ["bucket", "sim", "key"], lambda sim, key: _leaders(key, sim), "a long,b long").distinct()
+    rows = near.select(F.col("part").alias("bucket"), "sim", "key", "size")
+    offers = _stream(rows, ["bucket", "sim", "key", "size"], _leaders, "a long,b long").distinct()
     links = [spread.stash(_verify(docs, lines, offers))]
     most = PAIRS
     while True:
@@ -261,7 +333,7 @@ def ledger(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         comp = spread.components(all_).withColumnRenamed("node", "key")
         marked = rows.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
         mixed = marked.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
-        rest = spread.stash(_stream(marked.join(mixed, "bucket"), ["bucket", "sim", "key", "component"], lambda sim, key, c, m=most: _across(sim, key, c, m), "a long,b long,left boolean"))
+        rest = spread.stash(_stream(marked.join(mixed, "bucket"), ["bucket", "sim", "key", "size", "component"], lambda reach, sim, key, size, c, m=most: _across(reach, sim, key, size, c, m), "a long,b long,left boolean"))
         tried = offers.select("a", "b")
         pairs = rest.groupBy("a", "b").agg(F.max("left").alias("left")).join(tried, ["a", "b"], "left_anti")
         links.append(spread.stash(_verify(docs, lines, pairs)))
@@ -279,24 +351,24 @@ def ledger(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return spread.stash(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))), comp
 
 
-def _with_bucket(sim: np.ndarray, key: np.ndarray) -> list[tuple[int, int, int]]:
-    """Members of a bucket that are near another, marked with their near group's least key and bucket's SimHash part."""
-    s = sim.view(np.uint64)
+def _with_bucket(reach: int, sim: np.ndarray, key: np.ndarray, size: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Members of a bucket that are near another, marked with a hash of them all whose low bits are the bucket's kind."""
+    s, kind = sim.view(np.uint64), REACH.index(reach)
     if len(s) == 2:
-        if np.bitwise_count(s[0] ^ s[1]) > DISTANCE:
+        if not _alike(s[0], s[1], size[0], size[1], reach):
             return []
-        return [(int(k), int(x), int(key[0] ^ key[1])) for k, x in zip(key, sim, strict=True)]
-    p = _near(s, 0, len(s))
+        return [(int(k), int(x), int(n), int(key[0] ^ key[1]) & ~3 | kind) for k, x, n in zip(key, sim, size, strict=True)]
+    p = _near(s, size, reach)
     if not len(p):
         return []
     at = np.unique(p)
-    part = int(np.bitwise_xor.reduce(key[at]))
-    return [(int(key[i]), int(sim[i]), part) for i in at.tolist()]
+    part = int(np.bitwise_xor.reduce(key[at])) & ~3 | kind
+    return [(int(key[i]), int(sim[i]), int(size[i]), part) for i in at.tolist()]
 
 
-def _across(sim: np.ndarray, key: np.ndarray, component: np.ndarray, most: int) -> list[tuple[int, int, bool]]:
+def _across(reach: int, sim: np.ndarray, key: np.ndarray, size: np.ndarray, component: np.ndarray, most: int) -> list[tuple[int, int, bool]]:
     s, out, seen = sim.view(np.uint64), [], {}
-    for p, q in _near(s, 0, len(s)).tolist():
+    for p, q in _near(s, size, reach).tolist():
         if component[p] == component[q] or key[p] == key[q]:
             continue
         g = (min(component[p], component[q]), max(component[p], component[q]))
@@ -330,7 +402,7 @@ def _worded(line: str) -> bool:
 def op1_line_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (with a word), n_removed, kept_sha256 (of the kept lines joined by line feeds)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long"), "text")
-    rows = _apply(docs, ledger(docs)[0])
+    rows = _apply(docs, ledger(docs, wide=True)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,7 +421,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with their kept lines; `n_chars` is set anew. A document that loses lines and has no line with a word left goes."""
     names = docs.columns
     text = names.index("text")
-    rows = _apply(docs, ledger(docs)[0])
+    rows = _apply(docs, ledger(docs, wide=True)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

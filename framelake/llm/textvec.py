@@ -102,6 +102,14 @@ class Text:
             h = (sums[ends] - sums[starts]) * down[starts]
         return mix(h + (ends - starts).astype(np.uint64))
 
+    def hashes_without(self, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
+        """The hashes that the byte ranges would have without their byte `at`."""
+        up, down = _powers(len(self.buf) + 1)
+        with np.errstate(over="ignore"):
+            sums = np.append(np.uint64(0), np.cumsum(values[self.buf] * up[: len(self.buf)]))
+            h = (sums[at] - sums[starts]) * down[starts] + (sums[ends] - sums[at + 1]) * down[starts + 1]
+        return mix(h + (ends - starts - 1).astype(np.uint64))
+
 
 def texts(column: pa.Array | pa.ChunkedArray, most: int = SLICE) -> Iterator[Text]:
     """Slices of a string column; null counts as empty."""

@@ -262,6 +262,45 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.line_stage(spark, empty, "").count() == 0
 
 
+def test_line_dedup_finds_changed_lines(spark, sf_dir, docs, empty):
+    r = random.Random(11)
+    texts = [x.text or "" for x in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
+    real = sorted({line_dedup.normal(y) for x in texts for y in x.split("\n")} - {""})
+    real = r.sample(real, min(400, len(real)))
+    vocab = sorted({w for x in real for w in x.split()})
+
+    def letter(x):
+        i = r.choice([i for i, c in enumerate(x) if c != " "])
+        return x[:i] + r.choice([c for c in "abcdefghijklmnopqrstuvwxyz" if c != x[i]]) + x[i + 1 :]
+
+    def word(x):
+        w = x.split()
+        for i in r.sample(range(len(w)), max(1, len(w) // 10)):
+            w[i] = r.choice(vocab)
+        return " ".join(w)
+
+    for edit in (letter, word):
+        pairs = [(x, y) for x in real if x != (y := edit(x)) and line_dedup.edit_similar(x, y)]
+        table_ = spark.createDataFrame([(i, "\n".join(p[k] for p in pairs)) for i, k in ((1, 0), (2, 1))], "doc_id long, text string")
+        gone = {x.doc_id: set(x.gone) for x in line_dedup.ledger(table_, wide=True)[0].collect()}
+        found = np.array([i in gone.get(2, ()) for i in range(len(pairs))])
+        assert len(pairs) > 100 and found.mean() > 0.9, edit.__name__
+        kept = by_id(line_dedup.line_stage(spark, table_, ""))
+        assert kept[1].text.count("\n") > 0.9 * len(pairs) and (2 not in kept or kept[2].text.count("\n") < 0.1 * len(pairs))
+    # of the small table, nothing goes but lines of one group by edit similarity, and nothing stays that the narrow step takes
+    occ = [(i, j, line_dedup.normal(y)) for i, x in sorted(table(docs).items()) for j, y in enumerate(x.split("\n")) if line_dedup.normal(y)]
+    norms = sorted({n for *_, n in occ})
+    group = components(range(len(norms)), [(i, j) for i in range(len(norms)) for j in range(i) if line_dedup.edit_similar(norms[i], norms[j])])
+    place, keep, most = {n: k for k, n in enumerate(norms)}, {}, set()
+    for i, j, n in occ:
+        if keep.setdefault(group[place[n]], (i, j)) != (i, j):
+            most.add((i, j))
+    flat = lambda wide: {(x.doc_id, j) for x in line_dedup.ledger(docs, wide)[0].collect() for j in x.gone}
+    got = flat(True)
+    assert flat(False) < got <= most and len(got) > 0.9 * len(most)
+    assert line_dedup.ledger(empty, wide=True)[0].count() == 0
+
+
 def test_pii_base_against_plain_patterns(docs, empty):
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
     for x in [t or "" for t in TEXTS] + ["a@@b.c", "1.2.3.4.5.6.7.8", "1.1.1.999", "a@b.c@d.e", "00001.2.3.4", "+1+2 345 678 901"]:
