@@ -2,22 +2,28 @@
 
 A line is what stands between line feeds. Its normal form is its words (ASCII letters, digits, code points above 0x7F;
 A-Z as a-z) joined by one space; lines without a word always stay. Lines with one normal form are one group. Two normal
-forms link if their 64-bit SimHashes (of words and pairs of neighbouring words) differ in at most DISTANCE bits and their edit similarity,
-1 - distance / length of the longer, is SIMILARITY or more. Of each connected group the occurrence with the least
-(doc_id, line) stays; the others go.
-
-Few pairs of that edit similarity are so close in SimHash (one changed word moves about ten bits of a line of twelve),
-so the query and the stage also try pairs that share a wide key (`Lines.wide`): lines of up to 3 words with one letter
-left out, of up to 8 words with one or two words left out, and of longer lines 8 minima of their 2- or 3-word hashes.
-These link by edit similarity alone; between longer lines, SimHashes may differ in at most WIDE bits.
-
-With 5 blocks and 3 bits, two blocks agree, so lines are dealt by the 10 pairs of blocks. In a bucket, lines are first
-offered to leaders only, which joins large groups without all their pairs; then all pairs within DISTANCE of lines not
-yet in one group are offered, at most PAIRS between two groups in a bucket and round, until none is left out. No bucket
-is capped. Frequent lines are aggregated before they are shuffled.
-
-Cases: null texts have no lines; null doc_ids neither lose lines nor take them from others; rows that share a doc_id are
-one document to the ledger; an empty table gives none; extra columns stay in the stage, and are ignored by the query.
+forms link if they meet in a bucket, their 64-bit SimHashes (of words and pairs of neighbouring words) differ in at most
+the bucket's REACH bits, and their edit similarity, 1 - distance / length of the longer, is SIMILARITY or more. Of each
+connected group the occurrence with the least (doc_id, line) stays; the others go.
+
+Buckets: the SimHash has 5 blocks, and lines meet by each of the 10 pairs of blocks; of 5 blocks, 3 bits leave two
+alone, so that all pairs within DISTANCE bits meet. Few pairs of that edit similarity are so close in SimHash (one changed word moves about ten bits of a line of twelve), so the query and the
+stage also let lines meet by wide keys (`Lines.wide`): lines of up to 3 words with one letter left out, of up to 8 words
+with one or two words left out, and longer lines by 8 minima of their 2- or 3-word hashes.
+
+1. `meet`: a task packs its distinct lines' entries (bucket, size, SimHash, key) into one page for each part of the
+   bucket hash, so a shuffle moves a few large rows. A part's entries are sorted; buckets of one line end there. In the
+   others, lines follow leaders: each line joins the first earlier one that it may link to. A bucket with HOT lines in
+   one task is led there, and only its leaders go on.
+2. Followers are verified against leaders by their texts, and links joined to groups.
+3. `across`: buckets with pairs that no leader covers, and whose lines aren't in one group, are compared again, the
+   largest group's lines against the others' in tiles of BLOCK lines. At most `most` pairs between two groups come from a
+   block and round; rounds go on until none is left out. No bucket is capped.
+
+Cases: null texts have no lines; null doc_ids neither lose lines nor take them from others; rows with one doc_id and one
+text are one document, but different texts under a doc_id are documents of their own (of equal (doc_id, line), the one
+with the lesser hash of its text stays); an empty table gives none; extra columns stay in the stage whatever their names,
+and are ignored by the query.
 """
 
 from __future__ import annotations
@@ -28,9 +34,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from framelake.llm import spread
 from framelake.llm import textvec as V
@@ -43,12 +48,16 @@ MINIMA, WIDE = 8, 24
 REACH = (DISTANCE, WIDE, 64)
 #: Bit ranges of the 5 blocks.
 BLOCKS = ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
+#: Lines of a bucket in one task from which they are led there; lines compared at a time; entries packed at a time.
+HOT, BLOCK, FLUSH = 512, 4096, 1 << 20
+#: Entry bytes, about the entries a line has, and about the bytes a part should have.
+ENTRY, ENTRIES, PART = 24, 20, 32 << 20
 
 
 class Lines:
     """Lines with a word of a slice: document, number, span, hash of the normal form, SimHash."""
 
-    def __init__(self, t: V.Text):
+    def __init__(self, t: V.Text, hashed: bool = True):
         ws, we = t.runs(V.ALNUM)
         ls, le = t.runs(V.LINE)
         first, last = np.searchsorted(ws, ls), np.searchsorted(ws, le)
@@ -67,6 +76,9 @@ class Lines:
         with np.errstate(over="ignore"):
             sums = np.append(np.uint64(0), np.cumsum(h * up[: len(h)]))
             self.key = V.mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+        if not hashed:
+            return
+        with np.errstate(over="ignore"):
             pair = V.mix(h + np.append(h[1:], np.uint64(0)) * V._K[9])
         chars = np.append(0, np.cumsum(V.ALNUM[t.buf] & ((t.buf & 0xC0) != 0x80)))
         self.size = chars[we[last - 1]] - chars[ws[first]] + last - first - 1  # characters of the normal form
@@ -77,11 +89,22 @@ class Lines:
             ones[two] += _bit_counts(pair, first[two], last[two] - 1)
         self.sim = np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).reshape(-1)
 
-    def wide(self) -> tuple[np.ndarray, pa.ListArray]:
-        """Each line's kind and wide keys; a long line's key k is its least word hash by the k-th order."""
+    def buckets(self, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(line, bucket) of all lines; a bucket's low two bits are its kind."""
         n = len(self.starts)
         if not n:
-            return np.zeros(0, np.int8), pa.array([], pa.list_(pa.int32()))
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        block = [self.sim >> np.uint64(a) & np.uint64((1 << (b - a)) - 1) for a, b in BLOCKS]
+        own = [V.mix((block[i] << np.uint64(16) | block[j]) + V._K[48 + k]) & ~np.uint64(3) for k, (i, j) in enumerate(combinations(range(5), 2))]
+        row, key = np.tile(np.arange(n), len(own)), np.concatenate(own)
+        if wide:
+            more, keys = self.wide()
+            kind = np.where((self._at[4] - self._at[3])[more] > 8, 1, 2).astype(np.uint64)
+            row, key = np.append(row, more), np.append(key, keys & ~np.uint64(3) | kind)
+        return row, key
+
+    def wide(self) -> tuple[np.ndarray, np.ndarray]:
+        """(line, wide key); a long line's key k is its least word hash by the k-th order."""
         t, ws, we, first, last = self._at
         h, size = self._words, last - first
         rows, keys = [], []
@@ -111,11 +134,7 @@ class Lines:
                     less[:, w] = t.hashes_without(i[line], j[line], at, V.LOWER)
                     rows.append(some[line])
                     keys.append(_in_order(less))
-        row, key = np.concatenate(rows), np.concatenate(keys)
-        order = np.argsort(row, kind="stable")
-        offsets = np.append(0, np.cumsum(np.bincount(row, minlength=n)))
-        values = pa.array((key[order] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-        return np.where(size > 8, 1, 2).astype(np.int8), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+        return np.concatenate(rows), np.concatenate(keys)
 
 
 def _in_order(words: np.ndarray) -> np.ndarray:
@@ -146,109 +165,6 @@ def _bit_counts(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.n
     return np.add.reduceat(out.reshape(-1, 64), head, axis=0, dtype=np.int32)
 
 
-def occurrences(docs: DataFrame, wide: bool = False) -> DataFrame:
-    """Rows (key, sim, size, doc_id, line), and (kind, wide) if asked for, of every line with a word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for t in V.texts(batch.column(1)):
-                x = Lines(t)
-                cols = [pa.array(V.signed(x.key)), pa.array(V.signed(x.sim)), pa.array(x.size), pa.array(ids[t.first + x.doc]), pa.array(x.line.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*cols, *map(pa.array, x.wide())] if wide else cols, names)
-
-    names = ["key", "sim", "size", "doc_id", "line", *(["kind", "wide"] if wide else [])]
-    return docs.mapInArrow(run, "key long, sim long, size long, doc_id long, line int" + (", kind byte, wide array<int>" if wide else ""))
-
-
-def _alike(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, reach: int) -> np.ndarray:
-    """Whether SimHashes x and y are within `reach` bits, and lengths m and n allow for the edit similarity."""
-    return (np.bitwise_count(x ^ y) <= reach) & (np.abs(m - n) <= (1 - SIMILARITY) * np.maximum(m, n) + 1e-9)
-
-
-def _near(sim: np.ndarray, size: np.ndarray, reach: int) -> np.ndarray:
-    """Pairs (p, q), p < q, that are _alike; in blocks."""
-    out = []
-    for a in range(0, len(sim), 1024):
-        for b in range(a, len(sim), 1024):
-            p, q = np.nonzero(_alike(sim[a : a + 1024, None], sim[None, b : b + 1024], size[a : a + 1024, None], size[None, b : b + 1024], reach))
-            keep = p + a < q + b
-            out.append(np.stack([p[keep] + a, q[keep] + b], 1))
-    return np.concatenate(out)
-
-
-def _stream(rows: DataFrame, columns: list[str], handle, schema: str) -> DataFrame:
-    """handle(bucket's REACH, its columns) over rows dealt and sorted by `bucket`; only one batch and one bucket are held."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            cols = [table.column(c).to_numpy() for c in columns]
-            b = cols[0]
-            cut = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
-            size = np.diff(np.append(cut, len(b)))
-            out = []
-            for i, n in zip(cut[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-                out += handle(REACH[int(b[i]) & 3], *(c[i : i + n] for c in cols[1:]))
-            names = [c.split()[0] for c in schema.split(",")]
-            arrays = list(zip(*out, strict=True)) or [()] * len(names)
-            kinds = [pa.bool_() if c.split()[1] == "boolean" else pa.int64() for c in schema.split(",")]
-            return pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], names)
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            b = table.column("bucket").to_numpy()
-            other = np.flatnonzero(b != b[-1])
-            if len(other):
-                n = int(other[-1]) + 1
-                yield flush(table.slice(0, n))
-                held = table.slice(n).combine_chunks().to_batches()
-        if held:
-            yield flush(pa.Table.from_batches(held))
-
-    return rows.select(*columns).repartition("bucket").sortWithinPartitions("bucket", *columns[1:]).mapInArrow(run, schema)
-
-
-def _leaders(reach: int, sim: np.ndarray, key: np.ndarray, size: np.ndarray) -> list[tuple[int, int, int]]:
-    """(bucket member, leader): every line that is _alike an earlier leader follows it; others lead. Leaders follow none."""
-    sim = sim.view(np.uint64)
-    if len(key) == 2:
-        return [(int(key[0]), int(key[1]))] if _alike(sim[0], sim[1], size[0], size[1], reach) else []
-    lead, out = np.zeros(len(key), np.int64), []
-    n = 0
-    for i in range(len(key)):
-        near = np.flatnonzero(_alike(sim[lead[:n]], sim[i], size[lead[:n]], size[i], reach))
-        if len(near):
-            out.append((int(key[lead[near[0]]]), int(key[i])))
-        else:
-            lead[n] = i
-            n += 1
-    return out
-
-
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, norm): normal forms of the wanted (key, doc_id, line)."""
-    at = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "key")).alias("at"))
-    rows = spread.apply_filter(docs, "doc_id", spread.row_filter(wanted.select("doc_id"))).join(at.hint("shuffle_hash"), "doc_id").select("text", "at")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, norms = [], []
-            for i, at in enumerate(batch.column(1).to_pylist()):
-                lines = (batch.column(0)[i].as_py() or "").split("\n")
-                for x in at:
-                    if x["line"] < len(lines):
-                        keys.append(x["key"])
-                        norms.append(normal(lines[x["line"]]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(norms, pa.string())], ["key", "norm"])
-
-    return rows.mapInArrow(run, "key long, norm string")
-
-
 def normal(line: str) -> str:
     raw = line.encode()
     return b" ".join(raw.translate(_FOLD).split()).decode()
@@ -258,7 +174,8 @@ _FOLD = bytes((i + 32 if 65 <= i <= 90 else i) if V.ALNUM[i] else 32 for i in ra
 
 
 def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether 1 - edit distance / longer length >= least. Ends in common are cut; then Myers' bit vectors."""
+    """Whether 1 - edit distance / longer length >= least. Ends in common are cut; what word by word is near enough is
+    near enough; else Myers' bit vectors."""
     if len(a) > len(b):
         a, b = b, a
     most = int((1 - least) * len(b) + 1e-9)
@@ -271,8 +188,13 @@ def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     while j < len(a) - i and a[-1 - j] == b[-1 - j]:
         j += 1
     a, b = a[i : len(a) - j], b[i : len(b) - j]
+    if len(b) <= most:
+        return True
     if not a:
-        return len(b) <= most
+        return False
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
+        return True
     place: dict[str, int] = {}
     for k, c in enumerate(a):
         place[c] = place.get(c, 0) | 1 << k
@@ -292,10 +214,193 @@ def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return score <= most
 
 
+def _entries(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
+    """Rows (part, page) of packed entries; and of hot buckets' lines, rows (bucket, a, b, sim, size) as `meet` makes them."""
+    kind = np.dtype([("bucket", np.uint64), ("sim", np.uint64), ("key", np.int64)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        n = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            key, sim, size, row, bucket = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            # a line that comes again is one line here
+            lines = np.zeros(len(key), bool)
+            lines[np.unique(key, return_index=True)[1]] = True
+            own = lines[row]
+            row, bucket = row[own], bucket[own]
+            order = np.argsort(bucket)
+            row, bucket = row[order], bucket[order]
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            many = np.flatnonzero(np.diff(np.append(cut, len(bucket))) >= HOT)
+            flag, stays = np.zeros(len(row), np.uint64), np.ones(len(row), bool)
+            for i, j in zip(cut[many].tolist(), np.append(cut, len(bucket))[many + 1].tolist(), strict=True):
+                x = row[i:j][np.argsort(key[row[i:j]])]
+                row[i:j] = x
+                lead = _lead(REACH[int(bucket[i]) & 3], sim[x], size[x])
+                stays[i:j], flag[i:j] = lead < 0, 1
+                yield _rows(np.full(j - i, int(bucket[i]) & _LOW, np.int64), key[x], np.where(lead < 0, 0, key[x[lead]]), lead >= 0, sim[x], size[x])
+            row, bucket, flag = row[stays], bucket[stays], flag[stays]
+            page = np.empty(len(row), kind)
+            page["bucket"] = (bucket << np.uint64(16)) | (flag << np.uint64(15)) | np.minimum(size[row], 0x7FFF).astype(np.uint64)
+            page["sim"], page["key"] = sim[row], key[row]
+            part = ((bucket >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+            cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)]  # sorted by bucket, so by part
+            pages = [page[i:j].tobytes() for i, j in zip(cut.tolist(), np.append(cut[1:], len(part)).tolist(), strict=True)]
+            m = len(pages)
+            none = [pa.nulls(m, pa.int64()) for _ in range(5)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(pages, pa.binary()), *none], _FIELDS)
+
+        for batch in batches:
+            for t in V.texts(batch.column(0)):
+                x = Lines(t)
+                row, bucket = x.buckets(wide)
+                base = sum(len(h[0]) for h in held)
+                held.append((V.signed(x.key), x.sim, x.size, row + base, bucket))
+                n += len(row)
+                if n >= FLUSH:
+                    yield from flush()
+                    n = 0
+        if held:
+            yield from flush()
+
+    return docs.select("text").mapInArrow(run, "part int, page binary, bucket long, a long, b long, sim long, size long")
+
+
+_FIELDS = ["part", "page", "bucket", "a", "b", "sim", "size"]
+_LOW = (1 << 48) - 1
+
+
+def _rows(bucket: np.ndarray, a: np.ndarray, b: np.ndarray, follows: np.ndarray, sim: np.ndarray, size: np.ndarray, book: np.ndarray | None = None) -> pa.RecordBatch:
+    """Lines of buckets: the line `a`, its leader `b` if it follows one; `bucket` if the line's bucket needs `across`."""
+    n = len(a)
+    part = pa.array((a % 1021).astype(np.int32))
+    return pa.RecordBatch.from_arrays([part, pa.nulls(n, pa.binary()), pa.array(bucket, mask=None if book is None else ~book), pa.array(a), pa.array(b, mask=~follows), pa.array(V.signed(sim)), pa.array(size.astype(np.int64))], _FIELDS)
+
+
+def _alike(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, reach: int) -> np.ndarray:
+    """Whether SimHashes x and y are within `reach` bits, and lengths m and n allow for the edit similarity."""
+    return (np.bitwise_count(x ^ y) <= reach) & (np.abs(m - n) <= (1 - SIMILARITY) * np.maximum(m, n) + 1e-9)
+
+
+def _lead(reach: int, sim: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each line, the place of the first leader that it is _alike, or -1 if it leads. In blocks."""
+    lead = np.full(len(sim), -1)
+    for start in range(0, len(sim), BLOCK):
+        rest = np.arange(start, min(start + BLOCK, len(sim)))
+        while len(rest) > 1:
+            x, rest = rest[0], rest[1:]
+            near = _alike(sim[rest], sim[x], size[rest], size[x], reach)
+            lead[rest[near]] = x
+            rest = rest[~near]
+    return lead
+
+
+def meet(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
+    """Rows (bucket, a, b, sim, size) of lines that meet: `a` follows `b`, or leads (null); `bucket` is null unless some
+    pair of the bucket that may link has no leader in it."""
+
+    def page(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(found) < 2:
+            return
+        bucket = found["bucket"] >> np.uint64(16)
+        order = np.argsort(bucket, kind="stable")
+        same = bucket[order[1:]] == bucket[order[:-1]]
+        found = found[order[np.append(same, False) | np.append(False, same)]]
+        if not len(found):
+            return
+        found = found[np.lexsort((found["key"], found["bucket"] >> np.uint64(16)))]
+        bucket, key = found["bucket"] >> np.uint64(16), found["key"]
+        found = found[np.append(True, (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1]))]
+        bucket, key, sim = (found["bucket"] >> np.uint64(16)).astype(np.int64), found["key"], found["sim"]
+        size, flag = (found["bucket"] & np.uint64(0x7FFF)).astype(np.int64), (found["bucket"] & np.uint64(0x8000)) > 0
+        cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        count = np.diff(np.append(cut, len(bucket)))
+        lead, book, named = np.full(len(key), -1), np.zeros(len(key), bool), bucket.copy()
+        two = cut[count == 2]
+        near = _alike(sim[two], sim[two + 1], size[two], size[two + 1], np.array(REACH)[bucket[two] & 3])
+        lead[two[near] + 1] = two[near]
+        book[two] = book[two + 1] = flag[two] | flag[two + 1]
+        for i, m in zip(cut[count > 2].tolist(), count[count > 2].tolist(), strict=True):
+            s, z, reach = sim[i : i + m], size[i : i + m], REACH[bucket[i] & 3]
+            if m > 64:
+                got = _lead(reach, s, z)
+                book[i : i + m] = (got >= 0).any() or flag[i : i + m].any()
+            else:
+                may = np.triu(_alike(s[:, None], s[None], z[:, None], z[None], reach), 1)
+                got = np.full(m, -1)
+                for x in range(m):
+                    if got[x] < 0:
+                        follow = may[x] & (got < 0)
+                        got[follow] = x
+                        may[x, follow] = False
+                if flag[i : i + m].any():
+                    book[i : i + m] = True
+                elif may.any():  # pairs that no leader covers: these lines, under a name that equal sets of lines share
+                    some = may.any(0) | may.any(1)
+                    book[i : i + m] = some
+                    named[i : i + m] = int(np.bitwise_xor.reduce(key[i : i + m][some])) & ~3 | int(bucket[i]) & 3
+            lead[i : i + m] = np.where(got >= 0, got + i, -1)
+        keep = (lead >= 0) | book
+        yield _rows(named[keep], key[keep], key[np.maximum(lead, 0)][keep], (lead >= 0)[keep], sim[keep], size[keep], book[keep])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = np.dtype([("bucket", np.uint64), ("sim", np.uint64), ("key", np.int64)])
+        pages: list[bytes] = []
+        for batch in batches:
+            some = batch.column(1).is_valid()
+            pages += batch.column(1).filter(some).to_pylist()
+            yield batch.filter(pa.array(~some.to_numpy(zero_copy_only=False))).select(_FIELDS[2:])
+        found = np.frombuffer(b"".join(pages), kind)
+        pages.clear()
+        # a part of a part at a time, if it is larger than planned: buckets stay whole
+        steps = max(1, len(found) * ENTRY // (2 * PART))
+        which = (found["bucket"] >> np.uint64(16)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33) if steps > 1 else None
+        for k in range(steps):
+            for out in page(found if which is None else found[which % np.uint64(steps) == k]):
+                yield out.select(_FIELDS[2:])
+
+    dealt = _entries(docs, wide, parts).repartitionById(parts, F.pmod("part", F.lit(parts)).cast("int"))
+    return dealt.mapInArrow(run, "bucket long, a long, b long, sim long, size long")
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """Rows (key, doc_id, text_hash, line) of every line with a word, of (doc_id, text_hash, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hashes = (batch.column(c).to_numpy() for c in (0, 1))
+            for t in V.texts(batch.column(2)):
+                x = Lines(t, False)
+                yield pa.RecordBatch.from_arrays([pa.array(V.signed(x.key)), pa.array(ids[t.first + x.doc]), pa.array(hashes[t.first + x.doc]), pa.array(x.line.astype(np.int32))], ["key", "doc_id", "text_hash", "line"])
+
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(run, "key long, doc_id long, text_hash long, line int")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, norm): normal forms of the wanted (key, doc_id, text_hash, line)."""
+    at = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line", "key")).alias("at"))
+    rows = spread.split_by(docs, wanted.select("doc_id"))[0].join(at.hint("shuffle_hash"), ["doc_id", "text_hash"]).select("text", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, norms = [], []
+            for i, at in enumerate(batch.column(1)):
+                lines = (batch.column(0)[i].as_py() or "").split("\n")
+                for x in at.as_py():
+                    keys.append(x["key"])
+                    norms.append(normal(lines[x["line"]]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(norms, pa.string())], ["key", "norm"])
+
+    return rows.mapInArrow(run, "key long, norm string")
+
+
 def _verify(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("key"))
-    wanted = lines.join(ends.select("key").distinct(), "key", "left_semi").select("key", "doc_id", "line")
-    met = ends.join(_texts(docs, wanted), "key").groupBy("a", "b").agg(F.min("norm").alias("x"), F.max("norm").alias("y"))
+    """The pairs (a, b) whose normal forms are similar."""
+    wanted = lines.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("key", "doc_id", "text_hash", "line")
+    texts = spread.stash(_texts(docs, wanted).dropDuplicates(["key"]))
+    met = pairs.join(texts.select(F.col("key").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("norm").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,94 +410,104 @@ def _verify(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
+def _tiles(marked: DataFrame) -> DataFrame:
+    """Lines of buckets with several groups, dealt to tiles: each block of lines outside the largest group meets all blocks."""
+    groups = marked.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = groups.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("groups")).where("groups > 1")
+    mixed = spread.stash(mixed.selectExpr("bucket", "most.component AS largest", f"CAST(ceil(most.n / {BLOCK}) AS bigint) AS kl", f"CAST(ceil((n - most.n) / {BLOCK}) AS bigint) AS kr"))
+    rows = marked.join(mixed, "bucket").withColumn("large", F.col("component") == F.col("largest"))
+    rows = rows.withColumn("block", F.expr("pmod(xxhash64(key), IF(large, kl, kr))"))
+    tile = """IF(large, transform(sequence(0L, kr - 1), i -> named_struct('tile', i * (kl + kr) + kr + block, 'side', 1)),
+        concat(transform(sequence(0L, kl - 1), j -> named_struct('tile', block * (kl + kr) + kr + j, 'side', 0)),
+               transform(sequence(0L, kr - 1), x -> named_struct('tile', least(block, x) * (kl + kr) + greatest(block, x), 'side', IF(block <= x, 0, 1)))))"""
+    return rows.withColumn("t", F.explode(F.expr(tile))).select("bucket", "t.tile", "t.side", "key", "sim", "size", "component")
+
+
+def across(rows: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b, left) of different groups in a tile that may link; at most `most` of two groups in a block of a tile,
+    and whether there are more."""
+
+    def compare(reach: int, side: np.ndarray, key: np.ndarray, sim: np.ndarray, size: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        p, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        one = not len(q)
+        q = p if one else q
+        for a in range(0, len(p), 1024):
+            for b in range(a if one else 0, len(q), 1024):
+                i, j = p[a : a + 1024], q[b : b + 1024]
+                x, y = np.nonzero(_alike(sim[i][:, None], sim[j][None], size[i][:, None], size[j][None], reach) & (group[i][:, None] != group[j][None]))
+                i, j = i[x], j[y]
+                if one:
+                    i, j = i[i < j], j[i < j]
+                if not len(i):
+                    continue
+                lo, hi = np.minimum(group[i], group[j]), np.maximum(group[i], group[j])
+                order = np.lexsort((hi, lo))
+                i, j, lo, hi = i[order], j[order], lo[order], hi[order]
+                first = np.flatnonzero(np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
+                count = np.diff(np.append(first, len(i)))
+                keep = np.arange(len(i)) - np.repeat(first, count) < most
+                yield np.minimum(key[i], key[j])[keep], np.maximum(key[i], key[j])[keep], np.repeat(count > most, count)[keep]
+
+    def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket, tile, *rest = (table.column(c).to_numpy() for c in ("bucket", "tile", "side", "key", "sim", "size", "component"))
+        rest[2] = rest[2].view(np.uint64)
+        cut = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (tile[1:] != tile[:-1])))
+        for i, j in zip(cut.tolist(), np.append(cut[1:], len(bucket)).tolist(), strict=True):
+            if j - i > 1:
+                for got in compare(REACH[int(bucket[i]) & 3], *(x[i:j] for x in rest)):
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, got)), ["a", "b", "left"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(batch)
+            b, t = (batch.column(c).to_numpy() for c in (0, 1))
+            table = None
+            if (b[0], t[0]) != (b[-1], t[-1]) or (held[0].column(0)[0].as_py(), held[0].column(1)[0].as_py()) != (b[-1], t[-1]):
+                table = pa.Table.from_batches(held)
+                last = int(np.flatnonzero((b == b[-1]) & (t == t[-1]))[0]) + len(table) - len(batch)
+                yield from flush(table.slice(0, last))
+                held = table.slice(last).combine_chunks().to_batches()
+        if held:
+            yield from flush(pa.Table.from_batches(held))
+
+    return rows.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "key").mapInArrow(run, "a long, b long, left boolean")
+
+
 def ledger(docs: DataFrame, wide: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, gone array<int>): the lines each document loses; and (key, component) of the linked normal forms. `wide`
-    tries the pairs that share a wide key, too; without it, those within DISTANCE only."""
-    spread.small_batches(docs.sparkSession)
-    docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    found = spread.stash(occurrences(docs, wide))
-    more = ["kind", "wide"] if wide else []
-    lines = spread.stash(found.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("sim").alias("sim"), F.min("size").alias("size"), *(F.first(c).alias(c) for c in more)).select("key", "sim", "size", "at.doc_id", "at.line", *more))
-    part = lambda k: F.shiftrightunsigned("sim", BLOCKS[k][0]).bitwiseAND(F.lit((1 << (BLOCKS[k][1] - BLOCKS[k][0])) - 1))
-    keys = [F.shiftleft(F.shiftleft(part(i), 13).bitwiseOR(part(j)).bitwiseOR(F.lit(k << 26)), 2) for k, (i, j) in enumerate(combinations(range(5), 2))]
-    at = F.array(*keys)
-    if wide:  # never a block's: with bit 60; minima of different orders don't meet
-        low = lambda x, i: F.when(F.col("kind") == 1, i.cast("long") * (1 << 32)).otherwise(F.lit(0)) + x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-        at = F.concat(at, F.transform("wide", lambda x, i: low(x, i) * 4 + F.col("kind").cast("long") + F.lit(1 << 60)))
-    buckets = lines.select("key", "sim", "size", F.explode(at).alias("bucket"))
-    near = _stream(buckets, ["bucket", "sim", "key", "size"], _with_bucket, "key long,sim long,size long,part long")
-    near = spread.stash(near.distinct())
-    rows = near.select(F.col("part").alias("bucket"), "sim", "key", "size")
-    offers = _stream(rows, ["bucket", "sim", "key", "size"], _leaders, "a long,b long").distinct()
-    links = [spread.stash(_verify(docs, lines, offers))]
-    most = PAIRS
+    """(doc_id, text_hash, gone array<int>): the lines each document loses; and (key, component) of the linked normal
+    forms. `wide` lets lines meet by wide keys, too; without it, only those within DISTANCE bits are sure to."""
+    spark = docs.sparkSession
+    spread.small_batches(spark)
+    docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    seen = Observation()
+    found = spread.stash(occurrences(docs).observe(seen, F.count(F.lit(1)).alias("n")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(seen.get["n"] or 0) * ENTRIES * ENTRY // PART))
+    lines = spread.stash(found.groupBy("key").agg(F.min(F.struct("doc_id", "line", "text_hash")).alias("at"), F.count("*").alias("n")).select("key", "at.doc_id", "at.line", "at.text_hash", "n"))
+    met = spread.stash(meet(docs, wide, parts))
+    offers = spread.stash(met.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    book = met.where("bucket IS NOT NULL").select("bucket", F.col("a").alias("key"), "sim", "size").distinct()
+    links, tried, most = spread.stash(_verify(docs, lines, offers)), offers, PAIRS
     while True:
-        all_ = links[0]
-        for x in links[1:]:
-            all_ = all_.union(x)
-        comp = spread.components(all_).withColumnRenamed("node", "key")
-        marked = rows.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        mixed = marked.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
-        rest = spread.stash(_stream(marked.join(mixed, "bucket"), ["bucket", "sim", "key", "size", "component"], lambda reach, sim, key, size, c, m=most: _across(reach, sim, key, size, c, m), "a long,b long,left boolean"))
-        tried = offers.select("a", "b")
-        pairs = rest.groupBy("a", "b").agg(F.max("left").alias("left")).join(tried, ["a", "b"], "left_anti")
-        links.append(spread.stash(_verify(docs, lines, pairs)))
-        if not rest.where("left").limit(1).count():
+        comp = spread.stash(spread.components(links).withColumnRenamed("node", "key"))
+        marked = book.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        rest = spread.stash(across(_tiles(marked), most))
+        pairs = spread.stash(rest.groupBy("a", "b").agg(F.max("left").alias("left")).join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            break
+        tried = tried.union(pairs.select("a", "b"))
+        links = links.union(spread.stash(_verify(docs, lines, pairs.select("a", "b"))))
+        if pairs.where("left").isEmpty():
+            comp = spread.stash(spread.components(links).withColumnRenamed("node", "key"))
             break
         most *= 8
-    all_ = links[0]
-    for x in links[1:]:
-        all_ = all_.union(x)
-    comp = spread.stash(spread.components(all_).withColumnRenamed("node", "key"))
-    group = lines.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    keep = group.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("keep"))
+    group = lines.join(comp, "key", "left").where("n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "key"))
+    keep = group.groupBy("component").agg(F.min(F.struct("doc_id", "line", "text_hash")).alias("keep"))
     keep = group.select("key", "component").join(keep, "component").select("key", "keep")
-    gone = found.join(keep, "key").where("doc_id <> keep.doc_id OR line <> keep.line")
-    return spread.stash(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))), comp
-
-
-def _with_bucket(reach: int, sim: np.ndarray, key: np.ndarray, size: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Members of a bucket that are near another, marked with a hash of them all whose low bits are the bucket's kind."""
-    s, kind = sim.view(np.uint64), REACH.index(reach)
-    if len(s) == 2:
-        if not _alike(s[0], s[1], size[0], size[1], reach):
-            return []
-        return [(int(k), int(x), int(n), int(key[0] ^ key[1]) & ~3 | kind) for k, x, n in zip(key, sim, size, strict=True)]
-    p = _near(s, size, reach)
-    if not len(p):
-        return []
-    at = np.unique(p)
-    part = int(np.bitwise_xor.reduce(key[at])) & ~3 | kind
-    return [(int(key[i]), int(sim[i]), int(size[i]), part) for i in at.tolist()]
-
-
-def _across(reach: int, sim: np.ndarray, key: np.ndarray, size: np.ndarray, component: np.ndarray, most: int) -> list[tuple[int, int, bool]]:
-    s, out, seen = sim.view(np.uint64), [], {}
-    for p, q in _near(s, size, reach).tolist():
-        if component[p] == component[q] or key[p] == key[q]:
-            continue
-        g = (min(component[p], component[q]), max(component[p], component[q]))
-        seen[g] = seen.get(g, 0) + 1
-        if seen[g] <= most:
-            out.append((int(min(key[p], key[q])), int(max(key[p], key[q]))))
-    left = any(v > most for v in seen.values())
-    return [(a, b, left) for a, b in out]
-
-
-def _apply(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs with `_gone`, by a join of the documents that lose lines; the others aren't shuffled."""
-    held = spread.row_filter(gone.select("doc_id"))
-    names = docs.columns
-    marked = docs.withColumn("_at", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(spread.FILTER_BITS)).cast("int"))
-    schema = StructType([*docs.schema.fields, StructField("_maybe", BooleanType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.set_column(len(names), "_maybe", pa.array(held[b.column(len(names)).to_numpy(zero_copy_only=False)]))
-
-    split = marked.mapInArrow(run, schema)
-    near = split.where("_maybe").drop("_maybe").join(gone.select(F.col("doc_id").alias("_id"), F.col("gone").alias("_gone")).hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    return near.unionByName(split.where("NOT _maybe").drop("_maybe").withColumn("_gone", F.lit(None).cast("array<int>")))
+    gone = found.join(keep, "key").where("doc_id <> keep.doc_id OR line <> keep.line OR text_hash <> keep.text_hash")
+    return spread.stash(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone"))), comp
 
 
 def _worded(line: str) -> bool:
@@ -402,7 +517,7 @@ def _worded(line: str) -> bool:
 def op1_line_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (with a word), n_removed, kept_sha256 (of the kept lines joined by line feeds)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long"), "text")
-    rows = _apply(docs, ledger(docs, wide=True)[0])
+    rows, gone = spread.attach(docs, ledger(docs, wide=True)[0], "gone", by_text=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,14 +529,14 @@ def op1_line_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                 sha.append(hashlib.sha256("\n".join(x for i, x in enumerate(lines) if i not in drop).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_lines", "n_removed", "kept_sha256"])
 
-    return rows.select("doc_id", "text", "_gone").mapInArrow(run, "doc_id long, n_lines long, n_removed long, kept_sha256 string")
+    return rows.select("doc_id", "text", gone).mapInArrow(run, "doc_id long, n_lines long, n_removed long, kept_sha256 string")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with their kept lines; `n_chars` is set anew. A document that loses lines and has no line with a word left goes."""
     names = docs.columns
     text = names.index("text")
-    rows = _apply(docs, ledger(docs, wide=True)[0])
+    rows, gone = spread.attach(docs, ledger(docs, wide=True)[0], "gone", by_text=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -438,5 +553,5 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             cols = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep, pa.bool_()))
 
-    out = rows.select(*names, "_gone").mapInArrow(run, docs.schema)
+    out = rows.select(*names, gone).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

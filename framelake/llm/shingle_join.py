@@ -170,7 +170,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 def _close(docs: DataFrame, keys: DataFrame, k: int, percent: int, reps: int = 24) -> DataFrame:
     """Verified edges between documents of the same key. Each is compared with the last representatives of the key's
     groups only; what that misses is left to the trees."""
-    rows = spread.apply_filter(docs, "doc_id", spread.row_filter(keys.select("doc_id"))).join(keys, "doc_id").select("key", "doc_id", "text")
+    rows = spread.split_by(docs, keys.select("doc_id"))[0].join(keys, "doc_id").select("key", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -391,7 +391,7 @@ def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 def _verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, on exact sets: each pair's two sets meet under the pair."""
     ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
-    rows = spread.apply_filter(docs, "doc_id", spread.row_filter(ends.select("doc_id")))
+    rows = spread.split_by(docs, ends.select("doc_id"))[0]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -459,5 +459,5 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words, or with a null doc_id, stay.
     """
     gone = spread.stash(groups(docs, k=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct())
-    maybe, clear = spread.split_by(docs, "doc_id", spread.row_filter(gone))
+    maybe, clear = spread.split_by(docs, gone)
     return maybe.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns).union(clear)

@@ -1,4 +1,4 @@
-"""Shared parts of the operators that link rows: tables in the shared folder, fixed-size row filters, components."""
+"""Shared parts of the operators: tables in the shared folder, fixed-size row filters, components."""
 
 from __future__ import annotations
 
@@ -6,16 +6,16 @@ import atexit
 import tempfile
 import uuid
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set (tests), one of our own."""
+    """The cluster's checkpoint folder; where none is set and all runs in one process (tests), one of our own."""
     got = spark.conf.get("spark.checkpoint.dir", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         got = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got
@@ -44,48 +44,44 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Bits of a row filter; what is collected for one is at most so many small integers, however many rows there are.
-FILTER_BITS = 1 << 20
+#: Cells of a row filter; what is broadcast for one is at most so many small integers, however many rows there are.
+CELLS = 1 << 20
 
 
-def row_filter(ids: DataFrame) -> np.ndarray:
-    """A fixed-size table of the hashes of a column of longs. It passes all of them, and few others unless it fills up."""
-    col = ids.columns[0]
-    rows = ids.select(F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)).cast("int").alias("x"))
-    held = np.zeros(FILTER_BITS, bool)
-    held[rows.distinct().toArrow().column(0).to_numpy()] = True
-    return held
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with a suffix where a column has them already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
-def apply_filter(df: DataFrame, column: str, held: np.ndarray) -> DataFrame:
-    """Rows of df that a row filter passes, tested before any shuffle."""
-    if not held.any():
-        return df.limit(0)
-    if held.mean() > 0.5:
-        return df
-    names = df.columns
+def split_by(df: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of df whose doc_id may be among `ids` (a column of longs), and the others; neither is shuffled.
 
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(held[batch.column(len(names)).to_numpy(zero_copy_only=False)])).select(names)
-
-    return df.withColumn("_at", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")).mapInArrow(run, df.schema)
-
-
-def split_by(df: DataFrame, column: str, held: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Rows of df that a row filter passes, and the others; neither is shuffled."""
-    names = df.columns
-    marked = df.withColumn("_at", F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(FILTER_BITS)).cast("int"))
-
-    def part(want: bool):
-        def run(batches):
-            for batch in batches:
-                hit = held[batch.column(len(names)).to_numpy(zero_copy_only=False)]
-                yield batch.filter(pa.array(hit if want else ~hit)).select(names)
-
-        return run
-
-    return marked.mapInArrow(part(True), df.schema), marked.mapInArrow(part(False), df.schema)
+    Ids are hashed to CELLS cells, and the cells in use are broadcast: at most CELLS integers.
+    """
+    (cell,) = unused(df.columns, "cell")
+    hashed = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(CELLS)).cast("int")
+    cells = F.broadcast(ids.select(hashed(ids.columns[0]).alias(cell)).distinct())
+    marked = df.withColumn(cell, hashed("doc_id"))
+    return tuple(marked.join(cells, cell, how).select(*df.columns) for how in ("left_semi", "left_anti"))
+
+
+def attach(docs: DataFrame, found: DataFrame, value: str, by_text: bool = False) -> tuple[DataFrame, str]:
+    """docs and the name of a new last column: found's `value` of the row's doc_id (and of the hash of its text, if
+    by_text), null if there is none. found has each doc_id (and text_hash) once. Documents without one aren't shuffled."""
+    name, id_, hash_ = unused(docs.columns, value, "doc_id", "text_hash")
+    near, far = split_by(docs, found.select("doc_id"))
+    other = found.select(F.col("doc_id").alias(id_), *([F.col("text_hash").alias(hash_)] if by_text else []), F.col(value).alias(name))
+    on = F.col("doc_id").cast("long") == F.col(id_)
+    if by_text:
+        on &= F.xxhash64("text") == F.col(hash_)
+    near = near.join(other.hint("shuffle_hash"), on, "left").select(*docs.columns, name)
+    return near.union(far.withColumn(name, F.lit(None).cast(found.schema[value].dataType))), name
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
