@@ -29,6 +29,8 @@ and are ignored by the query.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -174,27 +176,126 @@ _FOLD = bytes((i + 32 if 65 <= i <= 90 else i) if V.ALNUM[i] else 32 for i in ra
 
 
 def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether 1 - edit distance / longer length >= least. Ends in common are cut; what word by word is near enough is
-    near enough; else Myers' bit vectors."""
-    if len(a) > len(b):
-        a, b = b, a
-    most = int((1 - least) * len(b) + 1e-9)
-    if len(b) - len(a) > most:
-        return False
-    i = 0
-    while i < len(a) and a[i] == b[i]:
-        i += 1
-    j = 0
-    while j < len(a) - i and a[-1 - j] == b[-1 - j]:
-        j += 1
-    a, b = a[i : len(a) - j], b[i : len(b) - j]
-    if len(b) <= most:
-        return True
-    if not a:
-        return False
-    x, y = a.split(" "), b.split(" ")
-    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
-        return True
+    """Whether 1 - edit distance / longer length >= least."""
+    return bool(similar([a], [b], least)[0])
+
+
+def similar(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarray:
+    """Which pairs are edit_similar. Ends in common are cut; what is near enough word by word is near enough; the others
+    go through Myers' bit vectors, in numpy for many pairs at once, or, if they are long, one by one."""
+    out, left = np.zeros(len(xs), bool), []
+    for k, (a, b) in enumerate(zip(xs, ys, strict=True)):
+        if len(a) > len(b):
+            a, b = b, a
+        most = int((1 - least) * len(b) + 1e-9)
+        if len(b) - len(a) > most:
+            continue
+        i = 0
+        while i < len(a) and a[i] == b[i]:
+            i += 1
+        j = 0
+        while j < len(a) - i and a[-1 - j] == b[-1 - j]:
+            j += 1
+        a, b = a[i : len(a) - j], b[i : len(b) - j]
+        if len(b) <= most:
+            out[k] = True
+        elif a:
+            x, y = a.split(" "), b.split(" ")
+            if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
+                out[k] = True
+            elif len(a) > 64 * WORDS:
+                out[k] = _at_most(x, y) <= most or _near_enough(a, b, most)
+            else:
+                left.append((-(-len(a) // 64), len(b), k, a, b, most))
+    left.sort()
+    start = 0
+    while start < len(left):
+        words, stop = left[start][0], start
+        while stop < len(left) and left[stop][0] == words and stop - start < max(1, 4096 // words):
+            stop += 1
+        part = left[start:stop]
+        if len(part) < 16:
+            for _, _, k, a, b, most in part:
+                out[k] = _near_enough(a, b, most)
+            start = stop
+            continue
+        out[[x[2] for x in part]] = _distances([x[3] for x in part], [x[4] for x in part], words) <= np.array([x[5] for x in part])
+        start = stop
+    return out
+
+
+#: Words of 64 code points up to which pairs are compared in numpy.
+WORDS = 32
+
+
+def _distances(xs: list[str], ys: list[str], words: int) -> np.ndarray:
+    """Edit distances of pairs, each x being of `words` words of 64 code points and not longer than y."""
+    n, m, size = len(xs), np.array(list(map(len, xs))), np.array(list(map(len, ys)))
+    points = lambda texts: np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    spread_ = lambda k: (np.repeat(np.arange(n), k), np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k))
+    letters, code = np.unique(points(xs), return_inverse=True)
+    row, at = spread_(m)
+    match = np.zeros((n * (len(letters) + 1), words), np.uint64)  # the last letter stands for all that x hasn't
+    np.bitwise_or.at(match, (row * (len(letters) + 1) + code, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    y = points(ys)
+    code = np.minimum(np.searchsorted(letters, y), len(letters) - 1)
+    code = np.where(letters[code] == y, code, len(letters))
+    row, at = spread_(size)
+    columns = np.full((int(size.max()), n), len(letters))
+    columns[at, row] = code
+    columns += np.arange(n) * (len(letters) + 1)
+    up, down = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
+    score, last, one, top = m.copy(), ((m - 1) & 63).astype(np.uint64), np.uint64(1), np.uint64(63)
+    for j, column in enumerate(columns):
+        more, less = np.ones(n, np.uint64), np.zeros(n, np.uint64)  # by which the row above grows or shrinks
+        for w in range(words):
+            eq, pv, mv = match[column, w], up[w], down[w]
+            xv = eq | mv
+            eq = eq | less
+            xh = (((eq & pv) + pv) ^ pv) | eq
+            ph, mh = mv | ~(xh | pv), pv & xh
+            if w == words - 1:
+                step = ((ph >> last) & one).astype(np.int64) - ((mh >> last) & one).astype(np.int64)
+                score += np.where(j < size, step, 0)
+            ph, more = (ph << one) | more, ph >> top
+            mh, less = (mh << one) | less, mh >> top
+            up[w], down[w] = mh | ~(xv | ph), ph & xv
+    return score
+
+
+def _at_most(x: list[str], y: list[str]) -> int:
+    """An upper bound of the edit distance of two texts by words: between words that both have once, in like order."""
+    once = lambda words: {w: i for i, w in enumerate(words)} if len(set(words)) == len(words) else {w: i for (w, n), i in zip(Counter(words).items(), _first(words), strict=True) if n == 1}
+    place, ends, tails, back = once(y), [], [], {}
+    for w, i in once(x).items():
+        if (j := place.get(w)) is None:
+            continue
+        k = bisect_left(ends, j)
+        back[j] = (i, tails[k - 1] if k else None)
+        ends[k : k + 1], tails[k : k + 1] = [j], [j]
+    path, j = [], tails[-1] if tails else None
+    while j is not None:
+        path.append((back[j][0], j))
+        j = back[j][1]
+    total, i, j = 0, 0, 0
+    for p, q in [*reversed(path), (len(x), len(y))]:
+        a, b = " ".join(x[i:p]), " ".join(y[j:q])
+        # the space beside an empty part counts, too
+        total += 0 if a == b and (p - i) == (q - j) else max(len(a), len(b)) + 1
+        i, j = p + 1, q + 1
+    return total
+
+
+def _first(words: list[str]) -> list[int]:
+    """Where each different word comes first, in order."""
+    seen: dict[str, int] = {}
+    for i, w in enumerate(words):
+        seen.setdefault(w, i)
+    return list(seen.values())
+
+
+def _near_enough(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is `most` or less, by bit vectors of a's length."""
     place: dict[str, int] = {}
     for k, c in enumerate(a):
         place[c] = place.get(c, 0) | 1 << k
@@ -404,8 +505,8 @@ def _verify(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [edit_similar(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = similar(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep))
 
     return met.mapInArrow(run, "a long, b long")
 

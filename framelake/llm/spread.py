@@ -39,7 +39,13 @@ def stash(df: DataFrame) -> DataFrame:
     """df written once to the shared folder as Parquet and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")  # its shuffles aren't needed once it is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -66,6 +66,7 @@ class Text:
     def __init__(self, buf: np.ndarray, offs: np.ndarray, first: int):
         self.buf, self.offs, self.first = buf, offs, first
         self.n = len(offs) - 1
+        self._kept: tuple[np.ndarray, np.ndarray] | None = None
 
     def bytes(self, i: int) -> bytes:
         return self.buf[self.offs[i] : self.offs[i + 1]].tobytes()
@@ -92,21 +93,27 @@ class Text:
         """For each document, where its words begin in starts; n + 1 values."""
         return np.searchsorted(starts, self.offs, "left")
 
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        """Prefix sums of the weighed bytes; kept for the last table of values."""
+        if self._kept is None or self._kept[0] is not values:
+            sums = np.empty(len(self.buf) + 1, np.uint64)
+            sums[0] = 0
+            with np.errstate(over="ignore"):
+                np.cumsum(values[self.buf] * _powers(len(self.buf) + 1)[0][: len(self.buf)], out=sums[1:])
+            self._kept = values, sums
+        return self._kept[1]
+
     def hashes(self, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
         """A 64-bit hash of each byte range, equal for equal content wherever it stands."""
-        up, down = _powers(len(self.buf) + 1)
+        sums, down = self._sums(values), _powers(len(self.buf) + 1)[1]
         with np.errstate(over="ignore"):
-            sums = np.empty(len(self.buf) + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum(values[self.buf] * up[: len(self.buf)], out=sums[1:])
             h = (sums[ends] - sums[starts]) * down[starts]
         return mix(h + (ends - starts).astype(np.uint64))
 
     def hashes_without(self, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
         """The hashes that the byte ranges would have without their byte `at`."""
-        up, down = _powers(len(self.buf) + 1)
+        sums, down = self._sums(values), _powers(len(self.buf) + 1)[1]
         with np.errstate(over="ignore"):
-            sums = np.append(np.uint64(0), np.cumsum(values[self.buf] * up[: len(self.buf)]))
             h = (sums[at] - sums[starts]) * down[starts] + (sums[ends] - sums[at + 1]) * down[starts + 1]
         return mix(h + (ends - starts - 1).astype(np.uint64))
 
