@@ -41,6 +41,7 @@ BITS = 2048
 SAMPLE, SIGMAS = 700, 9
 GROUP = 2_000_000  # occurrences counted at a time
 PAIRS = 64
+FIRST = 4  # least shared shingles that a row carries, so that a pair is offered in one bucket
 BLOCK = 4096  # members of a bucket in one tree; larger buckets are joined block by block
 
 _LOWERED = V.BYTE.copy()
@@ -78,12 +79,19 @@ def _level(n: int) -> int:
     return max(0, (-(-n // SAMPLE) - 1).bit_length())
 
 
-def _bitmap(a: np.ndarray, level: int) -> tuple[bytes, int]:
-    """Bitmap and size of a set's sample at a level. The sorted hashes' first part is the sample."""
-    part = a[: np.searchsorted(a, np.uint64(1) << np.uint64(64 - level))] if level else a
+def _bitmap(a: np.ndarray, level: int) -> tuple[bytes, int, int]:
+    """Bitmap and size of a set's sample at a level, and the sample's size at the next. The sorted hashes' first part is
+    the sample, and its bits are in that order: the bitmap's first half, coarser, is the next level's."""
+    part, less = (a[: np.searchsorted(a, np.uint64(1) << np.uint64(64 - x))] if x else a for x in (level, level + 1))
     bits = np.zeros(BITS, bool)
-    bits[(part >> np.uint64(7)) % np.uint64(BITS)] = True
-    return np.packbits(bits).tobytes(), len(part)
+    bits[part >> np.uint64(64 - level - (BITS.bit_length() - 1))] = True
+    return np.packbits(bits).tobytes(), len(part), len(less)
+
+
+def _next_level(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps at the next level, from rows of BITS // 64 numbers: each bit of the first half stands for two."""
+    half = np.unpackbits(np.ascontiguousarray(bits[:, : BITS // 128]).view(np.uint8), axis=1)
+    return np.packbits(np.repeat(half, 2, axis=1), axis=1).view(np.uint64)
 
 
 def frequent(docs: DataFrame, k: int) -> np.ndarray:
@@ -113,7 +121,7 @@ def frequent(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """doc_id, n, set fingerprint f1 and f2, prefix shingles, level, and bitmaps and sample sizes at it and at the next."""
+    """doc_id, n, set fingerprint f1 and f2, prefix shingles, level, bitmap, and sample sizes at the level and at the next."""
     held = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,14 +141,14 @@ def signatures(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFr
                         order = a[:length]
                     prefix.append(V.signed(order))
                     level = _level(len(a))
-                    maps.append((level, *_bitmap(a, level), *_bitmap(a, level + 1)))
-                level, b0, s0, b1, s1 = zip(*maps, strict=True)
+                    maps.append((level, *_bitmap(a, level)))
+                level, b0, s0, s1 = zip(*maps, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(t.first, t.n), pa.array(n, pa.int64()), pa.array(V.signed(np.array(f1, np.uint64))), pa.array(V.signed(np.array(f2, np.uint64))), pa.array(prefix, pa.list_(pa.int64())), pa.array(level, pa.int64()), pa.array(b0, pa.binary()), pa.array(s0, pa.int64()), pa.array(b1, pa.binary()), pa.array(s1, pa.int64())],
-                    ["doc_id", "n", "f1", "f2", "prefix", "level", "b0", "s0", "b1", "s1"],
+                    [batch.column(0).slice(t.first, t.n), pa.array(n, pa.int64()), pa.array(V.signed(np.array(f1, np.uint64))), pa.array(V.signed(np.array(f2, np.uint64))), pa.array(prefix, pa.list_(pa.int64())), pa.array(level, pa.int64()), pa.array(b0, pa.binary()), pa.array(s0, pa.int64()), pa.array(s1, pa.int64())],
+                    ["doc_id", "n", "f1", "f2", "prefix", "level", "b0", "s0", "s1"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, level long, b0 binary, s0 long, b1 binary, s1 long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, level long, b0 binary, s0 long, s1 long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -169,7 +177,9 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 def _close(docs: DataFrame, keys: DataFrame, k: int, percent: int, reps: int = 24) -> DataFrame:
     """Verified edges between documents of the same key. Each is compared with the last representatives of the key's
-    groups only; what that misses is left to the trees."""
+    groups only, and a key with more than BLOCK documents is dealt to several; what that misses is left to the trees."""
+    sizes = keys.groupBy("key").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS bigint)").alias("salts"))
+    keys = spread.stash(keys.join(spread.stash(sizes), "key").selectExpr("doc_id", "xxhash64(key, pmod(xxhash64(doc_id), salts)) AS key"))
     rows = spread.split_by(docs, keys.select("doc_id"))[0].join(keys, "doc_id").select("key", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +217,8 @@ class Tree:
 
     FAN = 8
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, size: np.ndarray, group: np.ndarray):
-        level = (bits, n, n, size - np.bitwise_count(bits).sum(1, dtype=np.int64), group, group, size, size)
+    def __init__(self, bits: np.ndarray, slack: np.ndarray, n: np.ndarray, size: np.ndarray, group: np.ndarray):
+        level = (bits, n, n, slack, group, group, size, size)
         self.levels = [level]
         while len(level[1]) > 1:
             cut = np.arange(0, len(level[1]), self.FAN)
@@ -258,12 +268,31 @@ def traverse(a: Tree, b: Tree, sampled: bool, percent: int, same: bool, step: in
 
 
 class Members:
-    """Rows of buckets as arrays; `bits` has each row's two bitmaps."""
+    """Rows of buckets as arrays; `first` has each row's least shared shingles, of all buckets."""
 
     def __init__(self, table: pa.Table):
         self.n, self.component, self.side, self.doc, self.level = (table.column(c).to_numpy() for c in ("n", "component", "side", "doc_id", "level"))
         self.size = np.stack([table.column(c).to_numpy() for c in ("s0", "s1")])
-        self.bits = [np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("b0", "b1")]
+        self.bits = np.frombuffer(b"".join(table.column("b0").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        if "g" in table.column_names:
+            self.g, self.first = table.column("g").to_numpy(), [table.column(f"h{x}").to_numpy() for x in range(FIRST)]
+
+    def maps(self, rows: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bitmaps and slack of rows, `up` levels (0 or 1) above their own. A coarser bitmap has no bound of its own: its slack is its size."""
+        bits = self.bits[rows]
+        slack = self.size[up, rows] - np.where(up == 0, np.bitwise_count(bits).sum(1, dtype=np.int64), 0)
+        some = np.flatnonzero(up)
+        if len(some):
+            bits[some] = _next_level(bits[some])
+        return bits, slack
+
+    def met(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the rows of a bucket share a lesser shingle, in the bucket of which the pair is offered."""
+        out = np.zeros(len(i), bool)
+        for x in self.first:
+            for y in self.first:
+                out |= (x[i] == y[j]) & (x[i] < self.g[i])
+        return out
 
     def leaf(self, i: np.ndarray, j: np.ndarray, percent: int, step: int = 1 << 15) -> np.ndarray:
         """Which pairs may link; the test of two leaves, at the greater level of the two."""
@@ -274,10 +303,9 @@ class Members:
             p, q = i[part], j[part]
             level = np.maximum(self.level[p], self.level[q])
             kp, kq = level - self.level[p], level - self.level[q]
-            a, b = (np.where((k == 0)[:, None], self.bits[0][x], self.bits[1][x]) for k, x in ((kp, p), (kq, q)))
+            (a, x), (b, y) = self.maps(p, kp), self.maps(q, kq)
             sp, sq = self.size[kp, p], self.size[kq, q]
-            slack = np.minimum(sp - np.bitwise_count(a).sum(1, dtype=np.int64), sq - np.bitwise_count(b).sum(1, dtype=np.int64))
-            most = np.minimum(np.bitwise_count(a & b).sum(1, dtype=np.int64) + slack, np.minimum(sp, sq))
+            most = np.minimum(np.bitwise_count(a & b).sum(1, dtype=np.int64) + np.minimum(x, y), np.minimum(sp, sq))
             ok[part] = _fits(most, sp + sq, np.minimum(sp, sq), level > 0, percent)
         return ok
 
@@ -294,8 +322,7 @@ class Members:
                     break
                 order = np.lexsort((self.n[at], self.component[at]))
                 at, k = at[order], k[order]
-                bits = np.where((k == 0)[:, None], self.bits[0][at], self.bits[1][at])
-                sides.append((at, k, Tree(bits, self.n[at], self.size[k, at], self.component[at]) if len(at) else None))
+                sides.append((at, k, Tree(*self.maps(at, k), self.n[at], self.size[k, at], self.component[at]) if len(at) else None))
             (a, ka, ta), (b, kb, tb) = sides[0], sides[-1]
             if ta is None or tb is None or (ka.all() and kb.all()):
                 continue
@@ -313,6 +340,8 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     """
 
     def offer(m: Members, i: np.ndarray, j: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+        new = ~m.met(i, j)
+        i, j, bucket = i[new], j[new], bucket[new]
         lo, hi = np.minimum(m.component[i], m.component[j]), np.maximum(m.component[i], m.component[j])
         order = np.lexsort((hi, lo, bucket))
         i, j, lo, hi, bucket = i[order], j[order], lo[order], hi[order], bucket[order]
@@ -377,7 +406,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
             yield from flush(pa.Table.from_batches(held))
 
     rows = rows.repartition("g", "tile").sortWithinPartitions("g", "tile")
-    return rows.select("g", "tile", "side", "doc_id", "n", "component", "level", "b0", "s0", "b1", "s1", "most").mapInArrow(run, "a long, b long, left boolean")
+    return rows.select("g", "tile", "side", "doc_id", "n", "component", "level", "b0", "s0", "s1", *(f"h{x}" for x in range(FIRST)), "most").mapInArrow(run, "a long, b long, left boolean")
 
 
 def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -416,23 +445,25 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     known = docs.where("doc_id IS NOT NULL")
     sig = spread.stash(signatures(docs, k, percent, frequent(docs, k)))
     some = sig.where("n > 0 AND doc_id IS NOT NULL")
-    same = some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     # equal sets are linked to their least doc_id; with rows that share a doc_id, that is an edge as any other
-    copies = spread.stash(some.join(same, ["n", "f1", "f2"]).select("doc_id", "rep"))
-    edges = copies.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = some.join(copies.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("rep")).alias("own")).where("own"), "doc_id").select("doc_id", "n", "level", "b0", "s0", "b1", "s1", "prefix")
+    same = spread.stash(some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
+    some = spread.stash(some.join(same, ["n", "f1", "f2"], "left").drop("f1", "f2"))
+    edges = some.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    reps = some.where("rep IS NULL OR doc_id = rep").drop("rep")
     rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "doc_id")))
-    keys = rows.groupBy("doc_id").agg(F.min("g").alias("key"))
-    found = spread.stash(_close(known, keys, k, percent))
+    least = spread.stash(rows.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list("g")), 1, FIRST).alias("h")))
+    found = spread.stash(_close(known, least.select("doc_id", F.col("h")[0].alias("key")), k, percent))
+    signs = reps.drop("prefix").join(least, "doc_id").select("*", *(F.coalesce(F.get("h", F.lit(x)), F.lit((1 << 63) - 1)).alias(f"h{x}") for x in range(FIRST))).drop("h")
+    signs = spread.stash(signs)
     done, tried, most = [], None, PAIRS
     while True:
         all_ = found
         for x in done:
             all_ = all_.union(x)
         comp = spread.components(all_)
-        labelled = rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        mixed = labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members")
-        tiles = _tiles(labelled, mixed).join(reps.drop("prefix"), "doc_id").withColumn("most", F.lit(most))
+        labelled = spread.stash(rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
+        mixed = spread.stash(labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members"))
+        tiles = _tiles(labelled, mixed).join(signs, "doc_id").withColumn("most", F.lit(most))
         offers = spread.stash(_candidates(tiles, percent))
         pairs = offers.select("a", "b").distinct()
         if tried is not None:

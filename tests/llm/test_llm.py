@@ -197,9 +197,9 @@ def test_signature_trees_lose_nothing():
             keep = r.random(len(b)) > r.choice([0.01, 0.05, 0.12])
             members.append(np.unique(np.concatenate([b[keep], r.integers(0, 1 << 63, r.integers(0, 1 + len(b) // 20)).astype(np.uint64)])))
     level = [shingle_join._level(len(m)) for m in members]
-    maps = [(*shingle_join._bitmap(m, v), *shingle_join._bitmap(m, v + 1)) for m, v in zip(members, level)]
+    maps = [shingle_join._bitmap(m, v) for m, v in zip(members, level)]
     n = len(members)
-    t = pa.table({"n": [len(m) for m in members], "component": list(range(n)), "side": [0] * n, "doc_id": list(range(n)), "level": level, "b0": [m[0] for m in maps], "s0": [m[1] for m in maps], "b1": [m[2] for m in maps], "s1": [m[3] for m in maps]})
+    t = pa.table({"n": [len(m) for m in members], "component": list(range(n)), "side": [0] * n, "doc_id": list(range(n)), "level": level, "b0": [m[0] for m in maps], "s0": [m[1] for m in maps], "s1": [m[2] for m in maps]})
     m = shingle_join.Members(t)
     linked = {(i, j) for i in range(n) for j in range(i + 1, n) if shingle_join._linked(members[i], members[j], 85)}
     found = {(min(a, b), max(a, b)) for i, j in m.tree_pairs(0, n, 85) for a, b in zip(i.tolist(), j.tolist())}
