@@ -2,8 +2,8 @@
 
 A line is what stands between line feeds. Its normal form is its words (ASCII letters, digits, code points above 0x7F;
 A-Z as a-z) joined by one space; lines without a word always stay. Lines with one normal form are one group. Two normal
-forms link if they meet in a bucket, their 64-bit SimHashes (of words and pairs of neighbouring words) differ in at most
-the bucket's REACH bits, and their edit similarity, 1 - distance / length of the longer, is SIMILARITY or more. Of each
+forms link if they meet in a bucket, their 64-bit SimHashes (of pairs of neighbouring words, and of lines of up to 8 words
+also of the words) differ in at most the bucket's REACH bits, and their edit similarity, 1 - distance / length of the longer, is SIMILARITY or more. Of each
 connected group the occurrence with the least (doc_id, line) stays; the others go.
 
 Buckets: the SimHash has 5 blocks, and lines meet by each of the 10 pairs of blocks; of 5 blocks, 3 bits leave two
@@ -45,8 +45,8 @@ from framelake.llm import textvec as V
 DISTANCE, SIMILARITY = 3, 0.8
 PAIRS = 4
 #: Minima of a long line, and the bits in which SimHashes of lines that share one may differ. Unrelated lines differ in
-#: 32 +- 4 bits, so 3 in 10,000 of them pass; of the similar pairs of real lines, 5 in 1,000 differ in more (see README).
-MINIMA, WIDE = 8, 18
+#: 32 +- 4 bits, so 2 in 1,000 of them pass.
+MINIMA, WIDE = 8, 20
 #: By the kind in a bucket's low two bits (blocks, minima, words or letters left out): bits in which SimHashes may differ.
 REACH = (DISTANCE, WIDE, 64)
 #: Bit ranges of the 5 blocks.
@@ -85,11 +85,15 @@ class Lines:
             pair = V.mix(h + np.append(h[1:], np.uint64(0)) * V._K[9])
         chars = np.append(0, np.cumsum(V.ALNUM[t.buf] & ((t.buf & 0xC0) != 0x80)))
         self.size = chars[we[last - 1]] - chars[ws[first]] + last - first - 1  # characters of the normal form
-        count = 2 * (last - first) - 1  # words and pairs
-        ones = _bit_counts(h, first, last)
-        two = last - first > 1
+        # pairs of neighbours, and of short lines the words, too: of long lines, the commonest words would make all alike
+        length = last - first
+        ones, count = np.zeros((n, 64), np.int32), np.maximum(length - 1, 0)
+        two, short = length > 1, length <= 8
         if two.any():
-            ones[two] += _bit_counts(pair, first[two], last[two] - 1)
+            ones[two] = _bit_counts(pair, first[two], last[two] - 1)
+        if short.any():
+            ones[short] += _bit_counts(h, first[short], last[short])
+            count[short] += length[short]
         self.sim = np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).reshape(-1)
 
     def buckets(self, wide: bool) -> tuple[np.ndarray, np.ndarray]:

@@ -9,14 +9,15 @@ Steps, each one's rows in proportion to the corpus:
 1. Frequent shingles (at least 1 in EPSILON of all occurrences; so at most EPSILON of them, however large the corpus).
 2. Per document: set size, set fingerprint, bitmap, and its prefix: the rarest shingles (frequent ones last, then by
    hash) that any linked set must share one of. Equal sets collapse to the least doc_id.
-3. Prefix rows are dealt by shingle; those whose shingle only one set has are dropped.
+3. Prefix rows are dealt by shingle; those without another set of a near enough size under their shingle are dropped.
 4. Close copies: documents with the same least shared prefix shingle are compared with representatives, exactly, which
-   merges the large groups without all their pairs.
+   merges the large groups without all their pairs; keys of more than BLOCK documents are dealt to several tasks.
 5. Every shared prefix shingle whose documents aren't in one group yet: a signature tree over their bitmaps; its nodes
    hold OR-combined bitmaps, size ranges and group ranges. A dual traversal prunes node pairs of one group, and pairs
-   whose greatest possible overlap is too small. Bitmaps of large sets hold a sample
-   by hash, whose bound fails for a linked pair with a probability under 1e-15. What remains is verified on exact sets. Each round offers at most
-   PAIRS pairs between two groups in a bucket; rounds go on until none is left out, so nothing is lost.
+   whose greatest possible overlap is too small. Bitmaps of large sets hold a sample by hash, whose bound fails for a
+   linked pair with a probability under 1e-15. A pair comes from the bucket of the least of the FIRST shingles that it
+   shares, not from all. What remains is verified on exact sets. Each round offers at most PAIRS pairs between two groups
+   in a bucket; buckets with more go into the next round, until none is left, so nothing is lost.
 
 Cases: null or wordless texts have the empty set and link with nothing; null doc_ids are groups of their own (null
 component); rows that share a doc_id are one node; an empty table gives none; other columns are ignored.
@@ -151,28 +152,28 @@ def signatures(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFr
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, level long, b0 binary, s0 long, s1 long")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows (g, doc_id) whose g more than one row has; dealt by g and sorted, so runs stream by."""
+def _shared(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (g, n, doc_id) with a g of another row whose size allows for a link; dealt by g and sorted by size, so that
+    runs stream by and neighbours tell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last, told = None, None, False  # the last row so far; whether it is known to be shared
+        held, told = None, False  # the last row so far; whether the one before it is near
+        names = ["g", "n", "doc_id"]
         for batch in batches:
-            g, d = (batch.column(i).to_numpy() for i in (0, 1))
-            if not len(g):
+            cols = [batch.column(c).to_numpy() for c in range(3)]
+            if not len(cols[0]):
                 continue
             if held is not None:
-                g, d = np.append(held[0], g), np.append(held[1], d)
-            same = g[1:] == g[:-1]
-            keep = np.append(same, False) | np.append(False, same)
-            keep[0] |= told and held is not None
-            out = keep[:-1]
-            told = bool(keep[-1])
-            held = (g[-1:], d[-1:])
-            yield pa.RecordBatch.from_arrays([pa.array(g[:-1][out]), pa.array(d[:-1][out])], ["g", "doc_id"])
+                cols = [np.append(x, y) for x, y in zip(held, cols, strict=True)]
+            g, n = cols[0], cols[1]
+            near = (g[1:] == g[:-1]) & (percent * n[1:] <= 100 * n[:-1])
+            keep = np.append(near, False) | np.append(told, near)
+            told, held = bool(keep[-1]), [x[-1:] for x in cols]
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep[:-1]]) for x in cols], names)
         if held is not None and told:
-            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["g", "doc_id"])
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), names)
 
-    return rows.repartition("g").sortWithinPartitions("g", "doc_id").mapInArrow(run, "g long, doc_id long")
+    return rows.repartition("g").sortWithinPartitions("g", "n", "doc_id").mapInArrow(run, "g long, n long, doc_id long")
 
 
 def _close(docs: DataFrame, keys: DataFrame, k: int, percent: int, reps: int = 24) -> DataFrame:
@@ -333,7 +334,7 @@ class Members:
 
 
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, left) that may link, of rows (g, tile, side, doc_id, n, component, ...) dealt by (g, tile).
+    """Pairs (g, a, b, left) that may link, of rows (g, tile, side, doc_id, n, component, ...) dealt by (g, tile).
 
     Buckets of one leaf are tested together; larger ones by their trees. At most `most` pairs of two groups come from a
     bucket; `left` says that there are more, for a later round.
@@ -351,7 +352,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
         more = np.repeat(np.diff(np.append(first, len(i))) > most, np.diff(np.append(first, len(i))))
         keep = place < most
         a, b = m.doc[i[keep]], m.doc[j[keep]]
-        return np.minimum(a, b), np.maximum(a, b), more[keep]
+        return m.g[i[keep]], np.minimum(a, b), np.maximum(a, b), more[keep]
 
     def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
         m, most = Members(table), int(table.column("most")[0].as_py())
@@ -384,8 +385,8 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
             i, j, bucket = (np.concatenate(x) for x in zip(*parts, strict=True))
             yield batch(*offer(m, i, j, bucket, most))
 
-    def batch(a: np.ndarray, b: np.ndarray, left: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(left)], ["a", "b", "left"])
+    def batch(*cols: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(list(map(pa.array, cols)), ["g", "a", "b", "left"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -406,7 +407,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
             yield from flush(pa.Table.from_batches(held))
 
     rows = rows.repartition("g", "tile").sortWithinPartitions("g", "tile")
-    return rows.select("g", "tile", "side", "doc_id", "n", "component", "level", "b0", "s0", "s1", *(f"h{x}" for x in range(FIRST)), "most").mapInArrow(run, "a long, b long, left boolean")
+    return rows.select("g", "tile", "side", "doc_id", "n", "component", "level", "b0", "s0", "s1", *(f"h{x}" for x in range(FIRST)), "most").mapInArrow(run, "g long, a long, b long, left boolean")
 
 
 def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -447,10 +448,10 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     some = sig.where("n > 0 AND doc_id IS NOT NULL")
     # equal sets are linked to their least doc_id; with rows that share a doc_id, that is an edge as any other
     same = spread.stash(some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
-    some = spread.stash(some.join(same, ["n", "f1", "f2"], "left").drop("f1", "f2"))
+    some = some.join(same, ["n", "f1", "f2"], "left").drop("f1", "f2")
     edges = some.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = some.where("rep IS NULL OR doc_id = rep").drop("rep")
-    rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "doc_id")))
+    rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "n", "doc_id"), percent).drop("n").distinct())
     least = spread.stash(rows.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list("g")), 1, FIRST).alias("h")))
     found = spread.stash(_close(known, least.select("doc_id", F.col("h")[0].alias("key")), k, percent))
     signs = reps.drop("prefix").join(least, "doc_id").select("*", *(F.coalesce(F.get("h", F.lit(x)), F.lit((1 << 63) - 1)).alias(f"h{x}") for x in range(FIRST))).drop("h")
@@ -465,6 +466,7 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         mixed = spread.stash(labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members"))
         tiles = _tiles(labelled, mixed).join(signs, "doc_id").withColumn("most", F.lit(most))
         offers = spread.stash(_candidates(tiles, percent))
+        rows = rows.join(offers.where("left").select("g").distinct(), "g", "left_semi")  # the other buckets are done
         pairs = offers.select("a", "b").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
