@@ -3,14 +3,15 @@
 Normalised words: A-Z as a-z, runs of ASCII letters, digits and code points above 0x7F. The automaton accepts every run
 of words of every item. Documents stream through it; after each word it holds the length of the longest run of words
 that ends there and occurs in an item. Where that length reaches `window` words, the last `window` words are a window of
-some item; an item with fewer words is one window as a whole, recognised at its terminal state.
+some item, and the state that holds them (the automaton's, or one up its suffix links) is marked with the items that have
+it; an item with fewer words is one window as a whole, marked at the state of its length.
 
 A whole-array filter goes before: only words of the items, in runs whose neighbouring pairs are all pairs of an item,
 can carry a match, and only runs of the shortest window's length or more are streamed. It loses no match.
 
-Size: the automaton has under two states for each benchmark word, and is broadcast. `max_items_bytes` is the checked
-bound of one automaton; a larger benchmark is cut into shards of items, each a pass of its own over the documents, the
-hits of which are merged.
+Size: the automaton has under two states for each benchmark word. `max_items_bytes` is the checked bound of one
+automaton's items, which are broadcast; each worker builds it once. A larger benchmark is cut into shards of items, whose
+passes over the documents run one after another and write their hits, which are merged.
 
 Cases: null texts, and texts without words, have no words and are clean; null or wordless items have no window; items
 that repeat are each reported; null doc_ids stay; an empty benchmark leaves all documents clean; repeated document rows
@@ -20,6 +21,7 @@ give repeated result rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from framelake.llm import spread
 from framelake.llm import textvec as V
 
 WINDOW = 10
+#: Bytes of benchmark text in one automaton, which takes about 120 times as much memory in each Python worker.
+MAX_ITEMS_BYTES = 2 << 20
 
 
 class SuffixAutomaton:
@@ -106,35 +111,41 @@ class Benchmark:
         self.auto = SuffixAutomaton()
         for s in seqs:
             self.auto.add(s)
-        # windows: by their words, the items that have them; short windows by length
-        self.owners: dict[tuple[int, ...], list[int]] = {}
-        self.short: set[int] = set()
+        # windows are read off the states: each length's state by state, and the items that have a window there
+        short = {len(s) for s in seqs if 0 < len(s) < window}
+        self.lengths = sorted(short | ({window} if any(n >= window for n in lengths) else set()))
+        self.at = {m: self._suffixes(m) for m in self.lengths}
+        self.items: dict[int, dict[int, list[int]]] = {m: {} for m in self.lengths}
         for i, s in enumerate(seqs):
-            if 0 < len(s) < window:
-                self.short.add(len(s))
-            for w in {tuple(s[j : j + window]) for j in range(max(1, len(s) - window + 1))} if s else ():
-                self.owners.setdefault(w, []).append(i)
-        self.lengths = sorted(self.short | ({window} if any(n >= window for n in lengths) else set()))
+            m = min(len(s), window)
+            own: set[int] = set()
+            for state, n in self.auto.walk(s):
+                if 0 < m <= n and (q := self.at[m][state]) not in own:
+                    own.add(q)
+                    self.items[m].setdefault(q, []).append(i)
+
+    def _suffixes(self, m: int) -> list[int]:
+        """For each state, the one that holds the last m words of its longest run; -1 if that is shorter."""
+        link, length = self.auto.link, self.auto.length
+        out = [-1] * len(length)
+        for q in sorted(range(1, len(length)), key=length.__getitem__):
+            out[q] = -1 if length[q] < m else q if length[link[q]] < m else out[link[q]]
+        return out
 
     def stream(self, ids: list[int]) -> tuple[list[tuple[int, int]], set[int]]:
         """Hit word ranges of a run of word ids, and the items with windows in it."""
         found, items = [], set()
-        for k, (_, n) in enumerate(self.auto.walk(ids), 1):
+        for k, (state, n) in enumerate(self.auto.walk(ids), 1):
             for m in self.lengths:
                 if m > n:
                     break
-                own = self.owners.get(tuple(ids[k - m : k]))
+                own = self.items[m].get(self.at[m][state])
                 if own:
                     items.update(own)
-                    if found and found[-1][1] >= k - m:
-                        while found and found[-1][0] >= k - m:
-                            found.pop()
-                        if found and found[-1][1] >= k - m:
-                            found[-1] = (found[-1][0], k)
-                        else:
-                            found.append((k - m, k))
-                    else:
-                        found.append((k - m, k))
+                    start = k - m
+                    while found and found[-1][1] >= start:
+                        start = min(start, found.pop()[0])
+                    found.append((start, k))
         return found, items
 
     def scan(self, t: V.Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]], list[set[int]]]:
@@ -169,7 +180,7 @@ class Benchmark:
         return s, e, b, hits, items
 
 
-def load_items(benchmark: DataFrame, max_items_bytes: int = 16 << 20) -> list[list[tuple[str, str]]]:
+def load_items(benchmark: DataFrame, max_items_bytes: int = MAX_ITEMS_BYTES) -> list[list[tuple[str, str]]]:
     """Items in shards of at most max_items_bytes of text, so each automaton's size is bounded; they come by partition."""
     shards, size = [[]], 0
     for r in benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("x")).where("x IS NOT NULL").toLocalIterator():
@@ -185,47 +196,63 @@ def _sha(ids: list[str]) -> str:
     return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items_bytes: int = 16 << 20) -> DataFrame:
-    """Every row of docs with `n_words long, hit_from array<long>, hit_to array<long>, hit_items array<string>`:
-    merged ranges of hit words (end exclusive). One pass a shard of the benchmark, no shuffle.
+#: Automata of this worker process, by the id of their broadcast; one is kept.
+_built: dict[int, Benchmark] = {}
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items_bytes: int = MAX_ITEMS_BYTES, name: str = "_scan") -> DataFrame:
+    """Every row of docs with a last column `name`, a struct `n_words long, hit_from array<long>, hit_to array<long>,
+    hit_items array<string>`: ranges of hit words (end exclusive), disjoint for each shard of the benchmark.
+
+    One pass and no shuffle for the first shard. The hits of further shards are written, one shard after another, and
+    joined to the documents that have any.
     """
-    out = docs
-    schema = StructType([*docs.schema.fields])
-    spec = "struct<n_words:bigint,hit_from:array<bigint>,hit_to:array<bigint>,hit_items:array<string>>"
-    for k, items in enumerate(load_items(benchmark, max_items_bytes)):
-        held = docs.sparkSession.sparkContext.broadcast(items)
-        out, schema = _one(out, schema, held, window, k)
-    merged = F.col("_scan0")
-    n = k + 1
-    if n > 1:
-        merged = F.struct(
-            F.col("_scan0.n_words").alias("n_words"), F.concat(*[F.col(f"_scan{i}.hit_from") for i in range(n)]).alias("hit_from"),
-            F.concat(*[F.col(f"_scan{i}.hit_to") for i in range(n)]).alias("hit_to"), F.concat(*[F.col(f"_scan{i}.hit_items") for i in range(n)]).alias("hit_items"),
-        ).cast(spec)
-    return out.withColumn("_scan", merged).drop(*[f"_scan{i}" for i in range(n)])
+    spread.small_batches(docs.sparkSession)
+    shards = load_items(benchmark, max_items_bytes)
+    (more,) = spread.unused([*docs.columns, name], "more")
+    rest: DataFrame | None = None
+    for k, items in enumerate(shards):
+        if not k:
+            out = _one(docs, items, window, name)
+            continue
+        keys = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+        hits = spread.stash(_one(keys, items, window, "scan").where("size(scan.hit_from) > 0").select("doc_id", "text_hash", "scan").dropDuplicates(["doc_id", "text_hash"]))
+        rest = hits if rest is None else rest.union(hits)
+    if rest is None:
+        return out
+    joined = lambda c: F.flatten(F.collect_list(f"scan.{c}")).alias(c)
+    merged = rest.groupBy("doc_id", "text_hash").agg(joined("hit_from"), joined("hit_to"), joined("hit_items")).select("doc_id", "text_hash", F.struct("hit_from", "hit_to", "hit_items").alias(more))
+    out, more = spread.attach(out, merged, more, by_text=True)
+    both = [F.concat(F.col(f"{name}.{c}"), F.coalesce(F.col(f"{more}.{c}"), F.array().cast(f"array<{kind}>"))).alias(c) for c, kind in (("hit_from", "bigint"), ("hit_to", "bigint"), ("hit_items", "string"))]
+    return out.withColumn(name, F.struct(F.col(f"{name}.n_words").alias("n_words"), *both)).drop(more)
 
 
 _SCAN = pa.struct([("n_words", pa.int64()), ("hit_from", pa.list_(pa.int64())), ("hit_to", pa.list_(pa.int64())), ("hit_items", pa.list_(pa.string()))])
 
 
-def _one(docs: DataFrame, schema: StructType, held, window: int, k: int) -> tuple[DataFrame, StructType]:
-    names = [f.name for f in schema.fields]
-    field = StructField(f"_scan{k}", StructType([StructField("n_words", LongType()), StructField("hit_from", ArrayType(LongType())), StructField("hit_to", ArrayType(LongType())), StructField("hit_items", ArrayType(StringType()))]))
+def _one(docs: DataFrame, items: list[tuple[str, str]], window: int, name: str) -> DataFrame:
+    """docs with the hits of one shard of items."""
+    names, at = docs.columns, docs.columns.index("text")
+    field = StructField(name, StructType([StructField("n_words", LongType()), StructField("hit_from", ArrayType(LongType())), StructField("hit_to", ArrayType(LongType())), StructField("hit_items", ArrayType(StringType()))]))
+    held = docs.sparkSession.sparkContext.broadcast(items)
+    key = uuid.uuid4().int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = Benchmark(held.value, window)
+        if key not in _built:
+            _built.clear()
+            _built[key] = Benchmark(held.value, window)
+        bench = _built[key]
         for batch in batches:
-            for t in V.texts(batch.column(names.index("text"))):
+            for t in V.texts(batch.column(at)):
                 _, _, b, hits, items = bench.scan(t)
                 rows = [{"n_words": n, "hit_from": [], "hit_to": [], "hit_items": sorted(bench.ids[x] for x in own)} for n, own in zip(np.diff(b).tolist(), items, strict=True)]
                 for i, j in hits:
                     d = int(np.searchsorted(b, i, "right")) - 1
                     rows[d]["hit_from"].append(i - int(b[d]))
                     rows[d]["hit_to"].append(j - int(b[d]))
-                yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.n).columns, pa.array(rows, _SCAN)], [*names, field.name])
+                yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.n).columns, pa.array(rows, _SCAN)], [*names, name])
 
-    schema = StructType([*schema.fields, field])
-    return docs.mapInArrow(run, schema), schema
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, field]))
 
 
 def covered(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
@@ -255,15 +282,16 @@ def op5_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items_bytes: int = 16 << 20, max_coverage: float = 0.5) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items_bytes: int = MAX_ITEMS_BYTES, max_coverage: float = 0.5) -> DataFrame:
     """docs without the spans of words that windows cover; a document with a larger share of hit words than max_coverage goes.
 
     A span runs from its first word to its last, and is replaced by one space; `n_chars`, where there is one, is set anew.
     Documents without a hit, also those without words, stay as they are.
     """
     names = docs.columns
-    found = find(docs, benchmark, window, max_items_bytes)
-    at = found.columns.index("_scan")
+    (scan_,) = spread.unused(names, "scan")
+    found = find(docs, benchmark, window, max_items_bytes, scan_)
+    at = found.columns.index(scan_)
     text = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from framelake.llm import spread
 from framelake.llm import textvec as V
 
 #: Symbols that the base measurement counts (fixed by the contract).
@@ -155,19 +156,30 @@ def toxic_terms(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000,
     return [r.term for r in found.orderBy(F.desc("bad"), "term").limit(max_terms).collect()]
 
 
-def ledger(docs: DataFrame, terms: list[str] = ()) -> DataFrame:
-    """doc_id, the MEASURES, and fail_bits (bit i: rule i failed). One pass over the texts, no shuffle."""
+def ledger(docs: DataFrame, terms: list[str] = (), keep: bool = False) -> DataFrame:
+    """doc_id, the MEASURES, and fail_bits (bit i: rule i failed). One pass over the texts, no shuffle.
+
+    With `keep`, docs' own columns and a last column, a struct of all these; its name is one that docs doesn't have.
+    """
+    spread.small_batches(docs.sparkSession)
     lexicon = term_hashes(list(terms))
+    names = docs.columns
+    (book,) = spread.unused(names, "ledger")
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in V.texts(batch.column(1)):
+            for t in V.texts(batch.column(at)):
                 m = measure(t, lexicon)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, t.n), *(pa.array(m[k].astype(np.int64)) for k in MEASURES)], ["doc_id", *MEASURES])
+                yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.n).columns, pa.StructArray.from_arrays([pa.array(m[k].astype(np.int64)) for k in MEASURES], list(MEASURES))], [*names, book])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{k} long" for k in MEASURES))
+    rows = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(book, StructType([StructField(k, LongType()) for k in MEASURES]))]))
     bits = " | ".join(f"(CASE WHEN {when} THEN {BIT[name]}L ELSE 0L END)" for name, when in RULES)
-    return rows.withColumn("fail_bits", F.expr(bits))
+    if not keep:
+        return rows.select(F.col("doc_id").cast("long").alias("doc_id"), f"{book}.*").withColumn("fail_bits", F.expr(bits))
+    measures = F.struct(*(F.col(f"{book}.{k}").alias(k) for k in MEASURES))
+    within = re.sub(r"\bn_\w+|\bword_chars", lambda m: f"{book}.{m[0]}", bits)  # the measures' names, in the struct
+    return rows.withColumn(book, F.struct(measures.alias("measures"), F.expr(within).alias("fail_bits")))
 
 
 def apply_policy(book: DataFrame, policy: Policy) -> DataFrame:
@@ -191,24 +203,19 @@ def ablations(book: DataFrame, policy: Policy) -> DataFrame:
 def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     terms = toxic_terms(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    book = apply_policy(ledger(docs, terms), PRODUCTION)
+    book = apply_policy(ledger(docs.select("doc_id", "text"), terms), PRODUCTION)
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("fail_bits").bitwiseAND(F.lit(BASE)).cast("boolean").alias("base_failed"), "kept", "fail_bits", "n_toxic", "policy")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the production policy keeps, with all their columns. One pass, no shuffle; each row is judged alone."""
-    lexicon = term_hashes(toxic_terms(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    names = docs.columns
+    """Documents whose ledger bits the production policy's mask doesn't meet, with all their columns. One pass, no shuffle;
+    each row is judged alone. Null texts are empty, and go; null doc_ids and repeated rows are judged as any row."""
+    book = ledger(docs, toxic_terms(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), keep=True)
+    bits = F.col(f"{book.columns[-1]}.fail_bits")
+    return book.where(bits.bitwiseAND(F.lit(PRODUCTION.mask)) == 0).select(*docs.columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in V.texts(batch.column(names.index("text"))):
-                m = measure(t, lexicon)
-                rows = batch.slice(t.first, t.n).columns
-                yield pa.RecordBatch.from_arrays([*rows, pa.StructArray.from_arrays([pa.array(m[k].astype(np.int64)) for k in MEASURES], list(MEASURES))], [*names, "_measures"])
-
-    schema = StructType([*docs.schema.fields, StructField("_measures", StructType([StructField(k, LongType()) for k in MEASURES]))])
-    bits = " OR ".join(f"({when})" for name, when in RULES if name in PRODUCTION.rules)
-    for k in MEASURES:
-        bits = re.sub(rf"\b{k}\b", f"_measures.{k}", bits)
-    return docs.mapInArrow(run, schema).where(f"NOT ({bits})").drop("_measures")
+
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production policy's ablations over all documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ablations(ledger(docs.select("doc_id", "text"), toxic_terms(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))), PRODUCTION)

@@ -21,6 +21,7 @@ def queries() -> dict[str, Query]:
         transcripts.op6_transcript_hmm,
         phrase_dedup.op7_phrase_automata,
         quality_rules.op8_rule_ledger,
+        quality_rules.rule_ablations,
         piece_codec.op9_piece_codec,
         secret_scan.op10_markov_secrets,
     ]
