@@ -16,9 +16,11 @@ with one or two words left out, and longer lines by 8 minima of their 2- or 3-wo
    others, lines follow leaders: each line joins the first earlier one that it may link to. A bucket with HOT lines in
    one task is led there, and only its leaders go on.
 2. Followers are verified against leaders by their texts, and links joined to groups.
-3. `across`: buckets with pairs that no leader covers, and whose lines aren't in one group, are compared again, the
-   largest group's lines against the others' in tiles of BLOCK lines. At most `most` pairs between two groups come from a
-   block and round; rounds go on until none is left out. No bucket is capped.
+3. `across`: blocks' buckets with pairs that no leader covers, and whose lines aren't in one group, are compared again,
+   the largest group's lines against the others' in tiles of BLOCK lines. At most `most` pairs between two groups come
+   from a block and round; rounds go on until none is left out. So all pairs within DISTANCE bits are tried.
+   Wide keys give only pairs of a line and its leaders: all pairs of lines that are near by SimHash but not by edit
+   similarity would grow with the square of a group. No bucket is capped.
 
 Cases: null texts have no lines; null doc_ids neither lose lines nor take them from others; rows with one doc_id and one
 text are one document, but different texts under a doc_id are documents of their own (of equal (doc_id, line), the one
@@ -29,6 +31,7 @@ and are ignored by the query.
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -47,6 +50,8 @@ PAIRS = 4
 #: Minima of a long line, and the bits in which SimHashes of lines that share one may differ. Unrelated lines differ in
 #: 32 +- 4 bits, so 2 in 1,000 of them pass.
 MINIMA, WIDE = 8, 20
+#: Bits up to which one shared minimum is enough; beyond, a line must follow its leader in two buckets.
+CLOSE = 14
 #: By the kind in a bucket's low two bits (blocks, minima, words or letters left out): bits in which SimHashes may differ.
 REACH = (DISTANCE, WIDE, 64)
 #: Bit ranges of the 5 blocks.
@@ -219,7 +224,7 @@ def similar(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarr
         while stop < len(left) and left[stop][0] == words and stop - start < max(1, 4096 // words):
             stop += 1
         part = left[start:stop]
-        if len(part) < 16:
+        if len(part) < 50 * words:
             for _, _, k, a, b, most in part:
                 out[k] = _near_enough(a, b, most)
             start = stop
@@ -315,6 +320,10 @@ def _near_enough(a: str, b: str, most: int) -> bool:
         score += bool(ph & top) - bool(mh & top)
         if score - (len(b) - 1 - k) > most:
             return False
+        if k % 32 == 31 and k > most and m > 64:  # the least distance of any start of a to this start of b never falls
+            bits = [np.unpackbits(np.frombuffer(v.to_bytes(-(-m // 8), "little"), np.uint8), bitorder="little", count=m) for v in (pv, mv)]
+            if k + min(0, int(np.cumsum(bits[0].astype(np.int64) - bits[1]).min())) > most:
+                return False
         ph, mh = (ph << 1 | 1) & full, (mh << 1) & full
         pv, mv = mh | ~(xv | ph) & full, ph & xv
     return score <= most
@@ -346,7 +355,8 @@ def _entries(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
                 row[i:j] = x
                 lead = _lead(REACH[int(bucket[i]) & 3], sim[x], size[x])
                 stays[i:j], flag[i:j] = lead < 0, 1
-                yield _rows(np.full(j - i, int(bucket[i]) & _LOW, np.int64), key[x], np.where(lead < 0, 0, key[x[lead]]), lead >= 0, sim[x], size[x])
+                narrow = np.full(j - i, not int(bucket[i]) & 3)
+                yield _rows(np.full(j - i, int(bucket[i]) & _LOW, np.int64), key[x], key[x[lead]], lead >= 0, sim[x], sim[x[lead]], size[x], narrow)
             row, bucket, flag = row[stays], bucket[stays], flag[stays]
             page = np.empty(len(row), kind)
             page["bucket"] = (bucket << np.uint64(16)) | (flag << np.uint64(15)) | np.minimum(size[row], 0x7FFF).astype(np.uint64)
@@ -356,7 +366,7 @@ def _entries(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
             pages = [page[i:j].tobytes() for i, j in zip(cut.tolist(), np.append(cut[1:], len(part)).tolist(), strict=True)]
             m = len(pages)
             none = [pa.nulls(m, pa.int64()) for _ in range(5)]
-            yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(pages, pa.binary()), *none], _FIELDS)
+            yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(pages, pa.binary()), *none, pa.nulls(m, pa.int32())], _FIELDS)
 
         for batch in batches:
             for t in V.texts(batch.column(0)):
@@ -371,18 +381,19 @@ def _entries(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.select("text").mapInArrow(run, "part int, page binary, bucket long, a long, b long, sim long, size long")
+    return docs.select("text").mapInArrow(run, "part int, page binary, bucket long, a long, b long, sim long, size long, apart int")
 
 
-_FIELDS = ["part", "page", "bucket", "a", "b", "sim", "size"]
+_FIELDS = ["part", "page", "bucket", "a", "b", "sim", "size", "apart"]
 _LOW = (1 << 48) - 1
 
 
-def _rows(bucket: np.ndarray, a: np.ndarray, b: np.ndarray, follows: np.ndarray, sim: np.ndarray, size: np.ndarray, book: np.ndarray | None = None) -> pa.RecordBatch:
-    """Lines of buckets: the line `a`, its leader `b` if it follows one; `bucket` if the line's bucket needs `across`."""
+def _rows(bucket: np.ndarray, a: np.ndarray, b: np.ndarray, follows: np.ndarray, sim: np.ndarray, led: np.ndarray, size: np.ndarray, book: np.ndarray) -> pa.RecordBatch:
+    """Lines of buckets: the line `a`, and its leader `b` if it follows one, whose SimHash `led` is `apart` bits away if that
+    counts (0 but by minima); `bucket` if the line's bucket needs `across`."""
     n = len(a)
-    part = pa.array((a % 1021).astype(np.int32))
-    return pa.RecordBatch.from_arrays([part, pa.nulls(n, pa.binary()), pa.array(bucket, mask=None if book is None else ~book), pa.array(a), pa.array(b, mask=~follows), pa.array(V.signed(sim)), pa.array(size.astype(np.int64))], _FIELDS)
+    apart = np.where(bucket & 3 == 1, np.bitwise_count(sim ^ led), 0).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array((a % 1021).astype(np.int32)), pa.nulls(n, pa.binary()), pa.array(bucket, mask=~book), pa.array(a), pa.array(b, mask=~follows), pa.array(V.signed(sim)), pa.array(size.astype(np.int64)), pa.array(apart)], _FIELDS)
 
 
 def _alike(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, reach: int) -> np.ndarray:
@@ -427,7 +438,8 @@ def meet(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
         two = cut[count == 2]
         near = _alike(sim[two], sim[two + 1], size[two], size[two + 1], np.array(REACH)[bucket[two] & 3])
         lead[two[near] + 1] = two[near]
-        book[two] = book[two + 1] = flag[two] | flag[two + 1]
+        narrow = bucket & 3 == 0
+        book[two] = book[two + 1] = (flag[two] | flag[two + 1]) & narrow[two]
         # of the buckets of a few lines, only those with two lines that may link are looked into
         some = count > 16
         for m in range(3, 17):
@@ -441,7 +453,7 @@ def meet(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
             s, z, reach = sim[i : i + m], size[i : i + m], REACH[bucket[i] & 3]
             if m > 64:
                 got = _lead(reach, s, z)
-                book[i : i + m] = (got >= 0).any() or flag[i : i + m].any()
+                book[i : i + m] = narrow[i] and ((got >= 0).any() or flag[i : i + m].any())
             else:
                 may = np.triu(_alike(s[:, None], s[None], z[:, None], z[None], reach), 1)
                 got = np.full(m, -1)
@@ -450,15 +462,19 @@ def meet(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
                         follow = may[x] & (got < 0)
                         got[follow] = x
                         may[x, follow] = False
-                if flag[i : i + m].any():
+                if not narrow[i]:
+                    pass
+                elif flag[i : i + m].any():
                     book[i : i + m] = True
                 elif may.any():  # pairs that no leader covers: these lines, under a name that equal sets of lines share
                     some = may.any(0) | may.any(1)
                     book[i : i + m] = some
                     named[i : i + m] = int(np.bitwise_xor.reduce(key[i : i + m][some])) & ~3 | int(bucket[i]) & 3
             lead[i : i + m] = np.where(got >= 0, got + i, -1)
-        keep = (lead >= 0) | book
-        yield _rows(named[keep], key[keep], key[np.maximum(lead, 0)][keep], (lead >= 0)[keep], sim[keep], size[keep], book[keep])
+        follows = lead >= 0
+        keep = follows | book
+        lead = np.maximum(lead, 0)
+        yield _rows(named[keep], key[keep], key[lead][keep], follows[keep], sim[keep], sim[lead][keep], size[keep], book[keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.dtype([("bucket", np.uint64), ("sim", np.uint64), ("key", np.int64)])
@@ -477,7 +493,7 @@ def meet(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
                 yield out.select(_FIELDS[2:])
 
     dealt = _entries(docs, wide, parts).repartitionById(parts, F.pmod("part", F.lit(parts)).cast("int"))
-    return dealt.mapInArrow(run, "bucket long, a long, b long, sim long, size long")
+    return dealt.mapInArrow(run, "bucket long, a long, b long, sim long, size long, apart int")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -602,7 +618,8 @@ def ledger(docs: DataFrame, wide: bool = False) -> tuple[DataFrame, DataFrame]:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(seen.get["n"] or 0) * ENTRIES * ENTRY // PART))
     lines = spread.stash(found.groupBy("key").agg(F.min(F.struct("doc_id", "line", "text_hash")).alias("at"), F.count("*").alias("n")).select("key", "at.doc_id", "at.line", "at.text_hash", "n"))
     met = spread.stash(meet(docs, wide, parts))
-    offers = spread.stash(met.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    offers = met.where("b IS NOT NULL").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("apart").alias("apart"), F.count("*").alias("buckets"))
+    offers = spread.stash(offers.where(f"apart <= {CLOSE} OR buckets > 1").select("a", "b"))
     book = met.where("bucket IS NOT NULL").select("bucket", F.col("a").alias("key"), "sim", "size").distinct()
     links, tried, most = spread.stash(_verify(docs, lines, offers)), offers, PAIRS
     while True:
@@ -625,8 +642,7 @@ def ledger(docs: DataFrame, wide: bool = False) -> tuple[DataFrame, DataFrame]:
     return spread.stash(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone"))), comp
 
 
-def _worded(line: str) -> bool:
-    return bool(normal(line))
+_worded = re.compile("[0-9A-Za-z\x80-\U0010ffff]").search
 
 
 def op1_line_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -639,7 +655,7 @@ def op1_line_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
             n, k, sha = [], [], []
             for text, gone in zip(batch.column(1), batch.column(2), strict=True):
                 lines, drop = (text.as_py() or "").split("\n"), set(gone.as_py() or ())
-                n.append(sum(map(_worded, lines)))
+                n.append(sum(_worded(x) is not None for x in lines))
                 k.append(len(drop))
                 sha.append(hashlib.sha256("\n".join(x for i, x in enumerate(lines) if i not in drop).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_lines", "n_removed", "kept_sha256"])

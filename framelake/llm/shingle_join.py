@@ -181,7 +181,7 @@ def _close(docs: DataFrame, keys: DataFrame, k: int, percent: int, reps: int = 2
     groups only, and a key with more than BLOCK documents is dealt to several; what that misses is left to the trees."""
     sizes = keys.groupBy("key").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS bigint)").alias("salts"))
     keys = spread.stash(keys.join(spread.stash(sizes), "key").selectExpr("doc_id", "xxhash64(key, pmod(xxhash64(doc_id), salts)) AS key"))
-    rows = spread.split_by(docs, keys.select("doc_id"))[0].join(keys, "doc_id").select("key", "doc_id", "text")
+    rows = spread.split_by(docs, keys.select("doc_id"))[0].join(keys.hint("shuffle_hash"), "doc_id").select("key", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -429,7 +429,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, t.n), pa.array([V.signed(x) for x in sets(t, k)], pa.list_(pa.int64()))], ["doc_id", "own"])
 
     own = rows.mapInArrow(make, "doc_id long, own array<long>")
-    met = ends.join(own, "doc_id").groupBy("a", "b").agg(F.collect_list("own").alias("own"))
+    met = own.join(ends.hint("shuffle_hash"), "doc_id").groupBy("a", "b").agg(F.collect_list("own").alias("own"))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
