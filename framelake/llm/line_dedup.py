@@ -190,6 +190,18 @@ def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return bool(similar([a], [b], least)[0])
 
 
+def _common(a: str, b: str) -> int:
+    """Length of the start that a and b have in common; a is not longer."""
+    low, high = 0, len(a)
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
 def similar(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarray:
     """Which pairs are edit_similar. Ends in common are cut; what is near enough word by word is near enough; the others
     go through Myers' bit vectors, in numpy for many pairs at once, or, if they are long, one by one."""
@@ -200,12 +212,8 @@ def similar(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarr
         most = int((1 - least) * len(b) + 1e-9)
         if len(b) - len(a) > most:
             continue
-        i = 0
-        while i < len(a) and a[i] == b[i]:
-            i += 1
-        j = 0
-        while j < len(a) - i and a[-1 - j] == b[-1 - j]:
-            j += 1
+        i = _common(a, b)
+        j = _common(a[:i - 1 if i else None:-1], b[:i - 1 if i else None:-1])
         a, b = a[i : len(a) - j], b[i : len(b) - j]
         if len(b) <= most:
             out[k] = True
@@ -342,7 +350,8 @@ def _entries(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
             held.clear()
             # a line that comes again is one line here
             lines = np.zeros(len(key), bool)
-            lines[np.unique(key, return_index=True)[1]] = True
+            order = np.argsort(key)
+            lines[order[np.append(True, key[order[1:]] != key[order[:-1]])[: len(key)]]] = True
             own = lines[row]
             row, bucket = row[own], bucket[own]
             order = np.argsort(bucket)
