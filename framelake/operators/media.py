@@ -19,7 +19,7 @@ LOSSLESS = {
     "ffv1": "-level 3 -slicecrc 1",
     "prores_ks": "-profile:v 4 -qscale:v 0",
     "libvpx-vp9": "-lossless 1",
-    "libsvtav1": "-crf 0",
+    "libsvtav1": "",
 }
 QUALITY = {
     "libx264": "-preset veryslow -profile:v high",

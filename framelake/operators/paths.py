@@ -10,7 +10,7 @@ from framelake.operators.quality import num
 from framelake.plans.dialect import Spark
 
 _RANK = "CASE WHEN lower(name) = 'rgb.mp4' THEN 0 WHEN lower(name) = 'cam_head.mp4' THEN 1 WHEN lower(name) = 'video.mp4' THEN 2 ELSE 3 END"
-_VIDEO = "(lower(name) LIKE '%.mp4' OR lower(name) LIKE '%.mov' OR lower(name) LIKE '%.mkv' OR lower(name) LIKE '%.avi' OR lower(name) LIKE '%.webm')"
+_VIDEO = "(lower(name) LIKE '%.mp4' OR lower(name) LIKE '%.mov' OR lower(name) LIKE '%.mkv' OR lower(name) LIKE '%.avi' OR lower(name) LIKE '%.webm' OR lower(name) LIKE '%.m4v')"
 
 
 def candidate_rank(d: Spark) -> str:
