@@ -436,3 +436,24 @@ def test_pipeline(spark, sf_dir):
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 < got.count() <= spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert got.groupBy("doc_id").count().where(F.col("count") > 1).count() == 0
+
+
+def test_stages_keep_columns_whatever_their_names(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(60)
+    names = ["_at", "_maybe", "_gone", "_scan", "scan", "ledger", "cell", "gone", "text_hash", "more"]
+    odd = d.withColumns({n: F.lit(n) for n in names}).union(d.limit(1).withColumn("doc_id", F.lit(None).cast("long")).withColumns({n: F.lit(n) for n in names}))
+    for stage in (quality_rules.quality_stage, line_dedup.line_stage, shingle_join.near_copy_stage, decontaminate.decontamination_stage):
+        got, plain = stage(spark, odd, sf_dir), stage(spark, odd.drop(*names), sf_dir)
+        assert got.columns == odd.columns
+        rows = got.collect()
+        assert rows and all(r[n] == n for r in rows for n in names)
+        assert sorted((r.doc_id or -1, r.text) for r in rows) == sorted((r.doc_id or -1, r.text) for r in plain.collect())
+
+
+def test_two_texts_under_one_id(spark):
+    w = [f"w{i}" for i in range(200)]
+    rows = [(1, "own first line of one\nshared line one two"), (2, "other words here now\nshared line one two"), (2, "second text own line\nan entirely unique sentence")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in line_dedup.line_stage(spark, d, "").collect()) == [(1, rows[0][1]), (2, "other words here now"), (2, rows[2][1])]
+    long = spark.createDataFrame([(1, " ".join(w[:120])), (2, "x y z " + " ".join(w[:120])), (2, " ".join(w[130:191]))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in phrase_dedup.dedup(long).collect()) == [(1, 120, 0), (2, 61, 0), (2, 123, 120)]
