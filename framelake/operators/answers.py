@@ -21,17 +21,25 @@ def parse_json_greedy(d: Spark) -> str:
 
 
 def parse_audit(d: Spark) -> str:
-    """Hand count and manipulation flag of each answer; rows without both aren't valid."""
-    return f"SELECT custom_id, conv_id, hands, active, hands IS NOT NULL AND active IS NOT NULL AS valid FROM (SELECT custom_id, conv_id, {T.hand_count(d, 'text')} AS hands, {T.active(d, 'text')} AS active FROM {{responses}}) a"
+    """Hand count and flags of each answer; rows without all three aren't valid."""
+    return f"SELECT custom_id, conv_id, hands, active, single, hands IS NOT NULL AND active IS NOT NULL AND single IS NOT NULL AS valid FROM (SELECT custom_id, conv_id, {T.hand_count(d, 'text')} AS hands, {T.active(d, 'text')} AS active, {T.single(d, 'text')} AS single FROM {{responses}}) a"
 
 
 def hand_vlm_summary(d: Spark) -> str:
     r = lambda what: f"round(CAST(count_if(valid AND {what}) AS DOUBLE) / greatest(count_if(valid), 1), 4)"
     return f"""SELECT q.conv_id AS episode, count(*) AS sampled, count_if(coalesce(a.valid, false)) AS valid, count(*) - count_if(coalesce(a.valid, false)) AS failed, coalesce(round(avg(CASE WHEN valid THEN CAST(hands AS DOUBLE) END), 3), {num(0)}) AS avg_hands,
-        {r('hands >= 1')} AS at_least_one, {r('hands = 2')} AS both, {r('hands = 0')} AS none, {r('active')} AS active_ratio
+        count_if(valid AND hands = 0) AS none_frames, count_if(valid AND hands >= 1) AS any_frames, count_if(valid AND hands >= 2) AS both_frames,
+        {r('hands = 1')} AS one, {r('hands >= 1')} AS at_least_one, {r('hands = 2')} AS both, {r('hands = 0')} AS none, {r('active')} AS active_ratio, {r('single')} AS single_ratio
         FROM {{requests}} q LEFT JOIN ({parse_audit(d)}) a ON q.custom_id = a.custom_id GROUP BY q.conv_id"""
 
 
+def hand_summaries(d: Spark) -> str:
+    """Detections and audits in one shape, a row an episode and backend; what a backend can't tell is null."""
+    ratio = "CAST(NULL AS DOUBLE)"
+    return f"""SELECT 'yolo' AS backend, episode, frames AS sampledFrames, frames AS validFrames, CAST(0 AS BIGINT) AS failedFrames, round(CAST(left_frames + right_frames AS DOUBLE) / frames, 3) AS avgEgoHandCount, any_frames AS framesWithAtLeastOneHand, any_ratio AS atLeastOneHandRatio, both_frames AS framesWithBothHands, both_ratio AS bothHandsRatio, none_frames AS framesWithNoHands, {ratio} AS noHandsRatio, {ratio} AS activeManipulationRatio, {ratio} AS singlePersonOperationRatio FROM ({hand_yolo_summary(d)}) y
+        UNION ALL SELECT 'vlm', episode, sampled, valid, failed, avg_hands, any_frames, round(v.one + v.both, 6), both_frames, v.both, none_frames, v.none, active_ratio, single_ratio FROM ({hand_vlm_summary(d)}) v"""
+
+
 def hand_retry_merge(d: Spark) -> str:
     """Frames of which the first answer failed take the second's; retried says so. First answers fail where k % 4 = 0, second where k % 8 = 0."""
     return "SELECT f.episode, f.frame_idx, coalesce(a.k, b.k) AS k, a.k IS NULL AS retried, a.k IS NULL AND b.k IS NULL AS failed FROM {frames} f LEFT JOIN (SELECT episode, frame_idx, k FROM {frames} WHERE k % 4 <> 0) a ON f.episode = a.episode AND f.frame_idx = a.frame_idx LEFT JOIN (SELECT episode, frame_idx, k FROM {frames} WHERE k % 8 <> 0) b ON f.episode = b.episode AND f.frame_idx = b.frame_idx"

@@ -1,7 +1,7 @@
 """Media planning: transcode, cut and blur commands as columns. Nothing here runs a tool; an executor may, where there is one.
 
-Inputs: probes (media, codec, width, height, fps, bitrate_kbps, pix_fmt, container, audio_codec), specs (spec, codec,
-container, resolution, bitrate, fps, pix_fmt).
+Inputs: probes (media, codec, width, height, fps, bitrate_kbps, pix_fmt, container, audio_codec, duration_ms, size_bytes), specs (spec, codec,
+container, resolution, bitrate, fps, pix_fmt), outputs (media, codec, width, height, size_bytes, duration_sec).
 """
 
 from __future__ import annotations
@@ -83,8 +83,11 @@ def cut_commands(d: Spark) -> str:
 
 
 def verify_output(d: Spark) -> str:
-    """Before and after of a transcode: the same probe against its neighbour of the same size class, with a warning if lengths differ by over half a second."""
-    return f"SELECT a.media, a.codec AS codec_before, b.codec AS codec_after, a.width = b.width AND a.height = b.height AS same_size, round(abs(a.bitrate_kbps - b.bitrate_kbps) / {num(1000)}, 3) AS duration_diff, abs(a.bitrate_kbps - b.bitrate_kbps) / {num(1000)} > {num(0.5)} AS warn FROM {{probes}} a JOIN {{probes}} b ON b.media = a.media + 1"
+    """Before and after of a transcode: sizes in MB, codecs, resolutions, and how far the lengths are apart; over half a second is a warning."""
+    mb = lambda x: f"round(CAST({x} AS DOUBLE) / 1048576, 2)"
+    size = lambda t: f"concat(CAST({t}.width AS STRING), 'x', CAST({t}.height AS STRING))"
+    apart = f"round(abs(o.duration_sec - CAST(p.duration_ms AS DOUBLE) / {num(1000)}), 3)"
+    return f"SELECT p.media, {mb('p.size_bytes')} AS input_size_mb, {mb('o.size_bytes')} AS output_size_mb, p.codec AS input_codec, o.codec AS output_codec, {size('p')} AS input_resolution, {size('o')} AS output_resolution, {apart} AS duration_diff_sec, {apart} > {num(0.5)} AS warn FROM {{probes}} p JOIN {{outputs}} o ON o.media = p.media"
 
 
 def effective_spec(d: Spark) -> str:

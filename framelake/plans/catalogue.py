@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from framelake.operators import answers as A
 from framelake.operators import captions as C
+from framelake.operators import chains as N
 from framelake.operators import media as M
 from framelake.operators import paths as P
 from framelake.operators import privacy as B
@@ -80,7 +81,12 @@ OPERATORS: dict[str, Operator] = {
     "cut_plan_action": Operator(C.cut_plan_action, {"actions": X.actions}),
     "sop_join": Operator(C.sop_join, {"part": table("part")}),
     **{f.__name__: Operator(f, MEDIA) for f in (M.transcode_plan, M.effective_spec)},
-    **{f.__name__: Operator(f, {"probes": X.probes}) for f in (M.encoder_choice, M.cut_commands, M.verify_output)},
+    **{f.__name__: Operator(f, {"probes": X.probes}) for f in (M.encoder_choice, M.cut_commands)},
+    "verify_output": Operator(M.verify_output, {"probes": X.probes, "outputs": X.outputs}),
+    "hand_summaries": Operator(A.hand_summaries, FRAMES | ASK),
+    "generic_segments": Operator(N.generic_segments, {"windows": X.windows}),
+    "refined_tasks": Operator(N.refined_tasks, {"parts": X.parts, "proposals": X.proposals}),
+    "two_level_captions": Operator(N.two_level_captions, {"windows": X.windows, "inner": X.inner}),
     **{f.__name__: Operator(f, {"paths": X.paths}) for f in (P.candidate_rank, P.path_resolve, P.drop_parent)},
     "text_helpers": Operator(P.text_helpers, {"documents": table("documents")}),
     "parse_rates": Operator(P.parse_rates, {"part": table("part")}),

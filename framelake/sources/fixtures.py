@@ -43,7 +43,7 @@ def requests(d: Spark) -> str:
 
 def responses(d: Spark) -> str:
     """Answers with a body of one of four forms by conversation: JSON, fenced JSON, JSON in prose, garbage."""
-    body = """concat('{{"thought": "t', CAST(turn AS STRING), '", "scene": "', CASE turn % 3 WHEN 0 THEN ' Household' WHEN 1 THEN 'kitchen' ELSE 'outdoor' END, '", "ego_hand_count": ', CAST(turn % 3 AS STRING), ', "active_manipulation": "', CASE WHEN turn % 4 < 2 THEN 'yes' ELSE 'no' END, '"}}')"""
+    body = """concat('{{"thought": "t', CAST(turn AS STRING), '", "scene": "', CASE turn % 3 WHEN 0 THEN ' Household' WHEN 1 THEN 'kitchen' ELSE 'outdoor' END, '", "ego_hand_count": ', CAST(turn % 3 AS STRING), ', "active_manipulation": "', CASE WHEN turn % 4 < 2 THEN 'yes' ELSE 'no' END, '", "', CASE WHEN turn % 8 < 4 THEN 'single_person_operation' ELSE 'single_operator_only' END, CASE turn % 5 WHEN 0 THEN '": true}}' WHEN 1 THEN '": false}}' WHEN 2 THEN '": "yes"}}' WHEN 3 THEN '": "no"}}' ELSE '": "true"}}' END)"""
     text = f"CASE conv_id % 4 WHEN 0 THEN {body} WHEN 1 THEN concat('```json\n', {body}, '\n```') WHEN 2 THEN concat(text, ' ', {body}, ' end') ELSE text END"
     words = d.size(f"{'split(text, chr(32))' if d.name == 'spark' else 'string_split(text, chr(32))'}")
     return f"""SELECT concat(CAST(conv_id AS STRING), '_', CAST(before AS STRING)) AS custom_id, conv_id, turn, {text} AS text, CAST({words} AS BIGINT) AS completion_tokens
@@ -69,7 +69,8 @@ def probes(d: Spark) -> str:
         CASE WHEN p_size % 3 = 0 THEN 1920 WHEN p_size % 3 = 1 THEN 1280 ELSE 640 END AS width, CASE WHEN p_size % 3 = 0 THEN 1080 WHEN p_size % 3 = 1 THEN 720 ELSE 480 END AS height,
         CASE WHEN p_size % 2 = 0 THEN CAST(30 AS DOUBLE) ELSE CAST(25 AS DOUBLE) END AS fps, CAST({d.whole('p_retailprice')} AS BIGINT) AS bitrate_kbps,
         CASE WHEN p_size % 5 = 0 THEN 'yuv420p10le' ELSE 'yuv420p' END AS pix_fmt, CASE p_partkey % 4 WHEN 0 THEN 'mp4' WHEN 1 THEN 'mkv' WHEN 2 THEN 'mov' ELSE 'webm' END AS container,
-        CASE p_partkey % 3 WHEN 0 THEN 'aac' WHEN 1 THEN 'opus' END AS audio_codec FROM part"""
+        CASE p_partkey % 3 WHEN 0 THEN 'aac' WHEN 1 THEN 'opus' END AS audio_codec,
+        CAST(8000 + p_size * 137 AS BIGINT) AS duration_ms, CAST((8000 + p_size * 137) * 9973 AS BIGINT) AS size_bytes FROM part"""
 
 
 def specs(d: Spark) -> str:
@@ -82,6 +83,36 @@ def specs(d: Spark) -> str:
     return " UNION ALL ".join(f"SELECT {i} AS spec, CAST({q(c)} AS STRING) AS codec, CAST({q(k)} AS STRING) AS container, CAST({q(r)} AS STRING) AS resolution, CAST({q(b)} AS STRING) AS bitrate, CAST({'NULL' if f is None else f} AS DOUBLE) AS fps, CAST({q(p)} AS STRING) AS pix_fmt" for i, c, k, r, b, f, p in rows)
 
 
+def outputs(d: Spark) -> str:
+    """What encoding made of the probes: codec, size and length differ."""
+    return f"SELECT media, CASE WHEN media % 2 = 0 THEN 'hevc' ELSE codec END AS codec, width, CASE WHEN media % 7 = 0 THEN height - 2 ELSE height END AS height, {d.idiv('size_bytes * 2', '3')} AS size_bytes, CAST(duration_ms + media % 9 * 83 AS DOUBLE) / 1000 AS duration_sec FROM ({probes(d)}) p"
+
+
+def windows(d: Spark, wide: int = 6, step: int = 3, scale: int = 10) -> str:
+    """Answers by window of `wide` frames, a new one every `step`: some fail, some transitions are out of range, some payloads are blank or missing."""
+    first = d.idiv("frame_idx", str(step))
+    pos = f"frame_idx - {step} * window_id"
+    lists = f"{d.listed(f'frame_idx * {scale}', 'frame_idx')} AS frame_ids, {d.listed(f"CASE WHEN kind = 'click' THEN {pos} WHEN k % 11 = 0 THEN CAST(99 AS BIGINT) END", 'frame_idx')} AS places, {d.listed("CASE WHEN frame_idx % 4 = 1 THEN NULL WHEN k % 13 = 0 THEN '' ELSE kind END", 'frame_idx')} AS said"
+    return f"""SELECT episode, window_id, max(window_id) OVER (PARTITION BY episode) + 1 AS n_windows, frame_ids, CASE WHEN window_id % 7 <> 5 THEN {d.keep('places', 'z_', 'z_ IS NOT NULL')} END AS transitions, {d.keep('said', 'z_', 'z_ IS NOT NULL')} AS payloads, CAST(0 AS BIGINT) AS low, n * {scale} AS high
+        FROM (SELECT episode, n, window_id, {lists} FROM (SELECT episode, frame_idx, n, kind, k, {d.explode(d.seq(f'greatest({first} - {wide // step - 1}, 0)', first))} AS window_id FROM ({frames(d)}) f) g GROUP BY episode, n, window_id) h"""
+
+
+def inner(d: Spark) -> str:
+    """Shorter windows, for actions."""
+    return windows(d, 4, 2)
+
+
+def parts(d: Spark) -> str:
+    """Neighbouring segments of an episode, of which many say the same in other letters; some say nothing."""
+    return f"SELECT episode, frame_idx * 10 AS s, frame_idx * 10 + 10 AS e, CASE WHEN k % 13 = 0 THEN ' ' WHEN k % 2 = 0 THEN upper(kind) ELSE concat(kind, ' ') END AS instruction FROM ({frames(d)}) f WHERE episode % 10 <> 7 OR frame_idx = 0"
+
+
+def proposals(d: Spark) -> str:
+    """Merged segments as a model gives them, by four frames: right, with a gap, with invented ends, or none, by episode."""
+    return f"""SELECT episode, place, CASE WHEN episode % 4 = 1 AND place = 2 THEN s + 10 WHEN episode % 4 = 2 AND place = 1 THEN s + 3 ELSE s END AS s, CASE WHEN episode % 4 = 2 AND place = 0 THEN e + 3 ELSE e END AS e, CASE WHEN place % 5 = 0 THEN ' ' ELSE concat('task ', CAST(place AS STRING)) END AS instruction
+        FROM (SELECT episode, {d.idiv('s', '40')} AS place, min(s) AS s, max(e) AS e FROM ({parts(d)}) p WHERE episode % 4 <> 3 GROUP BY episode, {d.idiv('s', '40')}) q"""
+
+
 def paths(d: Spark) -> str:
     """Files of episodes: page_id, dir, name."""
     host = d.search("url", "^https?://([^/]+)/", 1)
