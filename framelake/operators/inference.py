@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.sources.sinks import kept
+
 ANSWER = "custom_id string, text string, prompt_tokens long, completion_tokens long, status_code int, error string"
 
 
@@ -66,8 +68,10 @@ def call(requests: DataFrame, make: Callable[[], Backend], workers: int = 8, tri
 
 
 def retry_failed(requests: DataFrame, first: DataFrame, make: Callable[[], Backend]) -> DataFrame:
-    """Answers with those that failed asked once more; `retried` says which."""
+    """Answers with those that failed asked once more; `retried` says which. Both are written before they are used, so no call runs twice."""
+    first = kept(first)
     again = call(requests.join(first.where("status_code <> 200").select("custom_id"), "custom_id", "left_semi"), make)
+    again = kept(again)
     names = [c.split()[0] for c in ANSWER.split(", ")][1:]
     second = again.select("custom_id", F.struct(*names).alias("_b"), F.lit(True).alias("_again"))
     both = first.join(second, "custom_id", "left")

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.sources.sinks import kept
+
 RESULT = "work string, operator string, status string, outputs array<string>, metrics map<string,string>, errors array<string>, notes array<string>"
 STATUSES = ("ok", "error", "skipped", "pending", "fail")
 
@@ -53,16 +55,17 @@ def levels(steps: list[Step]) -> list[list[Step]]:
 def run(registry: Registry, work: DataFrame, enabled: Iterable[str] | None = None, fail_fast: bool = False) -> DataFrame:
     """All results, one row a work item and step (pending ones as collected).
 
+    A step runs once: its rows are written to the shared folder before results, errors and fan-out read them.
     A fan-out step's outputs are the work of the stages after it. With fail_fast, items with an error leave later stages.
     """
     results: DataFrame | None = None
     for stage in registry.stages(enabled):
         done = []
         for step in stage:
-            got = step.run(work)
+            got = kept(step.run(work))
             if step.collect is not None:
                 late = got.where("status = 'pending'")
-                got = got.where("status <> 'pending'").unionByName(step.collect(late))
+                got = kept(got.where("status <> 'pending'").unionByName(step.collect(late)))
             done.append(got)
         for got in done:
             results = got if results is None else results.unionByName(got)

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows, computed once and written to the shared folder of spark.checkpoint.dir; for what must not run twice, as model calls."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def fill(wanted: DataFrame, path: str, make: Callable[[DataFrame], DataFrame], key: tuple[str, ...] = ("episode", "frame_idx")) -> DataFrame:
     """Reads wanted rows through a Parquet table: what it lacks is made by `make` and appended, then all is read by join."""
     spark = wanted.sparkSession
