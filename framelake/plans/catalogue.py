@@ -16,6 +16,7 @@ from framelake.operators import privacy as B
 from framelake.operators import quality as Q
 from framelake.operators import sampling as S
 from framelake.operators import segmentation as G
+from framelake.plans import reports as R
 from framelake.plans.dialect import DUCK, SPARK, Spark
 from framelake.sources import fixtures as X
 
@@ -60,10 +61,27 @@ class Operator:
         return f"WITH {ctes} {text}".replace("{{", "{").replace("}}", "}")
 
 
+@dataclass(frozen=True)
+class Query:
+    """A query of DataFrame functions, with an oracle written on its own."""
+
+    build: Callable[..., DataFrame]
+    sql: str
+    views: dict[str, Callable[[Spark], str]]
+
+    over = property(lambda self: self.build)
+
+    def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return self.build(**{name: X.load(spark, sf_dir, view) for name, view in self.views.items()})
+
+    def oracle(self) -> str:
+        return self.sql
+
+
 GRAY, FRAMES, EPISODES, BOXES = {"frames": X.gray}, {"frames": X.frames}, {"episodes": X.episodes}, {"boxes": X.boxes}
 ASK, TREE, MEDIA = {"requests": X.requests, "responses": X.responses}, {"tasks": X.tasks, "actions": X.actions}, {"probes": X.probes, "specs": X.specs}
 
-OPERATORS: dict[str, Operator] = {
+OPERATORS: dict[str, Operator | Query] = {
     **{f.__name__: Operator(f, GRAY) for f in (Q.frame_quality, Q.quality_summary, Q.frame_exposure, Q.exposure_summary, Q.pair_motion, Q.stability_summary, Q.quality_verdict, Q.flagged_frames)},
     **{f.__name__: Operator(f, EPISODES) for f in (S.sample_windows, S.window_frames, S.stride_frames, S.fps_frames, S.uniform_frames, S.frame_demand)},
     "legacy_windows": Operator(lambda d: S.sample_windows(d, truncate=True, window_sec=0.45), EPISODES),
@@ -90,6 +108,7 @@ OPERATORS: dict[str, Operator] = {
     **{f.__name__: Operator(f, {"paths": X.paths}) for f in (P.candidate_rank, P.path_resolve, P.drop_parent)},
     "text_helpers": Operator(P.text_helpers, {"documents": table("documents")}),
     "parse_rates": Operator(P.parse_rates, {"part": table("part")}),
+    **{name: Query(build, sql, {t: table(t) for t in tables}) for name, (build, sql, tables) in R.QUERIES.items()},
     "asof_nearest": Operator(P.asof_nearest, FRAMES),
     "imu_magnitude": Operator(P.imu_magnitude, {"embeddings": table("embeddings")}),
 }
