@@ -10,8 +10,9 @@ Steps, each one's rows in proportion to the corpus:
 2. Per document: set size, set fingerprint, bitmap, and its prefix: the rarest shingles (frequent ones last, then by
    hash) that any linked set must share one of. Equal sets collapse to the least doc_id.
 3. Prefix rows are dealt by shingle; those without another set of a near enough size under their shingle are dropped.
-4. Close copies: documents with the same least shared prefix shingle are compared with representatives, exactly, which
-   merges the large groups without all their pairs; keys of more than BLOCK documents are dealt to several tasks.
+4. Close copies: documents with the same least shared prefix shingle follow leaders by their bitmaps, and each is compared
+   with its leader, exactly, which merges the large groups without all their pairs and moves no other text; shingles of
+   more than BLOCK documents are dealt to several tasks.
 5. Every shared prefix shingle whose documents aren't in one group yet: a signature tree over their bitmaps; its nodes
    hold OR-combined bitmaps, size ranges and group ranges. A dual traversal prunes node pairs of one group, and pairs
    whose greatest possible overlap is too small. Bitmaps of large sets hold a sample by hash, whose bound fails for a
@@ -176,34 +177,6 @@ def _shared(rows: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("g").sortWithinPartitions("g", "n", "doc_id").mapInArrow(run, "g long, n long, doc_id long")
 
 
-def _close(docs: DataFrame, keys: DataFrame, k: int, percent: int, reps: int = 24) -> DataFrame:
-    """Verified edges between documents of the same key. Each is compared with the last representatives of the key's
-    groups only, and a key with more than BLOCK documents is dealt to several; what that misses is left to the trees."""
-    sizes = keys.groupBy("key").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS bigint)").alias("salts"))
-    keys = spread.stash(keys.join(spread.stash(sizes), "key").selectExpr("doc_id", "xxhash64(key, pmod(xxhash64(doc_id), salts)) AS key"))
-    rows = spread.split_by(docs, keys.select("doc_id"))[0].join(keys.hint("shuffle_hash"), "doc_id").select("key", "doc_id", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        for batch in batches:
-            keys_, ids, a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], []
-            for t in V.texts(batch.column(2)):
-                for i, own in enumerate(sets(t, k), t.first):
-                    if keys_[i] != key:
-                        key, held = keys_[i], []
-                    for j, (other, doc) in enumerate(held):
-                        if percent * max(len(own), len(other)) <= 100 * min(len(own), len(other)) and _linked(own, other, percent):
-                            a.append(ids[i])
-                            b.append(doc)
-                            held.append(held.pop(j))
-                            break
-                    else:
-                        held = [*held[1 - reps :], (own, ids[i])]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return rows.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(run, "a long, b long")
-
-
 def _fits(most: np.ndarray, total: np.ndarray, least: np.ndarray, sampled: bool | np.ndarray, percent: int) -> np.ndarray:
     """Whether an overlap of at most `most` is enough for sizes that sum to `total`, the lesser being `least`."""
     need = percent * total / (100 + percent)
@@ -333,6 +306,71 @@ class Members:
                     yield a[i[new]], b[j[new]]
 
 
+def _led(keyed: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, rep) of rows with a `key`, by their bitmaps: in each key the first row leads all that may link to it, then
+    the first of the others does, and so on. Leaders of some row have themselves as rep; others have no row."""
+
+    def flush(table: pa.Table) -> pa.RecordBatch:
+        m, key = Members(table), table.column("key").to_numpy()
+        rest, lead = np.arange(len(key)), np.full(len(key), -1)
+        while len(rest) > 1:
+            head = np.append(True, key[rest[1:]] != key[rest[:-1]])
+            first = rest[head][np.cumsum(head) - 1]
+            rest, first = rest[~head], first[~head]
+            near = m.leaf(first, rest, percent)
+            lead[rest[near]] = first[near]
+            rest = rest[~near]
+        follows = np.flatnonzero(lead >= 0)
+        rep = np.unique(lead[follows])
+        return pa.RecordBatch.from_arrays([pa.array(m.doc[np.append(follows, rep)]), pa.array(m.doc[np.append(lead[follows], rep)])], ["doc_id", "rep"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(batch)
+            key = batch.column(0).to_numpy()
+            if held[0].column(0)[0].as_py() == key[-1]:
+                continue  # one key goes on; it has about BLOCK rows
+            table = pa.Table.from_batches(held)
+            n = len(table) - len(batch) + int(np.flatnonzero(key == key[-1])[0])
+            yield flush(table.slice(0, n))
+            held = table.slice(n).combine_chunks().to_batches()
+        if held:
+            yield flush(pa.Table.from_batches(held))
+
+    rows = keyed.select("key", "doc_id", "n", F.col("doc_id").alias("component"), F.lit(0).alias("side"), "level", "b0", "s0", "s1")
+    return rows.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(run, "doc_id long, rep long")
+
+
+def _close(docs: DataFrame, signs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Verified edges between documents with one least shared shingle: bitmaps tell the leader that each may link to, and
+    the texts of leaders and followers, and of no others, are compared. A shingle with more than BLOCK documents is dealt
+    to several keys; what that misses is left to the trees."""
+    sizes = signs.groupBy("h0").agg(F.count("*").alias("members")).where("members > 1").selectExpr("h0", f"CAST(ceil(members / {BLOCK}) AS bigint) AS salts")
+    keyed = signs.join(spread.stash(sizes), "h0").withColumn("key", F.expr("xxhash64(h0, pmod(xxhash64(doc_id), salts))"))
+    led = spread.stash(_led(keyed, percent).distinct())
+    rows = spread.split_by(docs, led.select("doc_id"))[0].join(led.hint("shuffle_hash"), "doc_id").select("rep", "doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rep, held = None, []
+        for batch in batches:
+            reps, ids, a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], []
+            for t in V.texts(batch.column(2)):
+                for i, own in enumerate(sets(t, k), t.first):
+                    if reps[i] != rep:
+                        rep, held = reps[i], []
+                    if ids[i] == rep:
+                        held.append(own)
+                    elif any(len(own) and _linked(own, x, percent) for x in held):
+                        a.append(ids[i])
+                        b.append(rep)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.repartition("rep").sortWithinPartitions("rep", F.col("doc_id") != F.col("rep"), "doc_id").mapInArrow(run, "a long, b long")
+
+
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (g, a, b, left) that may link, of rows (g, tile, side, doc_id, n, component, ...) dealt by (g, tile).
 
@@ -453,9 +491,9 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     reps = some.where("rep IS NULL OR doc_id = rep").drop("rep")
     rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "n", "doc_id"), percent).drop("n").distinct())
     least = spread.stash(rows.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list("g")), 1, FIRST).alias("h")))
-    found = spread.stash(_close(known, least.select("doc_id", F.col("h")[0].alias("key")), k, percent))
     signs = reps.drop("prefix").join(least, "doc_id").select("*", *(F.coalesce(F.get("h", F.lit(x)), F.lit((1 << 63) - 1)).alias(f"h{x}") for x in range(FIRST))).drop("h")
     signs = spread.stash(signs)
+    found = spread.stash(_close(known, signs, k, percent))
     done, tried, most = [], None, PAIRS
     while True:
         all_ = found
