@@ -221,8 +221,10 @@ def similar(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarr
             x, y = a.split(" "), b.split(" ")
             if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
                 out[k] = True
+            elif len(a) > 256 and _at_most(x, y) <= most:
+                out[k] = True
             elif len(a) > 64 * WORDS:
-                out[k] = _at_most(x, y) <= most or _near_enough(a, b, most)
+                out[k] = _near_enough(a, b, most)
             else:
                 left.append((-(-len(a) // 64), len(b), k, a, b, most))
     left.sort()
