@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, line_dedup, phrase_dedup, pii_crf, piece_codec, quality_rules, secret_scan, shingle_join, token_counts, transcripts
+from framelake.llm import centroids, decontaminate, line_dedup, phrase_dedup, pii_crf, piece_codec, quality_rules, secret_scan, seekable, shingle_join, token_counts, transcripts, turn_repair
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,12 @@ def queries() -> dict[str, Query]:
         quality_rules.rule_ablations,
         piece_codec.op9_piece_codec,
         secret_scan.op10_markov_secrets,
+        seekable.op11_seekable_warc,
+        turn_repair.op12_tight_arcs,
+        centroids.op13_centroids,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_markov_secrets": secret_scan.oracle()}
+    return {"op10_markov_secrets": secret_scan.oracle(), "op11_seekable_warc": seekable.oracle(), "op13_centroids": centroids.oracle()}

@@ -119,3 +119,26 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if last[0]:
             raise RuntimeError("components did not settle")
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+#: At most so many keys can each hold more than the HEAVY-th part of all rows.
+HEAVY = 1024
+
+
+def facts(rows: DataFrame, table: DataFrame, key: list[str], n: str, value: str) -> DataFrame:
+    """rows with `table`'s value of their key, null where it has none. table is written, has a key once, and counts in `n`
+    how many rows have it.
+
+    Keys over the HEAVY-th part of the counted rows, at most HEAVY of them, come by broadcast; of the others, rows whose key
+    isn't there are told by a broadcast of at most CELLS cells and stay where they are, and the rest is shuffled by key. So
+    no task gets more than a small part of the rows by one key.
+    """
+    hot, cell = unused([*rows.columns, *table.columns], "hot", "cell")
+    total = table.agg(F.sum(n)).first()[0] or 0
+    heavy, light = (table.where(x).select(*key, value) for x in (F.col(n) > total // HEAVY, F.col(n) <= total // HEAVY))
+    hashed = F.pmod(F.xxhash64(*key), F.lit(CELLS)).cast("int").alias(cell)
+    cells = F.broadcast(light.select(hashed).distinct())
+    marked = rows.join(F.broadcast(heavy.withColumnRenamed(value, hot)), key, "left").withColumn(cell, F.when(F.col(hot).isNull(), hashed))
+    here = marked.join(cells, cell, "left_anti").select(*rows.columns, F.col(hot).alias(value))
+    near = marked.join(cells, cell, "left_semi").join(light.hint("shuffle_hash"), key, "left")
+    return here.union(near.select(*rows.columns, value))
