@@ -180,16 +180,16 @@ class Benchmark:
         return s, e, b, hits, items
 
 
-def load_items(benchmark: DataFrame, max_items_bytes: int = MAX_ITEMS_BYTES) -> list[list[tuple[str, str]]]:
-    """Items in shards of at most max_items_bytes of text, so each automaton's size is bounded; they come by partition."""
-    shards, size = [[]], 0
+def item_shards(benchmark: DataFrame, max_items_bytes: int = MAX_ITEMS_BYTES) -> Iterator[list[tuple[str, str]]]:
+    """Items in shards of at most max_items_bytes of text, so each automaton's size is bounded. One is held at a time."""
+    shard, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("x")).where("x IS NOT NULL").toLocalIterator():
         if size and size + len(r.x) > max_items_bytes:
-            shards.append([])
-            size = 0
-        shards[-1].append((r.i, r.x))
+            yield shard
+            shard, size = [], 0
+        shard.append((r.i, r.x))
         size += len(r.x)
-    return shards
+    yield shard
 
 
 def _sha(ids: list[str]) -> str:
@@ -204,27 +204,27 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items_
     """Every row of docs with a last column `name`, a struct `n_words long, hit_from array<long>, hit_to array<long>,
     hit_items array<string>`: ranges of hit words (end exclusive), disjoint for each shard of the benchmark.
 
-    One pass and no shuffle for the first shard. The hits of further shards are written, one shard after another, and
-    joined to the documents that have any.
+    One pass and no shuffle for the first shard. The hits of further shards are written, one shard after another, once for
+    each text (by 128 bits of hash), and joined to the rows that have any.
     """
     spread.small_batches(docs.sparkSession)
-    shards = load_items(benchmark, max_items_bytes)
-    (more,) = spread.unused([*docs.columns, name], "more")
+    more, h1, h2, n = spread.unused([*docs.columns, name], "more", "h1", "h2", "n")
+    hashed = {h1: F.xxhash64("text"), h2: F.xxhash64(F.lit(1), "text")}
     rest: DataFrame | None = None
-    for k, items in enumerate(shards):
+    for k, items in enumerate(item_shards(benchmark, max_items_bytes)):
         if not k:
             out = _one(docs, items, window, name)
             continue
-        keys = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-        hits = spread.stash(_one(keys, items, window, "scan").where("size(scan.hit_from) > 0").select("doc_id", "text_hash", "scan").dropDuplicates(["doc_id", "text_hash"]))
+        got = _one(docs.where("text IS NOT NULL").select("text"), items, window, "scan").where("size(scan.hit_from) > 0").withColumns(hashed)
+        hits = spread.stash(got.groupBy(h1, h2).agg(F.first("scan").alias("scan"), F.count(F.lit(1)).alias(n)))
         rest = hits if rest is None else rest.union(hits)
     if rest is None:
         return out
     joined = lambda c: F.flatten(F.collect_list(f"scan.{c}")).alias(c)
-    merged = rest.groupBy("doc_id", "text_hash").agg(joined("hit_from"), joined("hit_to"), joined("hit_items")).select("doc_id", "text_hash", F.struct("hit_from", "hit_to", "hit_items").alias(more))
-    out, more = spread.attach(out, merged, more, by_text=True)
+    merged = rest.groupBy(h1, h2).agg(F.max(n).alias(n), joined("hit_from"), joined("hit_to"), joined("hit_items")).select(h1, h2, n, F.struct("hit_from", "hit_to", "hit_items").alias(more))
+    out = spread.facts(out.withColumns(hashed), spread.stash(merged), [h1, h2], n, more)
     both = [F.concat(F.col(f"{name}.{c}"), F.coalesce(F.col(f"{more}.{c}"), F.array().cast(f"array<{kind}>"))).alias(c) for c, kind in (("hit_from", "bigint"), ("hit_to", "bigint"), ("hit_items", "string"))]
-    return out.withColumn(name, F.struct(F.col(f"{name}.n_words").alias("n_words"), *both)).drop(more)
+    return out.withColumn(name, F.struct(F.col(f"{name}.n_words").alias("n_words"), *both)).drop(more, h1, h2)
 
 
 _SCAN = pa.struct([("n_words", pa.int64()), ("hit_from", pa.list_(pa.int64())), ("hit_to", pa.list_(pa.int64())), ("hit_items", pa.list_(pa.string()))])

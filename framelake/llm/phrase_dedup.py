@@ -5,7 +5,7 @@ word, in a document with a smaller doc_id.
 
 1. Anchors: in every window, winnowing picks the `gram`-word phrase with the least hash. Equal windows pick equal
    anchors, so a window that recurs has an anchor that recurs. Anchors of two different texts are recurring phrases.
-2. Automata: documents with a recurring phrase are dealt to shards of about SHARD bytes by hash. Of a shard's documents
+2. Automata: documents with a recurring phrase, but for later copies of a text, are dealt to shards of about SHARD bytes by hash. Of a shard's documents
    with a phrase one gives it; these phrases are compiled into the shard's Aho-Corasick automaton over one character a
    word, and all the shard's documents stream through it, which locates every occurrence. Only its matches are used.
 3. Windows whose anchor is at such an occurrence are confirmed by 128-bit hashes of all their words: within the shard at
@@ -92,8 +92,9 @@ def recurring(found: DataFrame, shards: int) -> DataFrame:
     # written first, so that the joins have shuffles of their own on both sides, of which Spark can split the hot keys
     phrases = spread.stash(found.where("at >= 0").groupBy("key").agg(F.min("text_hash").alias("t0"), F.max("text_hash").alias("t1")).where("t0 <> t1").select("key"))
     texts = spread.stash(found.where("at < 0").groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("text_hash", "least"))
-    whole = found.where("at < 0").join(texts, "text_hash").where("doc_id > least").select("doc_id", "text_hash").distinct()
-    rows = found.where("at >= 0").join(phrases, "key").withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(shards)))
+    whole = spread.stash(found.where("at < 0").join(texts, "text_hash").where("doc_id > least").select("doc_id", "text_hash").distinct())
+    # a text that goes as a whole isn't streamed, so it can't give phrases either
+    rows = found.where("at >= 0").join(phrases, "key").join(whole.hint("shuffle_hash"), ["doc_id", "text_hash"], "left_anti").withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(shards)))
     given = rows.groupBy("key", "shard").agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("x"), F.min("doc_id").alias("d"))
     given = given.select("x.*", "shard", F.lit(True).alias("own"))
     # every document that has a recurring phrase is streamed, whether it gives one or not
@@ -222,6 +223,6 @@ def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _apply(docs, removals(docs), WINDOW, "doc_id long,n_words long,n_removed long,kept_sha256 string", lambda n, gone, kept: (n, gone, hashlib.sha256(kept).hexdigest()))
 
 
-def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed, text: kept words joined by one space."""
-    return _apply(docs, removals(docs, window), window, "doc_id long,n_words long,n_removed long,text string", lambda n, gone, kept: (n, gone, kept.decode()))
+    return _apply(docs, removals(docs, window, shard=shard), window, "doc_id long,n_words long,n_removed long,text string", lambda n, gone, kept: (n, gone, kept.decode()))

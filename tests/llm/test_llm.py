@@ -117,7 +117,9 @@ def test_decontamination(spark, docs, empty, items):
         for j in range(max(1, len(w) - 9) if w else 0):
             win.setdefault(tuple(w[j : j + 10]), set()).add(i)
     for shard in (1 << 20, 100):
-        got = {r.doc_id: r._scan for r in decontaminate.find(docs, bench, max_items_bytes=shard).collect() if r.doc_id is not None}
+        found = decontaminate.find(docs.unionByName(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long"))), bench, max_items_bytes=shard).collect()
+        got = {r.doc_id: r._scan for r in found if r.doc_id is not None}
+        assert [r._scan for r in found if r.doc_id is None and r.text == TEXTS[3]] == [got[3]]  # hits depend on the text alone
         for i, x in table(docs).items():
             w, hit, own = ALNUM.findall(lower(x)), set(), set()
             for n in {len(k) for k in win}:
@@ -209,13 +211,18 @@ def test_signature_trees_lose_nothing():
     assert len(found) < n * (n - 1) // 2
 
 
-def test_phrase_dedup(docs, empty):
+@pytest.mark.parametrize("shard", [300, 2_000, phrase_dedup.SHARD])
+def test_phrase_dedup(docs, empty, shard):
+    r = random.Random(4)
+    more = [(1000 + i, " ".join(TEXTS[r.randrange(12)].split()[a : a + 60] + [str(i)] * (i % 3)), None, None, None, None, None) for i, a in enumerate([0, 3, 20] * 12)]
+    more += [(2000 + i, x[1], None, None, None, None, None) for i, x in enumerate(more)]  # later copies in other shards
+    docs = docs.unionByName(docs.sparkSession.createDataFrame(more, docs.schema))
     words = {i: WORD.findall(x) for i, x in table(docs).items()}
     own = {}
     for i in sorted(words):
         for j in range(len(words[i]) - 49):
             own.setdefault(tuple(words[i][j : j + 50]), i)
-    got = by_id(phrase_dedup.dedup(docs))
+    got = by_id(phrase_dedup.dedup(docs, shard=shard))
     for i, w in words.items():
         gone = {k for j in range(len(w) - 49) if own[tuple(w[j : j + 50])] < i for k in range(j, j + 50)}
         assert (got[i].n_words, got[i].n_removed, got[i].text) == (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)), i
