@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from framelake.plans.dialect import Spark
 
 #: Fixed scene labels.
 SCENES = ("household", "commercial", "industrial", "medical", "public_service", "education", "outdoor", "transportation", "entertainment", "unknown")
 
 
+def column(sql: str) -> Column:
+    """An expression of this module as a Column: its braces are doubled, as texts with places need them."""
+    return F.expr(sql.replace("{{", "{").replace("}}", "}"))
+
+
 def slug(d: Spark, x: str, default: str = "clip") -> str:
     s = d.strip(d.replace(f"lower(trim({x}))", "[^a-z0-9]+", "_"), "_")
     return f"coalesce(nullif({s}, ''), '{default}')"

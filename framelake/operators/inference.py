@@ -11,18 +11,22 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Protocol
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.functions.text import SCENES
 from framelake.sources.sinks import kept
 
 ANSWER = "custom_id string, text string, prompt_tokens long, completion_tokens long, status_code int, error string"
 
 
 class Backend(Protocol):
+    """A backend may have `reply(custom_id, prompt)` instead."""
+
     def answer(self, prompt: str) -> str: ...
 
 
@@ -39,16 +43,56 @@ class Stub:
         return json.dumps({"ego_hand_count": x % 3, "active_manipulation": "yes" if x % 2 else "no", "scene": "household"})
 
 
+class Scripted:
+    """Stand-in for the caption flows: answers follow from the digits of the hash of id and prompt, and many are faulty."""
+
+    def reply(self, custom_id: str, prompt: str) -> str:
+        d = [int(c, 16) for c in hashlib.sha256(f"{custom_id}\n{prompt}".encode()).hexdigest()]
+        if '"scene"' in prompt:
+            return self.scene(d)
+        if '"frame_interval"' in prompt:
+            return self.merge(d, json.loads(prompt[prompt.index("Segments:\n") + 10 :]), '"sop_step_index"' in prompt)
+        return self.window(d, next(f for f in ("instructions", "tasks", "actions") if f'"{f}"' in prompt))
+
+    def window(self, d: list[int], field: str) -> str:
+        if d[0] == 0:
+            raise RuntimeError("no answer")
+        k = d[1] % 3
+        said = [d[5 + i] % 4 for i in range(k + (d[9] > 0))]
+        word = {"instructions": lambda w: f"step {w}" if w < 3 else "", "tasks": lambda w: {"instruction": f"task {w}"} if w < 3 else {}, "actions": lambda w: f"Do {w}!" if w < 3 else ""}[field]
+        body = json.dumps({"thought": "t", "transitions": [d[2 + i] for i in range(k)], field: [word(w) for w in said]})
+        return ["", "nothing to see", f"```json\n{body}\n```", f"Here: {body} done."][d[0]] if d[0] < 4 else body
+
+    def scene(self, d: list[int]) -> str:
+        if d[0] == 10:
+            raise RuntimeError("no answer")
+        return json.dumps({"scene": f" {SCENES[d[0]].upper()}"}) if d[0] < 10 else "???"
+
+    def merge(self, d: list[int], old: list[dict], steps: bool) -> str:
+        mode = d[0] % 6
+        if mode == 0:
+            raise RuntimeError("no answer")
+        pairs = [old[i : i + 2] for i in range(0, len(old), 2)]
+        new = [{"frame_interval": [p[0]["frame_interval"][0], p[-1]["frame_interval"][1]], "instruction": f"merged {i}" if i % 3 < 2 else " "} | ({"sop_step_index": i + 1 if mode < 5 else -i} if steps else {}) for i, p in enumerate(pairs)]
+        if mode == 3:
+            new[0]["frame_interval"][1] += 1
+        if mode == 4:
+            del new[1:2]
+        return "no list" if mode == 1 else f"Merged: {json.dumps(new)}"
+
+
 def call(requests: DataFrame, make: Callable[[], Backend], workers: int = 8, tries: int = 1, wait: float = 0.3) -> DataFrame:
     """ANSWER rows for requests (custom_id, prompt). A backend is made once a task; after the last try a request has status 500 and the error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = make()
 
-        def one(prompt: str | None) -> tuple[str | None, int, str | None]:
+        reply = getattr(backend, "reply", lambda _, prompt: backend.answer(prompt))
+
+        def one(custom_id: str | None, prompt: str | None) -> tuple[str | None, int, str | None]:
             for k in range(tries):
                 try:
-                    return backend.answer(prompt or ""), 200, None
+                    return reply(custom_id, prompt or ""), 200, None
                 except Exception as e:  # noqa: BLE001  a request's failure is a row
                     error = str(e) or type(e).__name__
                     if k + 1 < tries:
@@ -58,7 +102,7 @@ def call(requests: DataFrame, make: Callable[[], Backend], workers: int = 8, tri
         with ThreadPoolExecutor(workers) as pool:
             for b in batches:
                 prompts = b.column(1).to_pylist()
-                got = list(pool.map(one, prompts))
+                got = list(pool.map(one, b.column(0).to_pylist(), prompts))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([len((p or "").split()) for p in prompts], pa.int64()), pa.array([len((g[0] or "").split()) for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], pa.string())],
                     [c.split()[0] for c in ANSWER.split(", ")],
@@ -67,6 +111,18 @@ def call(requests: DataFrame, make: Callable[[], Backend], workers: int = 8, tri
     return requests.select("custom_id", "prompt").mapInArrow(run, ANSWER)
 
 
+@dataclass(frozen=True)
+class Direct:
+    """Asks at once. A request's answer is written before it is used."""
+
+    make: Callable[[], Backend]
+    workers: int = 8
+    tries: int = 1
+
+    def __call__(self, requests: DataFrame) -> DataFrame:
+        return kept(call(requests, self.make, self.workers, self.tries))
+
+
 def retry_failed(requests: DataFrame, first: DataFrame, make: Callable[[], Backend]) -> DataFrame:
     """Answers with those that failed asked once more; `retried` says which. Both are written before they are used, so no call runs twice."""
     first = kept(first)

@@ -5,17 +5,26 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; one of our own where all runs in one process (tests). Set for the session's checkpoints, too."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+    return folder
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows, computed once and written to the shared folder of spark.checkpoint.dir; for what must not run twice, as model calls."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    shared(df.sparkSession)
     return df.checkpoint()
 
 
