@@ -71,9 +71,9 @@ def _greedy(least: str) -> str:
     return kept
 
 
-def clusters(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
+def clusters(rows: DataFrame, keys: list[str], by: str, cluster: float = CLUSTER) -> DataFrame:
     """keys, low, high, fps, centres (null without any cut), one row a key."""
-    radius = f"CAST({CLUSTER} * fps AS BIGINT)"
+    radius = f"CAST({cluster} * fps AS BIGINT)"
     radius = f"greatest(1, {radius})" if by == "last" else radius
     cut = F.transform(F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size("transitions") - 1).alias("i"), F.col("transitions").alias("t")), lambda x: (x["t"] >= 0) & (x["t"] < F.size("frame_ids"))), lambda x: F.struct(F.get("frame_ids", x["t"].cast("int")).alias("frame"), F.col("window_id").alias("window_id"), x["i"].alias("piece"), F.col("w").alias("w")))
     told = rows.withColumn("w", _weight()).withColumn("cut", F.when(F.size("transitions") > 0, cut))
@@ -81,9 +81,9 @@ def clusters(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
     return one.withColumn("centres", F.when(F.size("cuts") > 0, F.expr(_centres(radius, by)))).drop("cuts")
 
 
-def bounded(found: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """keys, n (segments), step, s, e from clusters' centres."""
-    least = f"CAST({LEAST} * fps AS BIGINT)"
+def bounded(found: DataFrame, keys: list[str], by: str, least_sec: float = LEAST) -> DataFrame:
+    """keys, has_cuts, n_windows, step, s, e from clusters' centres."""
+    least = f"CAST({least_sec} * fps AS BIGINT)"
     least = f"greatest(1, {least})" if by == "last" else least
     centres = F.array_sort(F.array_distinct(F.coalesce("centres", F.array().cast("array<long>"))))
     if by == "last":
@@ -105,12 +105,12 @@ def merged(rows: DataFrame, keys: list[str], same: Column, value: str) -> DataFr
     return rows.withColumn("run_", run).groupBy(*keys, "run_").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by(value, "s").alias(value)).drop("run_")
 
 
-def chained(rows: DataFrame, keys: list[str], default: str, nothing: tuple[str, ...] = ("",)) -> DataFrame:
+def chained(rows: DataFrame, keys: list[str], default: str, nothing: tuple[str, ...] = ("",), cluster: float = CLUSTER, least: float = LEAST) -> DataFrame:
     """keys, s, e, payload. Cuts within the radius of the one before form a cluster, whose weighted centre is a cut if it lies
     strictly inside the range. A segment's payload is the most frequent at the frames of its middle fifth, else at all of
     its frames (of ties the first seen), else, or where it is `nothing`, the default. Neighbours with one payload are merged.
     """
-    segments = bounded(clusters(rows, keys, "last"), keys, "last")
+    segments = bounded(clusters(rows, keys, "last", cluster), keys, "last", least)
     line = pieces(rows, keys).where("payload IS NOT NULL AND a <= b").withColumn("k", F.explode(F.sequence("a", "b")))
     line = line.select(*keys, F.get("frame_ids", F.col("k")).alias("frame"), "window_id", "piece", "k", "payload").withColumn("until", F.col("frame"))
     inside = overlaps(segments.where("has_cuts").withColumn("last", F.col("e") - 1), line, keys, ("s", "last"), ("frame", "until"), BUCKET)

@@ -16,6 +16,7 @@ from framelake.operators import privacy as B
 from framelake.operators import quality as Q
 from framelake.operators import sampling as S
 from framelake.operators import segmentation as G
+from framelake.plans import flows as L
 from framelake.plans import reports as R
 from framelake.plans.dialect import DUCK, SPARK, Spark
 from framelake.sources import fixtures as X
@@ -102,13 +103,13 @@ OPERATORS: dict[str, Operator | Query] = {
     **{f.__name__: Operator(f, {"probes": X.probes}) for f in (M.encoder_choice, M.cut_commands)},
     "verify_output": Operator(M.verify_output, {"probes": X.probes, "outputs": X.outputs}),
     "hand_summaries": Operator(A.hand_summaries, FRAMES | ASK),
-    "generic_segments": Operator(N.generic_segments, {"windows": X.windows}),
+    "generic_segments": Query(L.generic_segments, Operator(N.generic_segments, {"windows": X.windows}).oracle(), {"windows": X.windows}),
     "refined_tasks": Operator(N.refined_tasks, {"parts": X.parts, "proposals": X.proposals}),
-    "two_level_captions": Operator(N.two_level_captions, {"windows": X.windows, "inner": X.inner}),
+    "two_level_captions": Query(L.two_level_captions, Operator(N.two_level_captions, {"windows": X.windows, "inner": X.inner}).oracle(), {"windows": X.windows, "inner": X.inner}),
     **{f.__name__: Operator(f, {"paths": X.paths}) for f in (P.candidate_rank, P.path_resolve, P.drop_parent)},
     "text_helpers": Operator(P.text_helpers, {"documents": table("documents")}),
     "parse_rates": Operator(P.parse_rates, {"part": table("part")}),
-    **{name: Query(build, sql, {t: table(t) for t in tables}) for name, (build, sql, tables) in R.QUERIES.items()},
+    **{name: Query(build, sql, {t: table(t) for t in tables}) for name, (build, sql, tables) in (R.QUERIES | L.QUERIES).items()},
     "asof_nearest": Operator(P.asof_nearest, FRAMES),
     "imu_magnitude": Operator(P.imu_magnitude, {"embeddings": table("embeddings")}),
 }

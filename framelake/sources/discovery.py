@@ -65,3 +65,20 @@ def primary(found: list[dict]) -> dict | None:
     """The first artifact of type video or json, or of an input port; else the first."""
     hit = lambda x: x.get("type") in ("video", "json") or x.get("portName") in ("input", "video") or x.get("portId") == "in-1"
     return next((x for x in found if hit(x)), found[0] if found else None)
+
+
+def sop_episodes(episodes: DataFrame, kinds: DataFrame, sops: DataFrame, kind: str | None = None, name: str | None = None) -> DataFrame:
+    """Episodes (name, has_video, ...) that have a video, with the first kind (place, kind, sop) that their name starts with, and
+    its procedure (sop, task_name, steps). Without a kind, or a procedure of it, an episode is left out; `kind` and `name`
+    keep equal ones only.
+
+    A name meets kinds by equality with each of its starts, so no pair of a name and another kind is made.
+    """
+    work = episodes.where("has_video")
+    if name is not None:
+        work = work.where(F.col("name") == name)
+    starts = work.select("name").distinct().select("name", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("name"), F.lit(1))), lambda i: F.left("name", i))).alias("kind"))
+    first = starts.join(kinds, "kind").groupBy("name").agg(F.min_by(F.struct("kind", "sop"), "place").alias("k")).select("name", "k.*")
+    if kind is not None:
+        first = first.where(F.col("kind") == kind)
+    return work.join(first, "name").join(sops, "sop").drop("sop")
