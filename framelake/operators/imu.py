@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WINDOW, ORDER, DISTANCE, PROMINENCE = 31, 3, 15, 0.3
 
@@ -77,4 +78,35 @@ def valleys(signal: DataFrame, window: int = WINDOW, distance: int = DISTANCE, p
         at = peaks(-x, distance, prominence) if len(x) > 2 else np.zeros(0, int)
         return pd.DataFrame({"episode": pdf["episode"].to_numpy()[at], "pos": pdf["pos"].to_numpy()[at], "value": x[at]})
 
-    return signal.select("episode", "pos", "value").groupBy("episode").applyInPandas(run, "episode long, pos long, value double")
+    kind = signal.schema["episode"].dataType.simpleString()
+    return signal.select("episode", "pos", "value").groupBy("episode").applyInPandas(run, f"episode {kind}, pos long, value double")
+
+
+def read_signals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """episode (the file's folder), pos, lh, rh of motion files `frames.parquet`: only the two columns are read. Files that
+    can't be read, and columns that a file lacks, leave nothing or nulls."""
+    schema = "lh_imu_accel array<double>, rh_imu_accel array<double>"
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*([paths] if isinstance(paths, str) else paths))
+    return rows.select(F.regexp_extract("_metadata.file_path", "([^/]*)/[^/]*$", 1).alias("episode"), F.col("_metadata.row_index").alias("pos"), F.col("lh_imu_accel").alias("lh"), F.col("rh_imu_accel").alias("rh"))
+
+
+def magnitudes(signals: DataFrame) -> DataFrame:
+    """episode, pos, value: the lengths of both hands' accelerations, each centred by its mean over the episode, added up.
+
+    An episode in which a vector is missing, or vectors differ in length, has no signal.
+    """
+    size = F.size("lh") + F.size("rh") * 1000
+    whole = signals.groupBy("episode").agg(F.bool_and(F.col("lh").isNotNull() & F.col("rh").isNotNull()).alias("all_"), F.min(size).alias("a_"), F.max(size).alias("b_"), F.max(F.size("lh")).alias("nl_"), F.max(F.size("rh")).alias("nr_"))
+    good = whole.where("all_ AND a_ = b_").select("episode", "nl_", "nr_")
+    # means by axis: a row an axis, pre-aggregated, so an episode's vectors are never gathered
+    axes = signals.join(good, "episode", "left_semi").select("episode", F.explode(F.array(F.struct(F.lit("lh").alias("hand"), F.col("lh").alias("v")), F.struct(F.lit("rh").alias("hand"), F.col("rh").alias("v")))).alias("x"))
+    means = axes.select("episode", "x.hand", F.posexplode("x.v").alias("axis", "v")).groupBy("episode", "hand", "axis").agg(F.avg("v").alias("m"))
+    listed = lambda hand: F.transform(F.array_sort(F.collect_list(F.when(F.col("hand") == hand, F.struct("axis", "m")))), lambda x: x["m"]).alias(f"m_{hand}")
+    means = means.groupBy("episode").agg(listed("lh"), listed("rh"))
+    length = lambda hand: F.sqrt(F.aggregate(F.zip_with(hand, f"m_{hand}", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    return signals.join(means, "episode").select("episode", "pos", (length("lh") + length("rh")).alias("value"))
+
+
+def hand_valleys(signals: DataFrame) -> DataFrame:
+    """episode, mark: where both hands rest, of signals (episode, pos, lh, rh)."""
+    return valleys(magnitudes(signals)).select("episode", F.col("pos").alias("mark"))

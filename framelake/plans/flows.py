@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from framelake.functions import text as T
 from framelake.functions.ranges import overlaps
 from framelake.functions.text import SCENES
 from framelake.operators import chains as N
-from framelake.operators import cuts, flows, inference
+from framelake.operators import cuts, flows, imu, inference
 from framelake.operators import sampling as S
 from framelake.plans.dialect import DUCK, SPARK
 from framelake.sources import batches, discovery
@@ -62,11 +63,22 @@ def two_level_flow(events: DataFrame) -> DataFrame:
     return got.withColumn("actions", F.array_join(F.transform("actions", lambda a: F.format_string("%s:%d-%d", a["caption"], a["s"], a["e"])), ";"))
 
 
+def signals(events: DataFrame) -> DataFrame:
+    """A sample of both hands' motion for each event."""
+    pos = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    k = F.get_json_object("props", "$.k").cast("double")
+    v = F.col("value")
+    return events.select(F.col("user_id").alias("episode"), pos.cast("long").alias("pos"), F.array(v, k, v * 0.5).alias("lh"), F.when(F.col("user_id") % 10 != 9, F.array(k, v)).alias("rh"))
+
+
+def hand_valleys(events: DataFrame) -> DataFrame:
+    return imu.hand_valleys(signals(events))
+
+
 def sop_flow(events: DataFrame) -> DataFrame:
-    """Cuts snap to errors, which stand for the motion's valleys."""
+    """Cuts snap to where the hands rest; a sample of their motion is ten frames."""
     work = discovery.sop_episodes(named(events), *procedures(events.sparkSession))
-    order = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
-    valleys = events.withColumn("at", order).where("event_type = 'error'").select(F.col("user_id").alias("episode"), (F.col("at") * FPS + F.col("event_id") % FPS).alias("mark"))
+    valleys = kept(hand_valleys(events).withColumn("mark", F.col("mark") * FPS))
     return flows.sop_captions(episodes(events), work.select("episode", "task_name", "steps"), valleys, ASK)
 
 
@@ -185,6 +197,24 @@ def _task_sql() -> str:
         SELECT t.episode, c.scene, i.instruction, t.s, t.e, t.caption FROM told t JOIN ({_scene()}) c ON c.episode = t.episode JOIN (SELECT episode, arg_min(caption, s) AS instruction FROM told GROUP BY episode) i ON i.episode = t.episode"""
 
 
+def _valley_sql() -> str:
+    """Signals as lists: smoothing by a fitted polynomial's matrix, strict tops of the negative, thinned from the highest on, prominence."""
+    w, half = imu.WINDOW, imu.WINDOW // 2
+    basis = np.vander(np.arange(-half, half + 1), imu.ORDER + 1, increasing=True).astype(float)
+    hat = (basis @ np.linalg.pinv(basis)).tolist()
+    row = f"CASE WHEN i <= {half} THEN i WHEN i > n - {half} THEN {w} - (n - i) ELSE {half + 1} END"
+    start = f"CASE WHEN i <= {half} THEN 0 WHEN i > n - {half} THEN n - {w} ELSE i - {half + 1} END"
+    far = lambda side: f"list_sum(list_transform(range(1, len({side}) + 1), lambda j: ({side}[j] - m_{side}[j]) * ({side}[j] - m_{side}[j])))"
+    return f"""WITH RECURSIVE raw AS (SELECT user_id AS episode, event_id, [value, CAST(json_extract_string(props, '$.k') AS DOUBLE), value * 0.5e0] AS lh, [CAST(json_extract_string(props, '$.k') AS DOUBLE), value] AS rh FROM events WHERE user_id % 10 <> 9),
+        mean AS (SELECT episode, [avg(lh[1]), avg(lh[2]), avg(lh[3])] AS m_lh, [avg(rh[1]), avg(rh[2])] AS m_rh FROM raw GROUP BY episode),
+        line AS (SELECT episode, list(sqrt({far('lh')}) + sqrt({far('rh')}) ORDER BY event_id) AS x, count(*) AS n FROM raw JOIN mean USING (episode) GROUP BY episode),
+        low AS MATERIALIZED (SELECT episode, n, list_transform(range(1, n + 1), lambda i: -list_sum(list_transform(range(1, {w + 1}), lambda k: CAST(hat[{row}][k] AS DOUBLE) * x[k + {start}]))) AS y FROM line, (SELECT {hat} AS hat) h),
+        top AS (SELECT episode, list(struct_pack(i := i, y := y[i]) ORDER BY y[i] DESC, i DESC) AS left_ FROM (SELECT episode, y, unnest(range(2, n)) AS i FROM low) t WHERE y[i - 1] < y[i] AND y[i] > y[i + 1] GROUP BY episode),
+        thin AS (SELECT episode, left_, CAST(NULL AS BIGINT) AS i FROM top UNION ALL SELECT episode, list_filter(left_[2:], lambda z: abs(z.i - left_[1].i) >= {imu.DISTANCE}), left_[1].i FROM thin WHERE len(left_) > 0)
+        SELECT t.episode, t.i - 1 AS mark FROM thin t JOIN low l ON l.episode = t.episode WHERE t.i IS NOT NULL AND
+            y[t.i] - greatest(list_min(y[coalesce(list_max(list_filter(range(1, t.i), lambda j: y[j] > y[t.i])), 0) + 1:t.i]), list_min(y[t.i:coalesce(list_min(list_filter(range(t.i + 1, n + 1), lambda j: y[j] > y[t.i])), n + 1) - 1])) >= {imu.PROMINENCE}"""
+
+
 def _sop_sql() -> str:
     lines = "array_to_string(list_transform(range(1, len(k_.steps) + 1), lambda i: '  Step ' || i || ': ' || k_.steps[i]), chr(10))"
     asked = _asked(_WORK, flows.STEPS, P.SOP_STEPS, "k_.episode || '/desc_win_' || window_id", "'step ' || {w}", task="k_.task_name", steps=lines)
@@ -192,7 +222,7 @@ def _sop_sql() -> str:
     prompt = P.MERGE_STEPS.sql(task="k.task_name", steps=lines.replace("k_.", "k."), segments="l.segments")
     tries = " UNION ALL ".join(f"SELECT l.episode, {i} AS k, l.n_parts, {_hash(f'l.episode || ' + repr(f'/refine_{i}'), prompt)} AS h FROM ({_listing('SELECT episode, s, e, caption FROM told')}) l JOIN ({_WORK}) k ON k.episode = l.episode" for i in range(1, flows.ROUNDS + 1))
     return f"""WITH RECURSIVE asked AS MATERIALIZED (SELECT k_.episode AS episode, * EXCLUDE (k_) FROM ({asked}) q),
-        valley AS (SELECT user_id AS episode, place * {FPS} + event_id % {FPS} AS m FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place FROM events) x WHERE event_type = 'error'), {_anchored(near)},
+        valley AS MATERIALIZED (SELECT episode, mark * {FPS} AS m FROM ({_valley_sql()}) v0_), {_anchored(near)},
         told AS MATERIALIZED (SELECT g.episode, g.s, g.e, CASE WHEN has_cuts THEN coalesce(caption, k.steps[least(step + 1, len(k.steps))]) ELSE coalesce(first_said, k.task_name) END AS caption FROM segs g JOIN ({_WORK}) k ON k.episode = g.episode),
         round AS (SELECT episode, min(k) AS k FROM (SELECT episode, k, n_parts, {_digit(0)} % 6 AS m FROM ({tries}) t) u WHERE m = 2 OR (m IN (4, 5) AND n_parts <= 2) GROUP BY episode),
         mode AS (SELECT r.episode, r.k, {_digit(0)} % 6 AS m FROM round r JOIN ({tries}) t ON t.episode = r.episode AND t.k = r.k),
@@ -208,5 +238,6 @@ QUERIES = {
     "window_captions": (window_captions, _window_sql(), ("events",)),
     "task_captions": (task_captions, _task_sql(), ("events",)),
     "two_level_flow": (two_level_flow, _two_level(), ("events",)),
+    "hand_valleys": (hand_valleys, _valley_sql(), ("events",)),
     "sop_flow": (sop_flow, _sop_sql(), ("events",)),
 }
