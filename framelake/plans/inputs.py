@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions import payloads
 from framelake.sources import resolve
+from framelake.streaming import submissions
 
 #: By page: what its folder holds (file, text) and its artifact; `@` is the folder. A manifest, two files that name each
 #: other, a deep folder, a parent with a child, unknown keys, and one that leads nowhere.
@@ -69,7 +70,34 @@ _ANSWERS = """SELECT id AS custom_id, CASE k % 8 WHEN 0 THEN t WHEN 1 THEN CASE
     CAST(CASE k % 8 WHEN 0 THEN 3 WHEN 1 THEN 7 WHEN 2 THEN 9 WHEN 4 THEN 5 ELSE 0 END AS BIGINT) AS prompt_tokens, CASE WHEN k % 8 IN (0, 2) THEN k ELSE 0 END AS completion_tokens, CASE k % 8 WHEN 2 THEN 201 WHEN 5 THEN 500 ELSE 200 END AS status_code, CASE WHEN k % 8 = 5 THEN 'bad' END AS error
     FROM (SELECT conv_id || '_' || turn AS id, turn AS k, coalesce(text, '') AS t FROM conversations) c WHERE k % 8 <> 7"""
 
+#: Seconds after which a submission expires.
+PATIENCE = 2 * 86400
+
+
+def submissions_of(events: DataFrame) -> DataFrame:
+    """Submissions, polls and clearings of users' work."""
+    k, t = F.get_json_object("props", "$.k").cast("int"), F.col("event_type")
+    return events.select(
+        F.col("user_id").alias("work"), F.col("ts").cast("timestamp").alias("at"), F.when(t == "signup", "submit").when((t == "error") & (k % 3 == 0), "clear").otherwise("poll").alias("kind"),
+        F.when(t == "signup", F.concat(F.lit("b"), F.col("event_id").cast("string"))).alias("batch"), F.when(t == "purchase", "completed").when(t == "error", "failed").when(t != "signup", "in_progress").alias("status"),
+    )
+
+
+def submission_states(events: DataFrame) -> DataFrame:
+    got = submissions.table(submissions_of(events), PATIENCE)
+    return got.select("work", "batch", "status", F.unix_millis("at").alias("ms"), "polls")
+
+
+_STATES = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT user_id AS work, epoch_us(ts) // 1000 AS ms, event_type AS t, 'b' || event_id AS b, t = 'error' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 = 0 AS clear, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS rn FROM events),
+    s AS (SELECT work, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS batch, CAST(NULL AS BIGINT) AS till, CAST(0 AS BIGINT) AS polls, CAST([] AS STRUCT(b VARCHAR, s VARCHAR, m BIGINT, p BIGINT)[]) AS said FROM e WHERE rn = 1
+        UNION ALL SELECT work, rn, CASE WHEN t = 'signup' THEN b WHEN alive AND NOT clear AND t IN ('view', 'click') THEN batch END, CASE WHEN t = 'signup' THEN ms + {PATIENCE * 1000} WHEN alive AND NOT clear AND t IN ('view', 'click') THEN till END, CASE WHEN t <> 'signup' AND alive THEN polls + 1 ELSE 0 END,
+            list_concat(CASE WHEN till <= ms THEN [struct_pack(b := batch, s := 'expired', m := till, p := polls)] ELSE [] END, CASE WHEN t = 'signup' OR clear THEN [] WHEN NOT alive THEN [struct_pack(b := NULL, s := 'error', m := ms, p := 0)] WHEN t IN ('purchase', 'error') THEN [struct_pack(b := batch, s := CASE t WHEN 'error' THEN 'failed' ELSE 'completed' END, m := ms, p := polls + 1)] ELSE [] END)
+        FROM (SELECT e.*, s.batch, s.till, s.polls, coalesce(e.ms < s.till, false) AS alive FROM s JOIN e ON e.work = s.work AND e.rn = s.rn + 1) x)
+    SELECT work, x.b AS batch, x.s AS status, x.m AS ms, x.p AS polls FROM (SELECT work, unnest(said) AS x FROM s) y UNION ALL
+    SELECT work, batch, 'expired', till, polls FROM (SELECT *, row_number() OVER (PARTITION BY work ORDER BY rn DESC) AS last FROM s) z WHERE last = 1 AND till <= (SELECT max(ms) FROM e)"""
+
 QUERIES = {
     "resolved_inputs": (resolved_inputs, _resolved_sql(), ("pages",)),
+    "submission_states": (submission_states, _STATES, ("events",)),
     "provider_answers": (provider_answers, _ANSWERS, ("conversations",)),
 }
