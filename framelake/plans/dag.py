@@ -7,9 +7,12 @@ the driver beyond the list of operators.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,31 +55,39 @@ def levels(steps: list[Step]) -> list[list[Step]]:
     return out
 
 
-def run(registry: Registry, work: DataFrame, enabled: Iterable[str] | None = None, fail_fast: bool = False) -> DataFrame:
-    """All results, one row a work item and step (pending ones as collected).
+def run(registry: Registry, work: DataFrame, enabled: Iterable[str] | None = None, fail_fast: bool = False, parallel: int = 4) -> DataFrame:
+    """All results, one row a work item and step (pending ones as collected), with the step's seconds in its metrics.
 
-    A step runs once: its rows are written to the shared folder before results, errors and fan-out read them.
-    A fan-out step's outputs are the work of the stages after it. With fail_fast, items with an error leave later stages.
+    A step runs once: its rows are written to the shared folder before results, errors and fan-out read them. Steps of a
+    stage are written side by side, up to `parallel` at a time. The outputs of a stage's fan-out steps, of all of them, are
+    the work of the stages after it. With fail_fast, items with an error leave later stages.
     """
+
+    def done(step: Step, work: DataFrame) -> DataFrame:
+        began = time.monotonic()
+        got = kept(step.run(work))
+        if step.collect is not None:
+            late = got.where("status = 'pending'")
+            got = kept(got.where("status <> 'pending'").unionByName(step.collect(late)))
+        took = F.map_from_arrays(F.array(F.lit("step_sec")), F.array(F.lit(f"{time.monotonic() - began:.3f}")))
+        return got.withColumn("metrics", F.map_concat(F.map_filter("metrics", lambda k, _: k != "step_sec"), took))
+
     results: DataFrame | None = None
     for stage in registry.stages(enabled):
-        done = []
-        for step in stage:
-            got = kept(step.run(work))
-            if step.collect is not None:
-                late = got.where("status = 'pending'")
-                got = kept(got.where("status <> 'pending'").unionByName(step.collect(late)))
-            done.append(got)
-        for got in done:
-            results = got if results is None else results.unionByName(got)
+        with ThreadPoolExecutor(max(1, min(parallel, len(stage)))) as pool:
+            all_ = list(pool.map(inheritable_thread_target(work.sparkSession)(done), stage, [work] * len(stage)))
+        union = all_[0]
+        for got in all_[1:]:
+            union = union.unionByName(got)
+        results = union if results is None else results.unionByName(union)
         if fail_fast:
-            bad = done[0]
-            for got in done[1:]:
-                bad = bad.unionByName(got)
-            work = work.join(bad.where("status = 'error'").select("work").distinct(), "work", "left_anti")
-        for step, got in zip(stage, done, strict=True):
-            if step.fan_out:
-                work = got.where("status = 'ok'").select(F.explode("outputs").alias("work"))
+            work = work.join(union.where("status = 'error'").select("work").distinct(), "work", "left_anti")
+        split = [got.where("status = 'ok'").select(F.explode("outputs").alias("work")) for step, got in zip(stage, all_, strict=True) if step.fan_out]
+        if split:
+            work = split[0]
+            for more in split[1:]:
+                work = work.union(more)
+            work = work.distinct()
     return results
 
 
