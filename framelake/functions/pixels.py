@@ -58,10 +58,11 @@ def blur_boxes(image: np.ndarray, boxes: list[tuple[int, int, int, int]]) -> np.
         g /= g.sum()
         soft = part
         for axis in (0, 1):
-            padded = np.pad(soft, [(k // 2, k // 2) if a == axis else (0, 0) for a in range(soft.ndim)], "edge")
-            soft = np.apply_along_axis(lambda v: np.convolve(v, g, "valid"), axis, padded)
+            mode = "reflect" if soft.shape[axis] > 1 else "edge"
+            padded = np.pad(soft, [(k // 2, k // 2) if a == axis else (0, 0) for a in range(soft.ndim)], mode)
+            soft = np.lib.stride_tricks.sliding_window_view(padded, k, axis) @ g
         yy, xx = np.mgrid[: part.shape[0], : part.shape[1]]
-        cy, cx = (part.shape[0] - 1) / 2, (part.shape[1] - 1) / 2
+        cy, cx = part.shape[0] // 2, part.shape[1] // 2
         inside = ((yy - cy) / max(cy, 0.5)) ** 2 + ((xx - cx) / max(cx, 0.5)) ** 2 <= 1
         out[y1:y2, x1:x2] = np.where(inside if part.ndim == 2 else inside[..., None], soft, part)
     return np.rint(out).astype(image.dtype)

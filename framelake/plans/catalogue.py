@@ -18,6 +18,7 @@ from framelake.operators import sampling as S
 from framelake.operators import segmentation as G
 from framelake.plans import flows as L
 from framelake.plans import inputs as I
+from framelake.plans import media as V
 from framelake.plans import reports as R
 from framelake.plans import runs as U
 from framelake.plans.dialect import DUCK, SPARK, Spark
@@ -111,7 +112,7 @@ OPERATORS: dict[str, Operator | Query] = {
     **{f.__name__: Operator(f, {"paths": X.paths}) for f in (P.candidate_rank, P.path_resolve, P.drop_parent)},
     "text_helpers": Operator(P.text_helpers, {"documents": table("documents")}),
     "parse_rates": Operator(P.parse_rates, {"part": table("part")}),
-    **{name: Query(build, sql, {t: table(t) for t in tables}) for name, (build, sql, tables) in (R.QUERIES | L.QUERIES | I.QUERIES | U.QUERIES).items()},
+    **{name: Query(build, sql, {t: table(t) for t in tables}) for name, (build, sql, tables) in (R.QUERIES | L.QUERIES | I.QUERIES | U.QUERIES | V.QUERIES).items()},
     "asof_nearest": Operator(P.asof_nearest, FRAMES),
     "imu_magnitude": Operator(P.imu_magnitude, {"embeddings": table("embeddings")}),
 }
