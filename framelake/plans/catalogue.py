@@ -16,6 +16,7 @@ from framelake.operators import privacy as B
 from framelake.operators import quality as Q
 from framelake.operators import sampling as S
 from framelake.operators import segmentation as G
+from framelake.operators import votes as W
 from framelake.plans import flows as L
 from framelake.plans import inputs as I
 from framelake.plans import media as V
@@ -95,16 +96,19 @@ OPERATORS: dict[str, Operator | Query] = {
     **{f.__name__: Operator(f, ASK) for f in (A.response_join, A.hand_vlm_summary, A.token_usage)},
     **{f.__name__: Operator(f, {"responses": X.responses}) for f in (A.parse_json_greedy, A.parse_audit, A.all_failed)},
     **{f.__name__: Operator(f, FRAMES) for f in (A.hand_retry_merge, A.hand_best_box, A.hand_yolo_summary, A.run_summary)},
-    **{f.__name__: Operator(f, FRAMES) for f in (G.hanning_weights, G.cut_clusters_anchor, G.cut_clusters_chain, G.cut_min_length, G.segment_vote_overlap, G.segment_vote_timeline, G.merge_adjacent, G.merge_adjacent_ci, G.task_segments)},
+    **{f.__name__: Operator(f, FRAMES) for f in (G.hanning_weights, G.cut_clusters_chain, G.cut_min_length, G.merge_adjacent, G.merge_adjacent_ci)},
     **{f.__name__: Operator(f, FRAMES) for f in (B.positive_ranges, B.blur_summary, B.interval_union)},
     **{f.__name__: Operator(f, BOXES) for f in (B.box_dedupe, B.box_blur_region)},
-    **{f.__name__: Operator(f, TREE) for f in (C.caption_tree, C.refine_validate, C.subtitle_lookup)},
+    **{f.__name__: Operator(f, TREE) for f in (C.caption_tree, C.refine_validate)},
     **{f.__name__: Operator(f, {"tasks": X.tasks}) for f in (C.overall_instruction, C.cut_plan_task, C.cut_manifest)},
     "cut_plan_action": Operator(C.cut_plan_action, {"actions": X.actions}),
     "sop_join": Operator(C.sop_join, {"part": table("part")}),
     **{f.__name__: Operator(f, MEDIA) for f in (M.transcode_plan, M.effective_spec)},
     **{f.__name__: Operator(f, {"probes": X.probes}) for f in (M.encoder_choice, M.cut_commands)},
     "verify_output": Operator(M.verify_output, {"probes": X.probes, "outputs": X.outputs}),
+    # these run without a join by range; the SQL that has one is the other engine's
+    **{f.__name__: Query(build, Operator(f, FRAMES).oracle(), FRAMES) for f, build in ((G.cut_clusters_anchor, W.anchor_clusters), (G.segment_vote_overlap, W.vote_overlap), (G.segment_vote_timeline, W.vote_timeline), (G.task_segments, W.task_segments))},
+    "subtitle_lookup": Query(W.subtitles, Operator(C.subtitle_lookup, TREE).oracle(), TREE),
     "hand_summaries": Operator(A.hand_summaries, FRAMES | ASK),
     "generic_segments": Query(L.generic_segments, Operator(N.generic_segments, {"windows": X.windows}).oracle(), {"windows": X.windows}),
     "refined_tasks": Operator(N.refined_tasks, {"parts": X.parts, "proposals": X.proposals}),
