@@ -252,7 +252,7 @@ def _one(docs: DataFrame, items: list[tuple[str, str]], window: int, name: str)
                     rows[d]["hit_to"].append(j - int(b[d]))
                 yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.n).columns, pa.array(rows, _SCAN)], [*names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, field]))
+    return docs.mapInArrow(spread.tidied(run), StructType([*docs.schema.fields, field]))
 
 
 def covered(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
@@ -320,7 +320,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
             cols = [pa.array(texts, batch.schema.field(text).type) if c == text else batch.column(c) for c in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
 
-    out = found.mapInArrow(run, docs.schema)
+    out = found.mapInArrow(spread.tidied(run), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 

@@ -305,7 +305,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
                 n, ids, decoded = zip(*map(c.digest, texts), strict=True)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(spread.tidied(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:

@@ -173,7 +173,7 @@ def ledger(docs: DataFrame, terms: list[str] = (), keep: bool = False) -> DataFr
                 m = measure(t, lexicon)
                 yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.n).columns, pa.StructArray.from_arrays([pa.array(m[k].astype(np.int64)) for k in MEASURES], list(MEASURES))], [*names, book])
 
-    rows = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(book, StructType([StructField(k, LongType()) for k in MEASURES]))]))
+    rows = docs.mapInArrow(spread.tidied(run), StructType([*docs.schema.fields, StructField(book, StructType([StructField(k, LongType()) for k in MEASURES]))]))
     bits = " | ".join(f"(CASE WHEN {when} THEN {BIT[name]}L ELSE 0L END)" for name, when in RULES)
     if not keep:
         return rows.select(F.col("doc_id").cast("long").alias("doc_id"), f"{book}.*").withColumn("fail_bits", F.expr(bits))

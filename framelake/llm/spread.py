@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +31,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that, when it is done, gives freed memory back to the system: workers are used again by later
+    stages, and what allocators keep adds up beside the executor's own memory."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
