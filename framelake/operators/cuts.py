@@ -21,16 +21,24 @@ BUCKET = 512
 NOTHING = ("", '""', "{}", "[]", "null", "0", "0.0", "false")
 
 
-def windows(ranges: DataFrame, window_sec: float, step_sec: float, per_window: int) -> DataFrame:
+def windows(ranges: DataFrame, window_sec: float | Column, step_sec: float | Column, per_window: int | Column, legacy: bool = False) -> DataFrame:
     """Rows of ranges (keys, low, high, fps) with window_id, n_windows, start_frame, end_frame (included) and frame_ids, a row
-    a window. One window if the range isn't longer; else starts at every step up to the first window that reaches the end."""
-    frames = lambda sec: F.greatest(F.lit(1), F.rint(F.lit(sec) * F.col("fps")).cast("long"))
+    a window. One window if the range isn't longer; else starts at every step up to the first window that reaches the end.
+
+    Legacy windows cut lengths in frames instead of rounding them, and a range that is one window has all `per_window`
+    frames, though numbers may repeat.
+    """
+    whole = (lambda x: x.cast("long")) if legacy else (lambda x: F.rint(x).cast("long"))
+    frames = lambda sec: F.greatest(F.lit(1), whole(F.lit(sec) * F.col("fps")))
     wide, step = frames(window_sec), frames(step_sec)
-    starts = F.when(F.col("high") - F.col("low") <= wide, F.array("low")).otherwise(F.filter(F.sequence("low", F.col("high") - 1, step), lambda s: (s == F.col("low")) | (s - step + wide < F.col("high"))))
+    short = F.col("high") - F.col("low") <= wide
+    starts = F.when(short, F.array("low")).otherwise(F.filter(F.sequence("low", F.col("high") - 1, step), lambda s: (s == F.col("low")) | (s - step + wide < F.col("high"))))
     rows = ranges.where("high > low").withColumn("starts", starts)
     rows = rows.select(*ranges.columns, F.size("starts").cast("long").alias("n_windows"), F.posexplode("starts").alias("window_id", "start_frame"))
     rows = rows.withColumns({"window_id": F.col("window_id").cast("long"), "end_frame": F.least(F.col("start_frame") + wide - 1, F.col("high") - 1)})
-    k = F.least(F.lit(per_window).cast("long"), F.col("end_frame") - F.col("start_frame") + 1)
+    most = F.lit(per_window).cast("long")
+    k = F.least(most, F.col("end_frame") - F.col("start_frame") + 1)
+    k = F.when(short, most).otherwise(k) if legacy else k
     a, b = F.col("start_frame"), F.col("end_frame")
     at = lambda i: F.when(i == k - 1, F.when(k == 1, a).otherwise(b)).otherwise(F.floor(a + i * ((b - a).cast("double") / (k - 1))).cast("long"))
     return rows.withColumn("frame_ids", F.transform(F.sequence(F.lit(0).cast("long"), k - 1), at))

@@ -43,10 +43,11 @@ def ranges(episodes: DataFrame) -> DataFrame:
     return episodes.where("n > 0").select("episode", F.lit(0).cast("long").alias("low"), F.col("n").cast("long").alias("high"), F.when(F.col("fps") > 0, F.col("fps")).otherwise(30.0).cast("double").alias("fps"))
 
 
-def jobs(rows: DataFrame, sampling: Sampling, template: P.Template, custom_id: Column, **places: Column) -> DataFrame:
-    """Windows of the ranges with custom_id and prompt. Further columns of the ranges may be used by both."""
-    got = cuts.windows(rows, sampling.window, sampling.step, sampling.frames)
-    span = P.images(F.size("frame_ids"), F.col("start_frame"), F.col("end_frame"), F.col("fps"))
+def jobs(rows: DataFrame, sampling: Sampling, template: P.Template, custom_id: Column, legacy: bool = False, **places: Column) -> DataFrame:
+    """Windows of the ranges with custom_id and prompt. Further columns of the ranges may be used by both. Frames that repeat
+    in a window are shown once."""
+    got = cuts.windows(rows, sampling.window, sampling.step, sampling.frames, legacy)
+    span = P.images(F.size(F.array_distinct("frame_ids")), F.col("start_frame"), F.col("end_frame"), F.col("fps"))
     return got.withColumns({"custom_id": custom_id, "prompt": template.column(**span, **places)})
 
 
@@ -226,13 +227,13 @@ def refine_steps(segments: DataFrame, sops: DataFrame, ask: Ask, rounds: int = R
 
 
 def sop_captions(episodes: DataFrame, sops: DataFrame, valleys: DataFrame, ask: Ask, sampling: Sampling = STEPS, snap: int = SNAP, rounds: int = ROUNDS) -> DataFrame:
-    """Steps of a procedure: windows, cuts moved to the nearest valley of the hands' motion, then refinement by rounds.
+    """Steps of a procedure: legacy windows, cuts moved to the nearest valley of the hands' motion, then refinement by rounds.
 
     sops: episode, task_name, steps (array of struct step, description); valleys: episode, mark. Rows as of `refine_steps`,
     with scene and task_name. Episodes without a procedure are left out.
     """
     base = ranges(episodes).join(sops, "episode")
-    asked = kept(jobs(base, sampling, P.SOP_STEPS, F.format_string("%s/desc_win_%d", F.col("episode").cast("string"), F.col("window_id")), task=F.col("task_name"), steps=_steps_text(F.col("steps"))))
+    asked = kept(jobs(base, sampling, P.SOP_STEPS, F.format_string("%s/desc_win_%d", F.col("episode").cast("string"), F.col("window_id")), legacy=True, task=F.col("task_name"), steps=_steps_text(F.col("steps"))))
     wanted = episodes.join(sops.select("episode"), "episode", "left_semi")
     answers = _ask(ask, asked, scene_requests(wanted))
     windows = kept(read_windows(asked.drop("steps", "task_name"), answers, "instructions"))

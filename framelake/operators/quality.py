@@ -12,13 +12,15 @@ from framelake.plans.dialect import Spark
 #: Fixed thresholds of exposure and stability flags.
 OVER, OVER_LIGHT, UNDER, UNDER_LIGHT = 0.05, 0.55, 0.20, 0.35
 SHIFT_SPEED, TURN_SPEED = 1500.0, 0.50
+#: Fixed: the Laplacian variance under which a frame of real size is blurry.
+BLURRY = 60.0
 
 
 def num(x: float) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
-def frame_quality(d: Spark, blur: float = 12000, w: int = 8, h: int = 8) -> str:
+def frame_quality(d: Spark, blur: float = BLURRY, w: int = 8, h: int = 8) -> str:
     return f"""SELECT episode, frame_idx, round(lap, 6) AS laplacian_var, round(ten, 6) AS tenengrad, round(light / 255, 6) AS mean_brightness, lap < {num(blur)} AS is_blurry
         FROM (SELECT episode, frame_idx, {K.variance(d, 'l')} AS lap, {K.mean(d, 'g')} AS ten, {K.mean(d, K.doubles(d))} AS light
             FROM (SELECT episode, frame_idx, px, {K.laplacian(d, w=w, h=h)} AS l, {K.gradient(d, w=w, h=h)} AS g FROM {{frames}}) a) b"""
@@ -60,16 +62,16 @@ def stability_summary(d: Spark) -> str:
         FROM (SELECT DISTINCT episode FROM {{frames}}) e LEFT JOIN (SELECT episode, count(*) AS pairs, sqrt(var_pop(dx) + var_pop(dy)) AS translation_std, stddev_pop(da) AS rotation_std, max(shift_speed) AS max_shift, count_if(jitter) AS jitters FROM ({pair_motion(d)}) x GROUP BY episode) m ON e.episode = m.episode"""
 
 
-def quality_verdict(d: Spark, checks: tuple[str, ...] = ("blur", "exposure", "stability")) -> str:
+def quality_verdict(d: Spark, checks: tuple[str, ...] = ("blur", "exposure", "stability"), blur: float = BLURRY) -> str:
     """A missing sub-check passes; those not enabled don't count."""
     parts = [f"coalesce({k}_pass, true)" for k in checks] or ["true"]
     return f"""SELECT q.episode, q.pass AS blur_pass, x.pass AS exposure_pass, s.pass AS stability_pass, {' AND '.join(p.replace('blur_pass', 'q.pass').replace('exposure_pass', 'x.pass').replace('stability_pass', 's.pass') for p in parts)} AS pass
-        FROM ({quality_summary(d)}) q LEFT JOIN ({exposure_summary(d)}) x ON q.episode = x.episode LEFT JOIN ({stability_summary(d)}) s ON q.episode = s.episode"""
+        FROM ({quality_summary(d, blur=blur)}) q LEFT JOIN ({exposure_summary(d)}) x ON q.episode = x.episode LEFT JOIN ({stability_summary(d)}) s ON q.episode = s.episode"""
 
 
-def flagged_frames(d: Spark) -> str:
+def flagged_frames(d: Spark, blur: float = BLURRY) -> str:
     """One category a frame: under- over over-exposed, these over blurry; jitter marks the middle frame, unless it is blurry or has another flag."""
     return f"""SELECT episode, frame_idx, CASE max(CASE kind WHEN 'under' THEN 4 WHEN 'over' THEN 3 WHEN 'blurry' THEN 2 ELSE 1 END) WHEN 4 THEN 'underexposed' WHEN 3 THEN 'overexposed' WHEN 2 THEN 'blurry' ELSE 'jitter' END AS category FROM (
-        SELECT episode, frame_idx, 'blurry' AS kind FROM ({frame_quality(d)}) a WHERE is_blurry
+        SELECT episode, frame_idx, 'blurry' AS kind FROM ({frame_quality(d, blur=blur)}) a WHERE is_blurry
         UNION ALL SELECT episode, frame_idx, 'over' AS kind FROM ({frame_exposure(d)}) b WHERE over_exposed UNION ALL SELECT episode, frame_idx, 'under' AS kind FROM ({frame_exposure(d)}) c WHERE under_exposed
         UNION ALL SELECT episode, frame_mid AS frame_idx, 'jitter' AS kind FROM ({pair_motion(d)}) e WHERE jitter) f GROUP BY episode, frame_idx"""

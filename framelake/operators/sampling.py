@@ -22,15 +22,17 @@ def sample_windows(d: Spark, window_sec: float = 0.5, step_sec: float = 0.25, pe
     """Windows over [low, high) of each episode: window_id, start_frame, end_frame (included), frame_ids.
 
     One window if the range isn't longer than a window; else starts at every step up to the first that reaches the end.
-    With truncate, lengths in frames are cut instead of rounded.
+    With truncate, lengths in frames are cut instead of rounded, and a range that is one window has all its frames' number
+    of samples, though they may repeat.
     """
     if truncate:
         wf, sf = (f"greatest(1, {d.whole(f'{num(x)} * fps')})" for x in (window_sec, step_sec))
     else:
         wf, sf = _frames_of(d, window_sec), _frames_of(d, step_sec)
     k = f"least({per_window}, end_frame - start_frame + 1)"
+    k = f"CASE WHEN short THEN {per_window} ELSE {k} END" if truncate else k
     return f"""SELECT episode, CAST(row_number() OVER (PARTITION BY episode ORDER BY start_frame) - 1 AS BIGINT) AS window_id, start_frame, end_frame, {d.join(d.map(_linspace(d, 'start_frame', 'end_frame', k), 'f_', 'CAST(f_ AS STRING)'))} AS frame_ids
-        FROM (SELECT episode, s AS start_frame, least(s + wf - 1, hi - 1) AS end_frame
+        FROM (SELECT episode, s AS start_frame, least(s + wf - 1, hi - 1) AS end_frame, hi - lo <= wf AS short
             FROM (SELECT episode, lo, hi, wf, sf, {d.explode(d.seq('lo', 'CASE WHEN hi - lo <= wf THEN lo ELSE hi - 1 END', 'sf'))} AS s
                 FROM (SELECT episode, CAST({low} AS BIGINT) AS lo, CAST({high} AS BIGINT) AS hi, {wf} AS wf, {sf} AS sf FROM {{episodes}} WHERE {high} > {low}) a) b
             WHERE s = lo OR s - sf + wf < hi) c"""

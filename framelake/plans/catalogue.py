@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,7 +88,9 @@ GRAY, FRAMES, EPISODES, BOXES = {"frames": X.gray}, {"frames": X.frames}, {"epis
 ASK, TREE, MEDIA = {"requests": X.requests, "responses": X.responses}, {"tasks": X.tasks, "actions": X.actions}, {"probes": X.probes, "specs": X.specs}
 
 OPERATORS: dict[str, Operator | Query] = {
-    **{f.__name__: Operator(f, GRAY) for f in (Q.frame_quality, Q.quality_summary, Q.frame_exposure, Q.exposure_summary, Q.pair_motion, Q.stability_summary, Q.quality_verdict, Q.flagged_frames)},
+    # frames of 8 x 8 pixels are sharper than real ones
+    **{f.__name__: Operator(partial(f, blur=12000.0), GRAY) for f in (Q.frame_quality, Q.quality_summary, Q.quality_verdict, Q.flagged_frames)},
+    **{f.__name__: Operator(f, GRAY) for f in (Q.frame_exposure, Q.exposure_summary, Q.pair_motion, Q.stability_summary)},
     **{f.__name__: Operator(f, EPISODES) for f in (S.sample_windows, S.window_frames, S.stride_frames, S.fps_frames, S.uniform_frames, S.frame_demand)},
     "legacy_windows": Operator(lambda d: S.sample_windows(d, truncate=True, window_sec=0.45), EPISODES),
     "range_windows": Operator(lambda d: S.sample_windows(d, low=d.idiv("n", "4")), EPISODES),

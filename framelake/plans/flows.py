@@ -126,10 +126,10 @@ def _hash(custom_id: str, prompt: str) -> str:
     return f"sha256({custom_id} || chr(10) || {prompt})"
 
 
-def _asked(rows: str, sampling: flows.Sampling, template: P.Template, custom_id: str, word: str, key: str = "episode", match: str = "r.episode", low: str = "0", high: str = "n", **places: str) -> str:
+def _asked(rows: str, sampling: flows.Sampling, template: P.Template, custom_id: str, word: str, key: str = "episode", match: str = "r.episode", low: str = "0", high: str = "n", legacy: bool = False, **places: str) -> str:
     """Windows of rows (key, fps, ...) with the transitions and payloads of their scripted answers; k_ is the row of the range."""
-    win = S.sample_windows(DUCK, sampling.window, sampling.step, sampling.frames, low, high).replace("{episodes}", f"(SELECT {key} AS episode, * EXCLUDE (episode) FROM ({rows}) r_)")
-    span = {"n": "len(f)", "start": "printf('%.1f', start_frame / fps)", "end": "printf('%.1f', end_frame / fps)"}
+    win = S.sample_windows(DUCK, sampling.window, sampling.step, sampling.frames, low, high, legacy).replace("{episodes}", f"(SELECT {key} AS episode, * EXCLUDE (episode) FROM ({rows}) r_)")
+    span = {"n": "len(list_distinct(f))", "start": "printf('%.1f', start_frame / fps)", "end": "printf('%.1f', end_frame / fps)"}
     prompt = template.sql(**span, **places)
     k, m = f"{_digit(1)} % 3", f"({_digit(1)} % 3 + CASE WHEN {_digit(9)} > 0 THEN 1 ELSE 0 END)"
     said = ", ".join(f"CASE WHEN {_digit(5 + i)} % 4 = 3 THEN '' ELSE {word.format(w=f'({_digit(5 + i)} % 4)')} END" for i in range(3))
@@ -217,7 +217,7 @@ def _valley_sql() -> str:
 
 def _sop_sql() -> str:
     lines = "array_to_string(list_transform(range(1, len(k_.steps) + 1), lambda i: '  Step ' || i || ': ' || k_.steps[i]), chr(10))"
-    asked = _asked(_WORK, flows.STEPS, P.SOP_STEPS, "k_.episode || '/desc_win_' || window_id", "'step ' || {w}", task="k_.task_name", steps=lines)
+    asked = _asked(_WORK, flows.STEPS, P.SOP_STEPS, "k_.episode || '/desc_win_' || window_id", "'step ' || {w}", legacy=True, task="k_.task_name", steps=lines)
     near = f"coalesce((SELECT arg_min(m, abs(m - c) * 1000000000 + m) FROM valley v WHERE v.episode = centre.episode AND abs(m - c) <= {flows.SNAP}), c)"
     prompt = P.MERGE_STEPS.sql(task="k.task_name", steps=lines.replace("k_.", "k."), segments="l.segments")
     tries = " UNION ALL ".join(f"SELECT l.episode, {i} AS k, l.n_parts, {_hash(f'l.episode || ' + repr(f'/refine_{i}'), prompt)} AS h FROM ({_listing('SELECT episode, s, e, caption FROM told')}) l JOIN ({_WORK}) k ON k.episode = l.episode" for i in range(1, flows.ROUNDS + 1))
