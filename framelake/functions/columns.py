@@ -116,3 +116,26 @@ def rescale_box(box: Column, fx: Column, fy: Column) -> Column:
 def hand_box(box: Column, factor: Column) -> Column:
     """A hand's box by one factor, to one decimal."""
     return F.transform(box, lambda v: tenths(v * factor).cast("double"))
+
+
+def rounded(x: Column, k: int) -> Column:
+    """A double to k decimals as its exact binary value says, exact halves to the even digit.
+
+    The product with 10^k is taken with what rounding it loses, by splitting both factors; it tells a half from almost one.
+    """
+    if k > 8:
+        raise ValueError("more decimals than a product can be told apart at")
+    s = float(10**k)
+    split = lambda c: c * 134217729.0 - (c * 134217729.0 - c)
+    a = x.cast("double")
+    p = a * F.lit(s)
+    hi, s_hi = split(a), s * 134217729.0 - (s * 134217729.0 - s)
+    lo, s_lo = a - hi, s - s_hi
+    lost = ((hi * s_hi - p) + hi * s_lo + lo * s_hi) + lo * s_lo
+    whole = F.when((p - F.floor(p) == 0.5) & (lost != 0), F.when(lost > 0, F.ceil(p)).otherwise(F.floor(p)).cast("double")).otherwise(F.rint(p))
+    return F.when(F.abs(p) < 2.0**51, whole / F.lit(s)).otherwise(a)
+
+
+def utc_now() -> Column:
+    """The time of the query in UTC, to the second."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

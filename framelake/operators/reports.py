@@ -36,8 +36,25 @@ def blurred_pairs(original: DataFrame, blurred: DataFrame, value: str) -> DataFr
 
 
 def preferred_input(raw: DataFrame, blurred: DataFrame) -> DataFrame:
-    """(episode, path): the blurred video where there is one, else the raw one."""
-    return raw.select("episode", F.col("path").alias("raw")).join(blurred.select("episode", F.col("path").alias("blurred")), "episode", "left").select("episode", F.coalesce("blurred", "raw").alias("input"))
+    """(episode, path): the blurred video where there is a valid one, else the raw one.
+
+    A video is valid unless a column `bytes` or `codec` says that it is empty or can't be read. Of several of an episode the
+    first by path counts; episodes without a valid video are left out.
+    """
+
+    def one(df: DataFrame, name: str) -> DataFrame:
+        if "bytes" in df.columns:
+            df = df.where("bytes > 0")
+        if "codec" in df.columns:
+            df = df.where("codec IS NOT NULL")
+        return df.groupBy("episode").agg(F.min("path").alias(name))
+
+    return one(raw, "raw").join(one(blurred, "blurred"), "episode", "full").select("episode", F.coalesce("blurred", "raw").alias("input"))
+
+
+def by_episode(report: DataFrame) -> DataFrame:
+    """A report in the order of its episodes."""
+    return report.orderBy("episode")
 
 
 def audio_remux(videos: DataFrame) -> DataFrame:

@@ -14,23 +14,42 @@ def _events(events: DataFrame) -> DataFrame:
 
 
 def detections(events: DataFrame) -> DataFrame:
-    """Clicks as faces and errors as plates of a user's events."""
+    """Faces of clicks, plates of errors and purchases, two a frame for some; every seventh frame is missing, and some boxes are
+    of frames that were never read."""
     e = _events(events)
-    box = lambda kind: e.where(F.col("event_type") == kind).select(*R.FRAME, F.lit(0).alias("det_idx"), *(F.col("value").alias(c) for c in ("x1", "y1", "x2", "y2", "conf")))
-    got = R.frame_detections(e, box("click"), box("error"), box("click"))
-    return got.select(*R.FRAME, F.size("boxes").alias("n_boxes"), F.array_join(F.transform("boxes", lambda b: b["source"].cast("string")), ",").alias("sources"))
+    frames = e.where("frame_idx % 7 <> 3")
+    number = F.when(F.col("frame_idx") % 5 == 0, F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
+
+    def boxes(*kinds: str) -> DataFrame:
+        return e.where(F.col("event_type").isin(*kinds)).select("episode", F.when(F.col("frame_idx") % 11 == 0, -F.col("frame_idx") - 1).otherwise(F.col("frame_idx")).alias("frame_idx"), F.explode(number).alias("det_idx"), *(F.col("value").alias(c) for c in ("x1", "y1", "x2", "y2", "conf")))
+
+    got = R.frame_detections(frames, boxes("click"), boxes("error", "purchase"), boxes("click", "error"))
+    return got.select(*R.FRAME, F.size("boxes").alias("n_boxes"), F.array_join(F.transform("boxes", lambda b: F.concat(b["source"].cast("string"), F.lit("."), b["det_idx"].cast("string"))), ",").alias("sources"))
 
 
 def blurred(events: DataFrame) -> DataFrame:
+    """Requested frames, asked for twice, against a blurred video that lacks some, has others, and changes values."""
     e = _events(events)
     asked = e.where("event_type <> 'view'").select(*R.FRAME)
-    return R.blurred_pairs(e, R.requested_frames(e, asked.union(asked)), "value")
+    after = e.where("frame_idx % 4 <> 1").withColumn("value", F.col("value") + 1).union(e.where("frame_idx % 9 = 0").withColumn("frame_idx", -F.col("frame_idx") - 1))
+    return R.blurred_pairs(R.requested_frames(e, asked.union(asked)), after, "value")
 
 
 def inputs(orders: DataFrame) -> DataFrame:
+    """Raw and blurred videos of orders: some are missing, empty, unreadable, or there twice."""
     path = lambda name: F.concat(F.lit("e/"), F.col("o_orderkey").cast("string"), F.lit(f"/{name}.mp4")).alias("path")
-    raw = orders.select(F.col("o_orderkey").alias("episode"), path("rgb"))
-    return R.preferred_input(raw, orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("episode"), path("rgb_blurred")))
+    k = F.col("o_orderkey")
+    video = lambda df, name: df.select(k.alias("episode"), path(name), F.when(k % 10 == 4, 0).otherwise(5).cast("long").alias("bytes"), F.when(k % 10 != 6, "h264").alias("codec"))
+    raw = orders.where(k % 5 != 2).select(k.alias("episode"), path("rgb"))
+    done = orders.where("o_orderstatus = 'F'")
+    return R.preferred_input(raw, video(done, "rgb_blurred").union(video(done.where(k % 3 == 0), "a_blurred")))
+
+
+def rounded(lineitem: DataFrame) -> DataFrame:
+    """Figures with many halves and almost halves, rounded as reports do."""
+    k = (F.col("l_orderkey") + F.col("l_linenumber")).cast("double")
+    x = F.col("l_extendedprice") * F.col("l_discount") / 1.6 + (F.col("l_orderkey") % 1000) / 8.0 + 0.005
+    return lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", C.rounded(x, 2).alias("two"), C.rounded(x / 3, 1).alias("one"), C.rounded(x / 7, 4).alias("four"), C.rounded(k / 2, 0).alias("whole"))
 
 
 def figures(orders: DataFrame) -> DataFrame:
@@ -57,10 +76,12 @@ def names(part: DataFrame) -> DataFrame:
 _PATH = "'a/ep' || p_partkey || CASE WHEN p_partkey % 3 = 0 THEN '/segments/seg_' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') ELSE '' END"
 
 QUERIES = {
-    "frame_detections": (detections, """SELECT user_id AS episode, event_id AS frame_idx, CASE event_type WHEN 'click' THEN 2 WHEN 'error' THEN 1 ELSE 0 END AS n_boxes,
-        CASE event_type WHEN 'click' THEN '0,2' WHEN 'error' THEN '1' ELSE '' END AS sources FROM events""", ("events",)),
-    "blurred_pairs": (blurred, "SELECT user_id AS episode, event_id AS frame_idx, value AS original, value AS blurred FROM events WHERE event_type <> 'view'", ("events",)),
-    "preferred_input": (inputs, "SELECT o_orderkey AS episode, 'e/' || o_orderkey || CASE WHEN o_orderstatus = 'F' THEN '/rgb_blurred.mp4' ELSE '/rgb.mp4' END AS input FROM orders", ("orders",)),
+    "frame_detections": (detections, """SELECT f.episode, f.frame_idx, CAST(count(d.s) AS INTEGER) AS n_boxes, coalesce(string_agg(d.s || '.' || d.i, ',' ORDER BY d.s, d.i), '') AS sources FROM (SELECT user_id AS episode, event_id AS frame_idx FROM events WHERE event_id % 7 <> 3) f
+        LEFT JOIN (SELECT e.user_id, e.event_id, s.s, i.i FROM events e JOIN (VALUES ('click', 0), ('error', 1), ('purchase', 1), ('click', 2), ('error', 2)) s(t, s) ON s.t = e.event_type JOIN (VALUES (0), (1)) i(i) ON i.i = 0 OR e.event_id % 5 = 0 WHERE e.event_id % 11 <> 0) d ON d.user_id = f.episode AND d.event_id = f.frame_idx GROUP BY f.episode, f.frame_idx""", ("events",)),
+    "blurred_pairs": (blurred, "SELECT user_id AS episode, event_id AS frame_idx, value AS original, value + 1 AS blurred FROM events WHERE event_type <> 'view' AND event_id % 4 <> 1", ("events",)),
+    "preferred_input": (inputs, """SELECT k AS episode, 'e/' || k || CASE WHEN o_orderstatus = 'F' AND k % 10 NOT IN (4, 6) THEN CASE WHEN k % 3 = 0 THEN '/a_blurred.mp4' ELSE '/rgb_blurred.mp4' END ELSE '/rgb.mp4' END AS input
+        FROM (SELECT *, o_orderkey AS k FROM orders) o WHERE k % 5 <> 2 OR (o_orderstatus = 'F' AND k % 10 NOT IN (4, 6))""", ("orders",)),
+    "rounded_figures": (rounded, "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(printf('%.2f', x) AS DOUBLE) AS two, CAST(printf('%.1f', x / 3) AS DOUBLE) AS one, CAST(printf('%.4f', x / 7) AS DOUBLE) AS four, CAST(printf('%.0f', k / 2e0) AS DOUBLE) AS whole FROM (SELECT *, l_orderkey + l_linenumber AS k, l_extendedprice * l_discount / 1.6e0 + (l_orderkey % 1000) / 8e0 + 0.005e0 AS x FROM lineitem) y", ("lineitem",)),
     "benchmark_report": (figures, """SELECT *, sum_total_in // n AS mean_in, sum_total_out // n AS mean_out FROM (SELECT count(*) AS n, CAST(sum(i) AS BIGINT) AS sum_win_in, CAST(sum(o) AS BIGINT) AS sum_win_out,
         CAST(sum(ri) AS BIGINT) AS sum_ref_in, CAST(sum(ro) AS BIGINT) AS sum_ref_out, CAST(sum(i + ri) AS BIGINT) AS sum_total_in, CAST(sum(o + ro) AS BIGINT) AS sum_total_out,
         round(avg(v), 6) AS r_mean_video_sec, round(avg(t), 6) AS r_mean_total_sec, round(avg(t / nullif(v, 0)), 6) AS r_mean_ratio

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fixed suffixes of media files.
@@ -82,3 +82,26 @@ def sop_episodes(episodes: DataFrame, kinds: DataFrame, sops: DataFrame, kind: s
     if kind is not None:
         first = first.where(F.col("kind") == kind)
     return work.join(first, "name").join(sops, "sop").drop("sop")
+
+
+def episode_list(tree: DataFrame, explicit: list[str] | str, root: str | None = None, base: str = "/") -> DataFrame:
+    """place, episode, note: the explicit folders in order (relative ones from `base`), then, in order of their names, the
+    folders in `root` that hold an input video. An episode may be in both. What isn't a folder has a note and no place.
+
+    tree: path, is_dir of all files and folders.
+    """
+    spark = tree.sparkSession
+    listed = [explicit] if isinstance(explicit, str) else list(explicit)
+    whole = [p if p.startswith("/") else f"{base.rstrip('/')}/{p}" for p in listed]
+    dirs = tree.where("is_dir").select(F.col("path").alias("episode"), F.lit(True).alias("there"))
+    first = spark.createDataFrame([(i, p.rstrip("/") or "/") for i, p in enumerate(whole)], "i long, episode string").join(dirs, "episode", "left")
+    rows = first.select(F.lit(0).alias("part"), "i", "episode", F.when(F.col("there").isNull(), "episode folder not found").alias("note"))
+    if root is not None:
+        top = (root if root.startswith("/") else f"{base.rstrip('/')}/{root}").rstrip("/")
+        files = tree.where("NOT is_dir").select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
+        held = input_video(files.where(F.regexp_extract("dir", "^(.*)/[^/]*$", 1) == top)).select("episode")
+        found = held.join(dirs, "episode", "left_semi").select(F.lit(1).alias("part"), F.lit(0).cast("long").alias("i"), "episode", F.lit(None).cast("string").alias("note"))
+        gone = spark.createDataFrame([(top,)], "episode string").join(dirs, "episode", "left_anti").select(F.lit(1).alias("part"), F.lit(0).cast("long").alias("i"), "episode", F.lit("episode root not found").alias("note"))
+        rows = rows.unionByName(found).unionByName(gone)
+    # a run's episodes are few, and their order is the result
+    return rows.withColumn("place", F.when(F.col("note").isNull(), F.row_number().over(Window.orderBy(F.col("note").isNotNull(), "part", "i", "episode")) - 1)).select("place", "episode", "note")
