@@ -457,21 +457,17 @@ def _tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, on exact sets: each pair's two sets meet under the pair."""
+    """The pairs (a, b) that link, on exact sets: each pair's two texts, which take less room than their sets, meet under the pair."""
     ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
-    rows = spread.split_by(docs, ends.select("doc_id"))[0]
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in V.texts(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, t.n), pa.array([V.signed(x) for x in sets(t, k)], pa.list_(pa.int64()))], ["doc_id", "own"])
-
-    own = rows.mapInArrow(make, "doc_id long, own array<long>")
-    met = own.join(ends.hint("shuffle_hash"), "doc_id").groupBy("a", "b").agg(F.collect_list("own").alias("own"))
+    rows = spread.split_by(docs, ends.select("doc_id"))[0].select("doc_id", "text")
+    met = rows.join(ends.hint("shuffle_hash"), "doc_id").groupBy("a", "b").agg(F.collect_list("text").alias("texts"))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [len(x) > 1 and any(_linked(np.asarray(x[i], np.int64).view(np.uint64), np.asarray(x[j], np.int64).view(np.uint64), percent) for i in range(len(x)) for j in range(i)) for x in batch.column(2).to_pylist()]
+            texts = batch.column(2)
+            at = texts.offsets.to_numpy() - (texts.offsets[0].as_py() if len(texts) else 0)
+            own = [x for t in V.texts(texts.flatten()) for x in sets(t, k)]
+            keep = [any(_linked(own[p], own[q], percent) for p in range(i, j) for q in range(i, p)) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return met.mapInArrow(test, "a long, b long")
@@ -482,17 +478,19 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     spread.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     known = docs.where("doc_id IS NOT NULL")
-    sig = spread.stash(signatures(docs, k, percent, frequent(docs, k)))
+    sig = spread.stash(signatures(docs, k, percent, frequent(docs, k)), "zstd")
+    sizes = spread.stash(sig.select("doc_id", "n"))
     some = sig.where("n > 0 AND doc_id IS NOT NULL")
     # equal sets are linked to their least doc_id; with rows that share a doc_id, that is an edge as any other
     same = spread.stash(some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     some = some.join(same, ["n", "f1", "f2"], "left").drop("f1", "f2")
-    edges = some.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    edges = spread.stash(some.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     reps = some.where("rep IS NULL OR doc_id = rep").drop("rep")
     rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "n", "doc_id"), percent).drop("n").distinct())
     least = spread.stash(rows.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list("g")), 1, FIRST).alias("h")))
     signs = reps.drop("prefix").join(least, "doc_id").select("*", *(F.coalesce(F.get("h", F.lit(x)), F.lit((1 << 63) - 1)).alias(f"h{x}") for x in range(FIRST))).drop("h")
-    signs = spread.stash(signs)
+    signs = spread.stash(signs, "zstd")
+    spread.drop(sig, same, least)  # the largest tables; what came of them is written
     found = spread.stash(_close(known, signs, k, percent))
     done, tried, most = [], None, PAIRS
     while True:
@@ -504,6 +502,7 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         mixed = spread.stash(labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members"))
         tiles = _tiles(labelled, mixed).join(signs, "doc_id").withColumn("most", F.lit(most))
         offers = spread.stash(_candidates(tiles, percent))
+        spread.drop(labelled, mixed)
         rows = rows.join(offers.where("left").select("g").distinct(), "g", "left_semi")  # the other buckets are done
         pairs = offers.select("a", "b").distinct()
         if tried is not None:
@@ -517,7 +516,7 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     for x in [found, *done]:
         edges = edges.union(x)
     comp = spread.components(edges)
-    return sig.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return sizes.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def op4_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

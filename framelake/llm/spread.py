@@ -54,19 +54,28 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stash(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder as Parquet and read again: cuts the lineage, survives lost executors."""
+def stash(df: DataFrame, codec: str = "snappy") -> DataFrame:
+    """df written once to the shared folder as Parquet and read again: cuts the lineage, survives lost executors. It stays until
+    the session's end, or until `drop`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
     spark.conf.set(key, "true")  # its shuffles aren't needed once it is written
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stash = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Removes stashed tables from the shared folder. Nothing that isn't written yet may come from them."""
+    for t in tables:
+        _remove(t.sparkSession, t._stash)
 
 
 #: Cells of a row filter; what is broadcast for one is at most so many small integers, however many rows there are.
@@ -127,10 +136,12 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     for _ in range(most if last[0] else 0):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
+        before = e
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         # small star: all of a node's lesser neighbours, and itself, go to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         e, now = put(large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct())
+        drop(before)
         if now == last:
             break
         last = now
