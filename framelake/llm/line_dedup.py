@@ -374,7 +374,7 @@ def _entries(docs: DataFrame, wide: bool, parts: int) -> DataFrame:
             page["sim"], page["key"] = sim[row], key[row]
             part = ((bucket >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
             cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)]  # sorted by bucket, so by part
-            pages = [page[i:j].tobytes() for i, j in zip(cut.tolist(), np.append(cut[1:], len(part)).tolist(), strict=True)]
+            pages = [page[i:j].tobytes() for i, j in zip(cut.tolist(), np.append(cut[1:], len(part))[: len(cut)].tolist(), strict=True)]
             m = len(pages)
             none = [pa.nulls(m, pa.int64()) for _ in range(5)]
             yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(pages, pa.binary()), *none, pa.nulls(m, pa.int32())], _FIELDS)
