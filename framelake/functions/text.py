@@ -54,7 +54,7 @@ def greedy_json(d: Spark, x: str) -> str:
 
 
 def scene(d: Spark, x: str) -> str:
-    label = f"lower(trim({d.json(greedy_json(d, x), 'scene')}))"
+    label = f"lower(trim({d.sole_json(greedy_json(d, x), 'scene')}))"
     return f"CASE WHEN {label} IN ({', '.join(repr(s) for s in SCENES)}) THEN {label} ELSE 'unknown' END"
 
 
@@ -65,7 +65,7 @@ SINGLE_KEYS = ("single_person_operation", "single_operator_only")
 
 def _flag(d: Spark, t: str, key: str) -> str:
     """A JSON answer's field: true or false, or the words yes or no; the strings "true" and "false" are neither."""
-    got = f"lower({d.json(t, key)})"
+    got = f"lower({d.sole_json(t, key)})"
     bare = d.search(t, rf'"{key}"\s*:\s*(true|false)', 1)
     return f"CASE WHEN {got} IN ('yes', 'no') THEN {got} = 'yes' WHEN {got} IN ('true', 'false') AND {bare} IS NOT NULL THEN {got} = 'true' END"
 
@@ -77,8 +77,8 @@ def _keyed(d: Spark, t: str, key: str) -> str:
 
 def hand_count(d: Spark, x: str) -> str:
     """The first stand-alone 0, 1 or 2; else a JSON count (true and false are 1 and 0); else such a digit between other characters; else null."""
-    t = f"lower(trim({x}))"
-    keyed = f"coalesce({', '.join(d.json(t, k) for k in COUNT_KEYS)})"
+    t = d.lower(f"trim({x})")
+    keyed = f"coalesce({', '.join(d.sole_json(t, k) for k in COUNT_KEYS)})"
     bare = d.search(t, rf'"({"|".join(COUNT_KEYS)})"\s*:\s*(true|false)', 2)
     said = f"CASE WHEN {bare} IS NOT NULL AND {keyed} = 'true' THEN '1' WHEN {bare} IS NOT NULL AND {keyed} = 'false' THEN '0' END"
     return f"CAST(coalesce({d.search(t, r'\b([012])\b', 1)}, {said}, {d.search(t, r'[^0-9]([012])([^0-9]|$)', 1)}) AS INT)"
@@ -86,12 +86,12 @@ def hand_count(d: Spark, x: str) -> str:
 
 def active(d: Spark, x: str) -> str:
     """Bare yes or no; JSON field; keyed text; the first yes or no as a word; else null."""
-    t = f"lower(trim({x}))"
+    t = d.lower(f"trim({x})")
     word = d.search(t, r"\b(yes|no)\b", 1)
     return f"CASE WHEN {t} IN ('yes', 'no') THEN {t} = 'yes' ELSE coalesce({_flag(d, t, 'active_manipulation')}, {_keyed(d, t, 'active_manipulation')}, {word} = 'yes') END"
 
 
 def single(d: Spark, x: str) -> str:
     """Whether one person acts: JSON field, by either of two names, then keyed text; else null."""
-    t = f"lower(trim({x}))"
+    t = d.lower(f"trim({x})")
     return f"coalesce({', '.join(_flag(d, t, k) for k in SINGLE_KEYS)}, {', '.join(_keyed(d, t, k) for k in SINGLE_KEYS)})"

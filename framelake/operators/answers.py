@@ -17,7 +17,7 @@ def response_join(d: Spark) -> str:
 
 def parse_json_greedy(d: Spark) -> str:
     body = T.greedy_json(d, "text")
-    return f"SELECT custom_id, {d.json(body, 'thought')} AS thought, {T.scene(d, 'text')} AS scene FROM {{responses}}"
+    return f"SELECT custom_id, {d.sole_json(body, 'thought')} AS thought, {T.scene(d, 'text')} AS scene FROM {{responses}}"
 
 
 def parse_audit(d: Spark) -> str:
@@ -71,4 +71,4 @@ def run_summary(d: Spark) -> str:
 
 def all_failed(d: Spark) -> str:
     """Whether every answer of a conversation is unreadable, or only some."""
-    return f"SELECT conv_id, count_if(thought IS NULL) = count(*) AS all_failed, count_if(thought IS NULL) AS failed FROM (SELECT conv_id, {d.json(T.greedy_json(d, 'text'), 'thought')} AS thought FROM {{responses}}) a GROUP BY conv_id"
+    return f"SELECT conv_id, count_if(thought IS NULL) = count(*) AS all_failed, count_if(thought IS NULL) AS failed FROM (SELECT conv_id, {d.sole_json(T.greedy_json(d, 'text'), 'thought')} AS thought FROM {{responses}}) a GROUP BY conv_id"

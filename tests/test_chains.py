@@ -3,12 +3,14 @@
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from framelake.operators import inference
 from framelake.plans import dag
 from framelake.plans.catalogue import OPERATORS
+from framelake.plans.dialect import DUCK
 
 WINDOW = "episode long, window_id long, n_windows long, frame_ids array<long>, transitions array<long>, payloads array<string>, low long, high long"
 
@@ -127,6 +129,18 @@ def test_answers_by_field(spark):
     assert {x.custom_id: (x.hands, x.active, x.single) for x in got} == texts
 
 
+def test_odd_answers_as_the_sql_reads_them(spark):
+    texts = ["no\u00f1codota ie", "\u00f1 yes", "\u00e91", '"active_manipulation":\x0b"no"', '{"single_operator_only": true} end', '{"hand_count": false}]', '{"count": true}, 0', "\u0130no", '{"single_operator_only": true}']
+    rows = [(str(i), 1, t) for i, t in enumerate(texts)]
+    op = OPERATORS["parse_audit"]
+    got = op.over(responses=spark.createDataFrame(rows, "custom_id string, conv_id long, text string"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE responses (custom_id VARCHAR, conv_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO responses VALUES (?, ?, ?)", rows)
+    want = con.sql(op.sql(DUCK).replace("{responses}", "responses").replace("{{", "{").replace("}}", "}"))
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_calls_run_once(spark, tmp_path):
     class Counting(inference.Stub):
         def __init__(self, path, fail=0):
