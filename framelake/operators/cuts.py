@@ -28,20 +28,39 @@ def windows(ranges: DataFrame, window_sec: float | Column, step_sec: float | Col
     Legacy windows cut lengths in frames instead of rounding them, and a range that is one window has all `per_window`
     frames, though numbers may repeat.
     """
-    whole = (lambda x: x.cast("long")) if legacy else (lambda x: F.rint(x).cast("long"))
-    frames = lambda sec: F.greatest(F.lit(1), whole(F.lit(sec) * F.col("fps")))
-    wide, step = frames(window_sec), frames(step_sec)
-    short = F.col("high") - F.col("low") <= wide
-    starts = F.when(short, F.array("low")).otherwise(F.filter(F.sequence("low", F.col("high") - 1, step), lambda s: (s == F.col("low")) | (s - step + wide < F.col("high"))))
+    wide, starts = _starts(window_sec, step_sec, legacy)
     rows = ranges.where("high > low").withColumn("starts", starts)
     rows = rows.select(*ranges.columns, F.size("starts").cast("long").alias("n_windows"), F.posexplode("starts").alias("window_id", "start_frame"))
-    rows = rows.withColumns({"window_id": F.col("window_id").cast("long"), "end_frame": F.least(F.col("start_frame") + wide - 1, F.col("high") - 1)})
+    rows = rows.withColumns({"window_id": F.col("window_id").cast("long"), "end_frame": _end(F.col("start_frame"), wide)})
     most = F.lit(per_window).cast("long")
-    k = F.least(most, F.col("end_frame") - F.col("start_frame") + 1)
-    k = F.when(short, most).otherwise(k) if legacy else k
-    a, b = F.col("start_frame"), F.col("end_frame")
+    fixed = F.when(F.col("high") - F.col("low") <= wide, most) if legacy else None
+    return rows.withColumn("frame_ids", _spread(F.col("start_frame"), F.col("end_frame"), most, fixed))
+
+
+def _starts(window_sec: float | Column, step_sec: float | Column, legacy: bool = False) -> tuple[Column, Column]:
+    """A window's length in frames, and the array of first frames over [low, high)."""
+    whole = (lambda x: x.cast("long")) if legacy else (lambda x: F.rint(x).cast("long"))
+    frames = lambda sec: F.greatest(F.lit(1), whole(F.lit(sec) * F.col("fps")))
+    wide, step = frames(window_sec), frames(step_sec)
+    return wide, F.when(F.col("high") - F.col("low") <= wide, F.array("low")).otherwise(F.filter(F.sequence("low", F.col("high") - 1, step), lambda s: (s == F.col("low")) | (s - step + wide < F.col("high"))))
+
+
+def _end(start: Column, wide: Column) -> Column:
+    return F.least(start + wide - 1, F.col("high") - 1)
+
+
+def _spread(a: Column, b: Column, most: Column, fixed: Column | None = None) -> Column:
+    """At most `most` frames evenly from a to b; `fixed`, where it isn't null, says how many."""
+    k = F.least(most, b - a + 1)
+    k = k if fixed is None else F.coalesce(fixed, k)
     at = lambda i: F.when(i == k - 1, F.when(k == 1, a).otherwise(b)).otherwise(F.floor(a + i * ((b - a).cast("double") / (k - 1))).cast("long"))
-    return rows.withColumn("frame_ids", F.transform(F.sequence(F.lit(0).cast("long"), k - 1), at))
+    return F.transform(F.sequence(F.lit(0).cast("long"), k - 1), at)
+
+
+def sampled(window_sec: float | Column, step_sec: float | Column, per_window: int | Column) -> Column:
+    """The frames of all `windows` of a row's range, as one array; frames of overlapping windows repeat."""
+    wide, starts = _starts(window_sec, step_sec)
+    return F.flatten(F.transform(starts, lambda s: _spread(s, _end(s, wide), F.lit(per_window).cast("long"))))
 
 
 def _weight() -> Column:

@@ -61,22 +61,21 @@ def hand_options(pipelines: DataFrame, settings: DataFrame) -> DataFrame:
 
 
 def wanted_frames(episodes: DataFrame, options: DataFrame) -> DataFrame:
-    """pipeline, episode, profile (vlm or quality), frame_idx: each frame once. Episodes: pipeline, episode, n, fps."""
-    base = episodes.where("n > 0").join(options, "pipeline").withColumns({"low": F.lit(0).cast("long"), "high": F.col("n").cast("long"), "fps": F.when(F.col("fps") > 0, F.col("fps").cast("double")).otherwise(30.0)})
-    two = F.lower("caption_method") == TWO_LEVEL
-    caption = base.where("include_caption")
-    frames = lambda rows, profile: rows.select("pipeline", "episode", F.lit(profile).alias("profile"), F.explode("frame_ids").alias("frame_idx"))
+    """pipeline, episode, profile (vlm or quality), frame_idx: each frame once. Episodes: pipeline, episode, n, fps; an episode
+    has one length in a pipeline. Its frames are made and told apart in its own row, so none is shuffled."""
+    base = episodes.select("pipeline", "episode", "n", "fps").where("n > 0").distinct().join(options, "pipeline").withColumns({"low": F.lit(0).cast("long"), "high": F.col("n").cast("long"), "fps": F.when(F.col("fps") > 0, F.col("fps").cast("double")).otherwise(30.0)})
+    two = F.coalesce(F.lower("caption_method") == TWO_LEVEL, F.lit(False))
+    none = F.array().cast("array<long>")
     at = lambda name: F.col(f"caption_{name}")
-    plain = cuts.windows(caption.where(~two), at("window_sec"), at("step_sec"), at("frames_per_window"))
-    tasks = cuts.windows(caption.where(two), at("task_window_sec"), at("task_step_sec"), at("task_frames_per_window"))
     # a scene's sample is one window over the whole
-    scene = cuts.windows(caption.where(two & (at("scene_frames") > 0)).withColumn("whole", F.col("high") / F.col("fps")), F.col("whole"), F.col("whole"), at("scene_frames"))
+    scene = F.when(at("scene_frames") > 0, cuts.sampled(F.col("high") / F.col("fps"), F.col("high") / F.col("fps"), at("scene_frames")))
+    tasks = cuts.sampled(at("task_window_sec"), at("task_step_sec"), at("task_frames_per_window"))
+    plain = F.when(at("method").isNotNull(), cuts.sampled(at("window_sec"), at("step_sec"), at("frames_per_window")))
+    caption = F.when(F.col("include_caption"), F.when(two, F.concat(F.coalesce(tasks, none), F.coalesce(scene, none))).otherwise(plain))
     step = F.greatest(F.lit(1), F.col("hand_frame_step")).cast("long")
-    last = F.array(F.col("high") - 1)
-    hand = base.where("include_hand_vlm").withColumn("frame_ids", F.array_union(F.sequence("low", F.col("high") - 1, step), last))
+    hand = F.when(F.col("include_hand_vlm"), F.array_append(F.sequence("low", F.col("high") - 1, step), F.col("high") - 1))
     every = F.when((F.col("quality_sample_fps") > 0) & (F.col("quality_sample_fps") < F.col("fps")), F.greatest(F.lit(1), F.rint(F.col("fps") / F.col("quality_sample_fps")).cast("long"))).otherwise(F.lit(1)).cast("long")
-    quality = base.where("include_video_quality AND quality_sample_fps IS NOT NULL").withColumn("frame_ids", F.sequence("low", F.col("high") - 1, every))
-    all_ = frames(plain, "vlm")
-    for rows, profile in ((tasks, "vlm"), (scene, "vlm"), (hand, "vlm"), (quality, "quality")):
-        all_ = all_.unionByName(frames(rows, profile))
-    return all_.distinct()
+    quality = F.when(F.col("include_video_quality") & F.col("quality_sample_fps").isNotNull(), F.sequence("low", F.col("high") - 1, every))
+    vlm = F.array_distinct(F.concat(F.coalesce(caption, none), F.coalesce(hand, none)))
+    rows = base.select("pipeline", "episode", F.explode(F.array(F.struct(F.lit("vlm").alias("profile"), vlm.alias("f")), F.struct(F.lit("quality").alias("profile"), quality.alias("f")))).alias("x"))
+    return rows.select("pipeline", "episode", "x.profile", F.explode("x.f").alias("frame_idx"))

@@ -40,6 +40,17 @@ def test_no_frames_of_an_empty_episode(spark):
     assert got[2, "vlm"] == {0} and got[3, "quality"] == set(range(250)) and {0, 120, 240, 249} <= got[3, "vlm"]
 
 
+def test_wanted_frames_stay_in_their_episodes_row(spark):
+    options = demand.cache_options(spark.createDataFrame([(1,)], "pipeline long"), spark.createDataFrame([(1, "hand_analysis", "method", "vlm"), (1, "hand_analysis", "frame_step", "5")], SETTING))
+    episodes = spark.createDataFrame([(1, e % 3, 90, 30.0) for e in range(6)], "pipeline long, episode long, n long, fps double")
+    got = demand.wanted_frames(episodes, options)
+    rows = [(r.episode, r.profile, r.frame_idx) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and {e for e, _, _ in rows} == {0, 1, 2}
+    # what is told apart by an aggregation is episodes, below the generators, not frames
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "Aggregate" not in plan[: plan.rindex("Generate")]
+
+
 def test_frames_are_decoded_once_and_given_whole(spark, tmp_path):
     log = str(tmp_path / "log")
 
