@@ -90,6 +90,17 @@ def test_documents_of_runs(spark):
     assert got[1]["artifacts"][1]["metadata"] == {"inputPath": "a", "inputIndex": 1, "inputCount": 2, "outputIndex": 1, "outputCount": 2}
 
 
+def test_documents_of_steps_gather_no_json(spark):
+    steps = [("a", "caption", ["/o/a.json"]), ("a", "segment_video", ["/o/1.mp4", "/o/2.mp4"]), ("a", "caption", ["/o/z.json", "/o/b.json"]), ("b", "caption", ["/o/b.json"]), ("c", "quality", ["/o/q.json"]), ("d", "caption", []), ("e", "segments", ["/o/s.json"])]
+    rows = spark.createDataFrame([(w, o, "ok" if w != "b" else None, x, {}, [], []) for w, o, x in steps], dag.RESULT)
+    runs = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1), (4, "d", 1), (5, "d", 1), (5, "a", 2), (6, "e", 1)], "run long, work string, input long")
+    logs = spark.createDataFrame([(r, "2024", "INFO", "m", "caption") for r in (1, 3, 4)], "run long, at string, level string, message string, operator string")
+    got = results.step_documents(rows, runs, logs)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, results.documents(results.from_steps(rows, runs), logs).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "payloadPath" in plan and all("payloadPath" not in x[:200] for x in plan.split("collect_list(")[1:])
+
+
 def test_steps_of_a_stage_run_side_by_side_and_all_fan_out(spark):
     def slow(name, **kw):
         def wait(x):
