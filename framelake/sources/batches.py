@@ -8,6 +8,8 @@ file a partition. `ask` chooses: a provider without batches is asked at once, by
 
 from __future__ import annotations
 
+import io
+import itertools
 import json
 import time
 import uuid
@@ -26,6 +28,8 @@ from framelake.sources.sinks import kept, shared
 
 #: Fixed names of a batch's final states.
 FINAL = ("completed", "failed", "expired", "cancelled")
+#: Bytes of a file, and lines of answers, that a task holds at a time.
+PART, ROWS = 1 << 16, 1024
 
 
 class Provider(Protocol):
@@ -43,13 +47,14 @@ def _fs(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def _put(path: str, text: str) -> None:
-    """A file written beside and moved, so it is there whole or not at all."""
+def _put(path: str, text: str | Iterable[str]) -> None:
+    """A file, of a text or of lines as they come, written beside and moved, so it is there whole or not at all."""
     fs, at = _fs(path)
     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
     beside = f"{at}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(beside) as f:
-        f.write(text.encode())
+    with fs.open_output_stream(beside, buffer_size=PART) as f:
+        for i, x in enumerate([text] if isinstance(text, str) else text):
+            f.write(f"\n{x}".encode() if i else x.encode())
     fs.move(beside, at)
 
 
@@ -61,6 +66,21 @@ def _read(path: str) -> str | None:
         return f.read().decode()
 
 
+def _there(path: str) -> bool:
+    fs, at = _fs(path)
+    return fs.get_file_info(at).type != pafs.FileType.NotFound
+
+
+def _lines(path: str) -> Iterator[str]:
+    """The lines of a file, or of none, one at a time."""
+    if not _there(path):
+        return
+    fs, at = _fs(path)
+    with fs.open_input_stream(at) as f:
+        for line in io.TextIOWrapper(io.BufferedReader(f, PART), "utf-8", newline="\n"):
+            yield line.removesuffix("\n")
+
+
 @dataclass(frozen=True)
 class Spool:
     """Stand-in provider: a folder. The first `waits` polls of a batch find it in progress, then it ends as `status`; a file's
@@ -75,7 +95,7 @@ class Spool:
 
     def upload(self, lines: Iterable[str]) -> str:
         name = f"requests-{uuid.uuid4().hex}.jsonl"
-        _put(f"{self.folder}/{name}", "\n".join(lines))
+        _put(f"{self.folder}/{name}", lines)
         return name
 
     def submit(self, files: list[str], window: str) -> str:
@@ -89,15 +109,13 @@ class Spool:
         _put(at, json.dumps(state | {"polls": state["polls"] + 1}))
         return ("in_progress", []) if state["polls"] < self.waits else (self.status, state["files"])
 
-    def download(self, file: str) -> list[str]:
+    def download(self, file: str) -> Iterator[str]:
         done = f"{self.folder}/answers-{file}"
-        text = _read(done)
-        if text is None:
+        if not _there(done):
             backend = self.make()
             reply = getattr(backend, "reply", lambda _, prompt: backend.answer(prompt))
-            text = "\n".join(self._answer(reply, json.loads(x)) for x in (_read(f"{self.folder}/{file}") or "").splitlines() if x)
-            _put(done, text)
-        return text.splitlines()
+            _put(done, (self._answer(reply, json.loads(x)) for x in _lines(f"{self.folder}/{file}") if x))
+        return _lines(done)
 
     def _answer(self, reply, request: dict) -> str:
         prompt = request["messages"][-1]["content"]
@@ -128,8 +146,8 @@ def source(provider: Provider) -> type[DataSource]:
             self.options = dict(options)
 
         def write(self, rows) -> _Uploaded:
-            lines = [r.value for r in rows]
-            return _Uploaded(provider.upload(lines) if lines else None)
+            first = next(rows, None)
+            return _Uploaded(None if first is None else provider.upload(r.value for r in itertools.chain([first], rows)))
 
         def commit(self, messages) -> None:
             files = [m.file for m in messages if m is not None and m.file]
@@ -163,8 +181,9 @@ def source(provider: Provider) -> type[DataSource]:
             return [_File(f) for f in files] or [_File("")]
 
         def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-            lines = list(provider.download(partition.file)) if partition.file else []
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+            lines = iter(provider.download(partition.file) if partition.file else ())
+            while part := list(itertools.islice(lines, ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["value"])
 
     class Batch(DataSource):
         @classmethod

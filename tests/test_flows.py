@@ -282,6 +282,28 @@ def test_batches_survive_their_session(spark, tmp_path):
         assert later.state(spark, token) is None
 
 
+def test_batches_are_held_in_parts(tmp_path):
+    import tracemalloc
+
+    from pyspark.sql import Row
+
+    n, record = 20_000, str(tmp_path / "record")
+    spool = batches.Spool(f"file://{tmp_path}/spool", inference.Scripted, waits=0)
+    made = batches.source(spool)({"record": f"file://{record}", "interval": "0"})
+    rows = (Row(value=json.dumps({"custom_id": str(i), "messages": [{"role": "user", "content": "what " * 60}]})) for i in range(n))
+    writer, held = made.writer(None, False), []
+    for step in ("write", "read"):
+        tracemalloc.start()
+        if step == "write":
+            writer.commit([writer.write(rows)])
+        else:
+            reader = made.reader(None)
+            assert sum(len(b) for p in reader.partitions() for b in reader.read(p)) == n
+        held.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(held) < 3_000_000  # the requests are over 7 MB
+
+
 def test_batches_that_do_not_complete(spark, tmp_path):
     requests = spark.createDataFrame([("a", "b")], "custom_id string, prompt string")
     for status in ("failed", "expired", "cancelled"):
