@@ -205,3 +205,15 @@ def test_pending(spark):
     ask = spark.sql("SELECT 'a' AS custom_id, timestamp'2024-01-01' AS asked UNION ALL SELECT 'b', timestamp'2024-01-01'")
     got = spark.sql("SELECT 'a' AS answer_id, 'x' AS text, timestamp'2024-01-01 01:00:00' AS answered")
     assert {(r.custom_id, r.status) for r in pending.collect_answers(ask, got).collect()} == {("a", "ok"), ("b", "pending")}
+
+
+def test_numbers_of_windows_need_no_sort(spark):
+    tasks = spark.createDataFrame([(1, 7, 0, 95), (1, 8, 3, 5), (2, 9, 5, 5), (2, 10, 40, 55)], "episode long, task long, s long, e long")
+    got = OPERATORS["action_jobs"].over(tasks=tasks)
+    rows = {}
+    for r in sorted(got.collect(), key=lambda r: (r.task, r.start_frame)):
+        rows.setdefault(r.task, []).append((r.window_id, r.start_frame, r.end_frame))
+    assert set(rows) == {7, 8, 10} and all([w for w, _, _ in x] == list(range(len(x))) for x in rows.values())
+    assert rows[8] == [(0, 3, 4)] and rows[7][:2] == [(0, 0, 14), (1, 8, 22)] and rows[7][-1][2] == 94
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
