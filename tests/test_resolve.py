@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from framelake.sources import resolve
 
@@ -125,3 +126,12 @@ def test_nothing_to_resolve(spark, root):
     artifacts, tree = tables(spark, root, [{}])
     assert resolve.videos(artifacts.limit(0), tree).count() == 0
     assert resolve.platform_inputs(artifacts, tree.limit(0)).count() == 1
+
+
+def test_artifacts_are_decided_in_all_tasks(spark, root):
+    """Few bytes are much work here: they aren't put together in one task, nor is there a call for each artifact."""
+    artifacts, tree = tables(spark, root, [{"path": f"{root}/ep1"}] * 40)
+    got = resolve.videos(artifacts, tree)
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert "CoGroups" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 40
