@@ -82,7 +82,8 @@ class Scripted:
 
 
 def call(requests: DataFrame, make: Callable[[], Backend], workers: int = 8, tries: int = 1, wait: float = 0.3) -> DataFrame:
-    """ANSWER rows for requests (custom_id, prompt). A backend is made once a task; after the last try a request has status 500 and the error."""
+    """ANSWER rows for requests (custom_id, prompt). A backend is made once a task; after the last try a request has status 500 and
+    the error. Requests are dealt to all tasks: they are few bytes and much waiting, so they aren't put together by size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = make()
@@ -108,7 +109,8 @@ def call(requests: DataFrame, make: Callable[[], Backend], workers: int = 8, tri
                     [c.split()[0] for c in ANSWER.split(", ")],
                 )
 
-    return requests.select("custom_id", "prompt").mapInArrow(run, ANSWER)
+    parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return requests.select("custom_id", "prompt").repartition(parts, "custom_id").mapInArrow(run, ANSWER)
 
 
 @dataclass(frozen=True)

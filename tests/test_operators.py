@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from framelake.functions import lenient, pixels
 from framelake.operators import imu, inference
@@ -217,3 +218,10 @@ def test_numbers_of_windows_need_no_sort(spark):
     assert rows[8] == [(0, 3, 4)] and rows[7][:2] == [(0, 0, 14), (1, 8, 22)] and rows[7][-1][2] == 94
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Sort" not in plan
+
+
+def test_model_calls_are_dealt_to_all_tasks(spark):
+    """Requests that lie in one partition, as few bytes do, are asked in several tasks."""
+    q = spark.range(40).selectExpr("CAST(id AS STRING) AS custom_id", "'p' AS prompt").coalesce(1)
+    got = inference.call(q, inference.Stub).select(F.spark_partition_id().alias("p"), "custom_id").collect()
+    assert len({r.p for r in got}) > 1 and len({r.custom_id for r in got}) == len(got) == 40
