@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from framelake.functions import lenient, pixels
-from framelake.operators import imu, inference
+from framelake.operators import captions, imu, inference
 from framelake.plans import dag
-from framelake.plans.catalogue import OPERATORS
+from framelake.plans.catalogue import OPERATORS, Operator
 from framelake.sources import discovery, sinks
 from framelake.streaming import pending
 
@@ -225,3 +225,15 @@ def test_model_calls_are_dealt_to_all_tasks(spark):
     q = spark.range(40).selectExpr("CAST(id AS STRING) AS custom_id", "'p' AS prompt").coalesce(1)
     got = inference.call(q, inference.Stub).select(F.spark_partition_id().alias("p"), "custom_id").collect()
     assert len({r.p for r in got}) > 1 and len({r.custom_id for r in got}) == len(got) == 40
+
+
+def test_tasks_are_validated_without_windows(spark):
+    """One pass over the actions says what the SQL says: gaps, steps back, unknown ends, nulls, tasks that repeat or have none."""
+    tasks = spark.createDataFrame([(1, 0, 6), (1, 0, 6), (1, 0, 5), (2, 0, 9), (3, None, 4), (4, 0, 1), (5, 2, 8), (None, 0, 6)], "task long, s long, e long")
+    rows = [(1, 1, 0, 3, "a"), (1, 2, 3, 5, "b"), (1, 3, 5, 6, "b"), (2, 2, 4, 9, "a"), (2, 1, 0, 3, "b"), (3, 1, 0, 4, None), (3, 2, 4, None, "x"), (3, 3, None, 4, "w"), (5, 3, 2, 8, "a"), (5, 1, 2, 8, "a"), (6, 1, 0, 1, "z"), (None, 1, 0, 6, "n")]
+    actions = spark.createDataFrame(rows, "task long, step long, s long, e long, caption string")
+    got = OPERATORS["refine_validate"].over(tasks=tasks, actions=actions)
+    want = Operator(captions.refine_validate).over(tasks=tasks, actions=actions)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
