@@ -14,6 +14,7 @@ from typing import Protocol
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelake.sources.sinks import kept
 
@@ -48,6 +49,24 @@ def executed(rows: DataFrame, key: list[str], command: str, output: str, make: C
     return kept(rows.select(*key, command, output).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", ok boolean, bytes long, said string"))
 
 
+def _tried(rows: DataFrame, due: Column, command: str, mark: str, make: Callable[[], Runner]) -> DataFrame:
+    """rows, written, with ok, bytes and said (and the mark) of the command in place of it, run once where it is due; null
+    elsewhere. Rows go along with what came of them, so nothing is joined again."""
+    kept_ = [c for c in rows.columns if c != command]
+    got = [T.StructField(f"ok{mark}", T.BooleanType()), T.StructField(f"bytes{mark}", T.LongType()), T.StructField(f"said{mark}", T.StringType())]
+    schema = T.StructType([rows.schema[c] for c in kept_] + got)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runner = make()
+        for batch in batches:
+            commands, outputs, dues = (batch.column(c).to_pylist() for c in (command, "output", "due_"))
+            came = [runner.run(c, o) if d else (None, None, None) for c, o, d in zip(commands, outputs, dues, strict=True)]
+            ok, size, said = zip(*came, strict=True) if came else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept_), pa.array(ok, pa.bool_()), pa.array(size, pa.int64()), pa.array(said, pa.string())], schema.names)
+
+    return kept(rows.withColumn("due_", due).mapInArrow(run, schema))
+
+
 def cut_fps(caption: Column, average: Column, real: Column) -> Column:
     """Frames a second for cutting: the caption's own, else the average rate, else the real rate; null if none is over 0."""
     given = lambda c: F.when(c > 0, c.cast("double"))
@@ -71,14 +90,13 @@ def cut_clips(plan: DataFrame, existing: DataFrame, make: Callable[[], Runner])
     not cut again; one that copying didn't make is encoded anew.
     """
     key = ["episode", "segment"]
-    rows = plan.join(existing.where(_enough()).select("output", F.lit(True).alias("there")), "output", "left")
-    rows = kept(rows.withColumn("there", F.coalesce("there", F.lit(False))))
-    open_ = rows.where("reason IS NULL AND NOT there")
-    first = executed(open_, key, "copy", "output", make)
-    second = executed(open_.join(first.where(~_enough()).select(*key), key, "left_semi"), key, "encode", "output", make)
-    a = first.select(*key, _enough().alias("copied"), F.when(~F.col("ok"), F.col("said")).alias("said1"))
-    b = second.select(*key, F.col("ok").alias("ok2"), F.col("bytes").alias("bytes2"), F.col("said").alias("said2"))
-    got = rows.join(a, key, "left").join(b, key, "left")
+    # smaller parts than the session's: a task sorts whole commands
+    parts = 4 * int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    there = existing.where(_enough()).select("output", F.lit(True).alias("there"))
+    rows = plan.repartition(parts, "output").join(there.repartition(parts, "output"), "output", "left").select(*key, "segment_id", "output", "copy", "encode", "reason", F.coalesce("there", F.lit(False)).alias("there"))
+    first = _tried(rows, F.expr("reason IS NULL AND NOT there"), "copy", "1", make)
+    second = _tried(first, F.expr("reason IS NULL AND NOT there") & ~_enough("bytes1"), "encode", "2", make)
+    got = second.withColumns({"copied": _enough("bytes1"), "said1": F.when(~F.col("ok1"), F.col("said1"))})
     how = F.when(F.col("reason").isNotNull(), "failed").when(F.col("there"), "cached").when(F.col("copied"), "copy").when(F.col("ok2") & _enough("bytes2"), "reencode").otherwise("failed")
     both = F.when(F.coalesce("said1", F.lit("")) != "", F.concat(F.lit("stream-copy failed first:\n"), "said1", F.lit("\n\nre-encode failed:\n"), "said2")).otherwise(F.col("said2"))
     why = F.when(F.col("reason").isNotNull(), F.col("reason")).when(how == "failed", F.when(F.col("ok2"), "output_too_small").otherwise("ffmpeg_failed"))

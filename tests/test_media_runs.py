@@ -146,3 +146,31 @@ def test_transcodes_are_recorded(spark):
     got = {r.media: r for r in clips.transcoded(plan, Runner, lambda df: df.select("media", "spec", F.lit("hevc").alias("codec"))).collect()}
     assert [(got[i].status, got[i].after and got[i].after.codec) for i in (1, 2, 3, 4)] == [("ok", "hevc"), ("error", None), ("error", None), ("skipped", None)]
     assert len(got[2].error) == 2003 and got[3].error == "no output" and got[4].error == "container"
+
+
+def test_clips_go_along_with_what_came_of_them(spark, tmp_path):
+    """Each command runs once, where it is due, and no join brings its result back to the clip."""
+
+    class Counted:  # here, so that it goes to workers by value
+        """Writes each command to a file: copying fails for odd names, encoding for those that end in 3."""
+
+        def __init__(self, log):
+            self.log = log
+
+        def run(self, command, output):
+            with open(self.log, "a") as f:
+                f.write(command + "\n")
+            what, k = command.split()
+            return (int(k) % 2 == 0, 5 if int(k) % 2 == 0 else None, "no copy") if what == "copy" else (k[-1] != "3", 5 if k[-1] != "3" else None, "no code")
+
+    log = str(tmp_path / "log")
+    plan = spark.range(40).selectExpr("id DIV 10 AS episode", "id % 10 AS segment", "'s' AS segment_id", "concat('/c/', id) AS output", "concat('copy ', id) AS copy", "concat('encode ', id) AS encode", "IF(id % 10 = 7, 'bad', NULL) AS reason")
+    existing = spark.createDataFrame([("/c/1", 4), ("/c/5", 0), ("/c/17", 4)], "output string, bytes long")
+    cut = clips.cut_clips(plan, existing, lambda: Counted(log))
+    assert "Join" not in cut._jdf.queryExecution().executedPlan().toString()
+    how = {r.episode * 10 + r.segment: (r.how, r.reason, r.message) for r in cut.collect()}
+    due = [i for i in range(40) if i % 10 != 7 and i != 1]
+    failed = "stream-copy failed first:\nno copy\n\nre-encode failed:\nno code"
+    want = {i: ("copy", None, None) if i % 2 == 0 else ("failed", "ffmpeg_failed", failed) if i % 10 == 3 else ("reencode", None, None) for i in due}
+    assert how == want | {1: ("cached", None, None)} | {i: ("failed", "bad", None) for i in range(7, 40, 10)}
+    assert sorted(open(log).read().split("\n")[:-1]) == sorted([f"copy {i}" for i in due] + [f"encode {i}" for i in due if i % 2])
