@@ -632,20 +632,20 @@ def ledger(docs: DataFrame, wide: bool = False) -> tuple[DataFrame, DataFrame]:
     offers = met.where("b IS NOT NULL").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("apart").alias("apart"), F.count("*").alias("buckets"))
     offers = spread.stash(offers.where(f"apart <= {CLOSE} OR buckets > 1").select("a", "b"))
     book = met.where("bucket IS NOT NULL").select("bucket", F.col("a").alias("key"), "sim", "size").distinct()
-    links, tried, most = spread.stash(_verify(docs, lines, offers)), offers, PAIRS
+    comp = spread.stash(spread.components(spread.stash(_verify(docs, lines, offers))))
+    tried, most = offers, PAIRS
     while True:
-        comp = spread.stash(spread.components(links).withColumnRenamed("node", "key"))
-        marked = book.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        marked = book.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
         rest = spread.stash(across(_tiles(marked), most))
         pairs = spread.stash(rest.groupBy("a", "b").agg(F.max("left").alias("left")).join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
         tried = tried.union(pairs.select("a", "b"))
-        links = links.union(spread.stash(_verify(docs, lines, pairs.select("a", "b"))))
+        comp = spread.merged(comp, spread.stash(_verify(docs, lines, pairs.select("a", "b"))))
         if pairs.where("left").isEmpty():
-            comp = spread.stash(spread.components(links).withColumnRenamed("node", "key"))
             break
         most *= 8
+    comp = comp.withColumnRenamed("node", "key")
     group = lines.join(comp, "key", "left").where("n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "key"))
     keep = group.groupBy("component").agg(F.min(F.struct("doc_id", "line", "text_hash")).alias("keep"))
     keep = group.select("key", "component").join(keep, "component").select("key", "keep")

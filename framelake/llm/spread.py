@@ -151,6 +151,21 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def merged(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """`known` (node, component; written) with the groups that edges (a, b; written) connect made one. Only groups with new edges
+    go through the rounds of `components`; what is known is joined with the result once, and dropped when that is written."""
+    if edges.isEmpty():
+        return known
+    for end in ("a", "b"):
+        to = known.select(F.col("node").alias(end), F.col("component").alias("to"))
+        edges = edges.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    now = stash(components(edges))
+    moved = known.join(now.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    out = stash(moved.union(now.join(known, "node", "left_anti")))
+    drop(known, now)
+    return out
+
+
 #: At most so many keys can each hold more than the HEAVY-th part of all rows.
 HEAVY = 1024
 
