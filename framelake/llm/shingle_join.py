@@ -9,7 +9,8 @@ Steps, each one's rows in proportion to the corpus:
 1. Frequent shingles (at least 1 in EPSILON of all occurrences; so at most EPSILON of them, however large the corpus).
 2. Per document: set size, set fingerprint, bitmap, and its prefix: the rarest shingles (frequent ones last, then by
    hash) that any linked set must share one of. Equal sets collapse to the least doc_id.
-3. Prefix rows are dealt by shingle; those without another set of a near enough size under their shingle are dropped.
+3. Prefix rows are dealt by shingle; those without another set of a near enough size under their shingle are dropped. Of
+   shingles with the same documents (near copies share many) only the least stays: it has all their pairs.
 4. Close copies: documents with the same least shared prefix shingle follow leaders by their bitmaps, and each is compared
    with its leader, exactly, which merges the large groups without all their pairs and moves no other text; shingles of
    more than BLOCK documents are dealt to several tasks.
@@ -17,8 +18,9 @@ Steps, each one's rows in proportion to the corpus:
    hold OR-combined bitmaps, size ranges and group ranges. A dual traversal prunes node pairs of one group, and pairs
    whose greatest possible overlap is too small. Bitmaps of large sets hold a sample by hash, whose bound fails for a
    linked pair with a probability under 1e-15. A pair comes from the bucket of the least of the FIRST shingles that it
-   shares, not from all. What remains is verified on exact sets. Each round offers at most PAIRS pairs between two groups
-   in a bucket; buckets with more go into the next round, until none is left, so nothing is lost.
+   shares, not from all. What remains is verified on exact sets. Each round offers at most PAIRS pairs of a group with
+   lesser groups in a bucket, so a bucket's offers grow with its groups and not with their square; buckets with more go
+   into the next round, when most are in one group, until none is left, so nothing is lost.
 
 Cases: null or wordless texts have the empty set and link with nothing; null doc_ids are groups of their own (null
 component); rows that share a doc_id are one node; an empty table gives none; other columns are ignored.
@@ -42,7 +44,7 @@ BITS = 2048
 #: range, the same for all sets of a level. Overlaps of samples are held to SIGMAS standard deviations under their mean.
 SAMPLE, SIGMAS = 700, 9
 GROUP = 2_000_000  # occurrences counted at a time
-PAIRS = 64
+PAIRS = 8
 FIRST = 4  # least shared shingles that a row carries, so that a pair is offered in one bucket
 BLOCK = 4096  # members of a bucket in one tree; larger buckets are joined block by block
 
@@ -177,6 +179,12 @@ def _shared(rows: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("g").sortWithinPartitions("g", "n", "doc_id").mapInArrow(run, "g long, n long, doc_id long")
 
 
+def _first_of_equal(rows: DataFrame) -> DataFrame:
+    """(g): of the shingles whose documents are the same ones, by their number and two 64-bit hashes, the least."""
+    sets_ = rows.groupBy("g").agg(F.count("*").alias("members"), F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("y"))
+    return sets_.groupBy("members", "x", "y").agg(F.min("g").alias("g")).select("g")
+
+
 def _fits(most: np.ndarray, total: np.ndarray, least: np.ndarray, sampled: bool | np.ndarray, percent: int) -> np.ndarray:
     """Whether an overlap of at most `most` is enough for sizes that sum to `total`, the lesser being `least`."""
     need = percent * total / (100 + percent)
@@ -374,17 +382,17 @@ def _close(docs: DataFrame, signs: DataFrame, k: int, percent: int) -> DataFrame
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (g, a, b, left) that may link, of rows (g, tile, side, doc_id, n, component, ...) dealt by (g, tile).
 
-    Buckets of one leaf are tested together; larger ones by their trees. At most `most` pairs of two groups come from a
-    bucket; `left` says that there are more, for a later round.
+    Buckets of one leaf are tested together; larger ones by their trees. At most `most` pairs of a group with lesser ones come
+    from a bucket; `left` says that there are more, for a later round.
     """
 
     def offer(m: Members, i: np.ndarray, j: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
         new = ~m.met(i, j)
         i, j, bucket = i[new], j[new], bucket[new]
         lo, hi = np.minimum(m.component[i], m.component[j]), np.maximum(m.component[i], m.component[j])
-        order = np.lexsort((hi, lo, bucket))
-        i, j, lo, hi, bucket = i[order], j[order], lo[order], hi[order], bucket[order]
-        new = np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (bucket[1:] != bucket[:-1]))[: len(i)]
+        order = np.lexsort((lo, hi, bucket))
+        i, j, hi, bucket = i[order], j[order], hi[order], bucket[order]
+        new = np.append(True, (hi[1:] != hi[:-1]) | (bucket[1:] != bucket[:-1]))[: len(i)]
         first = np.flatnonzero(new)
         place = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
         more = np.repeat(np.diff(np.append(first, len(i))) > most, np.diff(np.append(first, len(i))))
@@ -482,22 +490,20 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     sizes = spread.stash(sig.select("doc_id", "n"))
     some = sig.where("n > 0 AND doc_id IS NOT NULL")
     # equal sets are linked to their least doc_id; with rows that share a doc_id, that is an edge as any other
-    same = spread.stash(some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
-    some = some.join(same, ["n", "f1", "f2"], "left").drop("f1", "f2")
-    edges = spread.stash(some.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    reps = some.where("rep IS NULL OR doc_id = rep").drop("rep")
-    rows = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "n", "doc_id"), percent).drop("n").distinct())
+    same = some.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    same = spread.stash(some.select("doc_id", "n", "f1", "f2").join(same, ["n", "f1", "f2"]).where("doc_id <> rep").distinct())
+    maybe, clear = spread.split_by(some, same.select("doc_id"))
+    reps = maybe.join(same.drop("rep").hint("shuffle_hash"), ["doc_id", "n", "f1", "f2"], "left_anti").select(*some.columns).union(clear).drop("f1", "f2")
+    near = spread.stash(_shared(reps.select(F.explode("prefix").alias("g"), "n", "doc_id"), percent).drop("n").distinct())
+    rows = spread.stash(near.join(_first_of_equal(near), "g", "left_semi"))
     least = spread.stash(rows.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list("g")), 1, FIRST).alias("h")))
-    signs = reps.drop("prefix").join(least, "doc_id").select("*", *(F.coalesce(F.get("h", F.lit(x)), F.lit((1 << 63) - 1)).alias(f"h{x}") for x in range(FIRST))).drop("h")
-    signs = spread.stash(signs, "zstd")
-    spread.drop(sig, same, least)  # the largest tables; what came of them is written
-    found = spread.stash(_close(known, signs, k, percent))
-    done, tried, most = [], None, PAIRS
+    signs = spread.split_by(reps.drop("prefix"), least.select("doc_id"))[0].join(least.hint("shuffle_hash"), "doc_id")
+    signs = spread.stash(signs.select(*reps.drop("prefix").columns, *(F.coalesce(F.get("h", F.lit(x)), F.lit((1 << 63) - 1)).alias(f"h{x}") for x in range(FIRST))), "zstd")
+    edges = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    comp = spread.stash(spread.components(edges.union(spread.stash(_close(known, signs, k, percent)))))
+    spread.drop(sig, near, same, least)  # the largest tables; what came of them is written
+    tried, most = None, PAIRS
     while True:
-        all_ = found
-        for x in done:
-            all_ = all_.union(x)
-        comp = spread.components(all_)
         labelled = spread.stash(rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
         mixed = spread.stash(labelled.groupBy("g").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("g", "members"))
         tiles = _tiles(labelled, mixed).join(signs, "doc_id").withColumn("most", F.lit(most))
@@ -509,13 +515,10 @@ def groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = spread.stash(pairs)
         tried = pairs if tried is None else tried.union(pairs)
-        done.append(spread.stash(_verify(known, pairs, k, percent)))
+        comp = spread.merged(comp, spread.stash(_verify(known, pairs, k, percent)))
         if not offers.where("left").limit(1).count():
             break
         most *= 8
-    for x in [found, *done]:
-        edges = edges.union(x)
-    comp = spread.components(edges)
     return sizes.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
